@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from granary.functions.text import MISSING, or_missing, squeeze, title, trimmed
+from granary.functions.text import MISSING, trimmed
 
 # Code lists and buckets that results depend on.
 MARITAL_STATUS = {"M": "Married", "S": "Single"}
@@ -31,53 +31,25 @@ OLDEST_GROUP = "65+"
 UNKNOWN_AGE = "Unknown"
 
 
-def decode(value: Column, table: Mapping[str, str], default: Column | None = None) -> Column:
-    """Look a value up in a small table. Without a default, unlisted values become NULL."""
-    keys_of: dict[str, list[str]] = {}
-    for key, meaning in table.items():
-        keys_of.setdefault(meaning, []).append(key)
-    result = F.lit(None).cast("string") if default is None else default
-    for meaning, keys in reversed(keys_of.items()):
-        result = F.when(value.isin(keys), F.lit(meaning)).otherwise(result)
+def bucket(value: Column, buckets: Mapping[str, Sequence[str]], default: Column) -> Column:
+    """Name of the bucket a value is listed in, else the default."""
+    result = default
+    for name, members in reversed(buckets.items()):
+        result = F.when(value.isin(list(members)), F.lit(name)).otherwise(result)
     return result
 
 
-def marital_status(raw: Column, table: Mapping[str, str] = MARITAL_STATUS) -> Column:
-    return decode(trimmed(raw), table, blank_or(raw, title(raw)))
-
-
-def crm_gender(raw: Column, table: Mapping[str, str] = CRM_GENDER) -> Column:
-    """Case-sensitive gender codes; other texts stay, in title case."""
-    return decode(trimmed(raw), table, blank_or(raw, title(raw)))
-
-
-def erp_gender(raw: Column, table: Mapping[str, str] = ERP_GENDER) -> Column:
-    """Gender in any case; everything unlisted is missing."""
-    return decode(F.upper(trimmed(raw)), table, F.lit(MISSING))
-
-
-def short_gender(raw: Column, table: Mapping[str, str] = SHORT_GENDER) -> Column:
-    """M, F or NULL, matching the raw spelling exactly."""
-    return decode(raw, table)
-
-
-def product_line(raw: Column, table: Mapping[str, str] = PRODUCT_LINE) -> Column:
-    return decode(trimmed(raw), table, blank_or(raw, squeeze(raw)))
-
-
-def blank_or(raw: Column, otherwise: Column) -> Column:
-    """Missing marker for an absent or all-space value, else the given expression."""
-    return F.when(trimmed(raw) == "", F.lit(MISSING)).otherwise(otherwise)
-
-
-def country(raw: Column, aliases: Mapping[str, str] = COUNTRY_ALIASES) -> Column:
-    name = title(raw)
-    return decode(name, aliases, or_missing(name))
+def decoded(value: Column, table: Mapping[str, str], default: Column) -> Column:
+    """Meaning of a code, else the default."""
+    buckets: dict[str, list[str]] = {}
+    for key, meaning in table.items():
+        buckets.setdefault(meaning, []).append(key)
+    return bucket(value, buckets, default)
 
 
-def region(name: Column, regions: Mapping[str, Sequence[str]] = REGIONS) -> Column:
-    table = {country_name: bucket for bucket, names in regions.items() for country_name in names}
-    return decode(name, table, F.lit(OTHER_REGION))
+def expanded(raw: Column, table: Mapping[str, str], otherwise: Column) -> Column:
+    """Meaning of a case-sensitive code; blank is missing, unlisted values give the last argument."""
+    return decoded(trimmed(raw), {**table, "": MISSING}, otherwise)
 
 
 def yes_flag(raw: Column) -> Column:

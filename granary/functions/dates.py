@@ -17,8 +17,14 @@ def moment(run_ts: dt.datetime) -> Column:
 
 
 def from_yyyymmdd(number: Column) -> Column:
-    """Date held as a yyyymmdd number; anything that is no such date becomes NULL."""
-    return F.try_to_date(number.cast("string"), "yyyyMMdd")
+    """Date held as a yyyymmdd number; anything that is no such date becomes NULL.
+
+    Plain arithmetic: parsing the digits as text is several times slower, and slower still on bad values.
+    """
+    month, day = (F.floor(number / 100) % 100).cast("int"), (number % 100).cast("int")
+    has_month = number.between(10000101, 99991231) & month.between(1, 12)
+    first = F.when(has_month, F.make_date(F.floor(number / 10000).cast("int"), month, F.lit(1)))
+    return F.when(day.between(F.lit(1), F.dayofmonth(F.last_day(first))), F.date_add(first, day - 1))
 
 
 def believable(day: Column, run_ts: dt.datetime) -> Column:

@@ -51,12 +51,12 @@ def without_dashes(text: Column) -> Column:
 
 def key_category(full_key: Column, width: int = 5) -> Column:
     """Leading category part of a composite key, dashes written as underscores."""
-    return or_missing(F.translate(F.trim(F.substring(full_key, 1, width)), "-", "_"))
+    return F.translate(F.trim(F.substring(full_key, 1, width)), "-", "_")
 
 
 def key_remainder(full_key: Column, width: int = 5) -> Column:
     """What follows the category part and its separator in a composite key (at most 100 characters)."""
-    return or_missing(squeeze(F.substring(full_key, width + 2, 100)))
+    return squeeze(F.substring(full_key, width + 2, 100))
 
 
 def undashed_name(name: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -35,22 +35,18 @@ def version_intervals(df: DataFrame, key: str, start: str, end: str) -> DataFram
     )
 
     # Equal copies of a last row cannot be told apart: one of them is followed by the next start date.
-    copied = chain.where(several)
-    columns = [F.col("_key").alias(key), F.col("_start").alias(start), *[F.col(f"_last.{name}") for name in rest]]
-    final_copy = copied.select(*columns, next_eve.alias(end))
-    other_copies = repeated(copied.withColumn("_times", F.col("_last._copies") - 1), "_times").select(
-        *columns, own_eve.alias(end)
+    rebuilt = repeated(chain.where(several), F.col("_last._copies")).select(
+        F.col("_key").alias(key),
+        F.col("_start").alias(start),
+        *[F.col(f"_last.{name}") for name in rest],
+        F.when(F.col("_copy") == 1, next_eve).otherwise(own_eve).alias(end),
     )
-    return linked.unionByName(final_copy).unionByName(other_copies).select(*df.columns)
+    return linked.unionByName(rebuilt).select(*df.columns)
 
 
-def repeated(df: DataFrame, times: str, chunk: int = 100_000) -> DataFrame:
-    """Repeat each row as often as its count column says; long runs are dealt out to all tasks in chunks."""
+def repeated(df: DataFrame, times: Column, chunk: int = 100_000) -> DataFrame:
+    """Repeat each row and number its copies from 1; long runs are dealt out to all tasks in chunks."""
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunks = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col(times) - 1) / chunk))))
-    length = F.least(F.lit(chunk), F.col(times) - F.col("_chunk") * chunk)
-    return (
-        chunks.repartition(tasks)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), length)))
-        .drop("_chunk", "_copy")
-    )
+    chunks = df.withColumn("_first", F.explode(F.sequence(F.lit(1).cast("bigint"), times, F.lit(chunk).cast("bigint"))))
+    last = F.least(F.col("_first") + (chunk - 1), times)
+    return chunks.repartition(tasks).withColumn("_copy", F.explode(F.sequence("_first", last))).drop("_first")

@@ -517,7 +517,7 @@ STATEMENTS = {
                AS margin_pct
         FROM (SELECT product_category_name, CAST(sum(price * quantity) AS BIGINT) AS revenue,
                      CAST(sum(product_cost * quantity) AS BIGINT) AS cost
-              FROM gold_fact_effective WHERE price > 0 AND quantity > 0 AND product_cost > 0 GROUP BY 1)""",
+              FROM gold_features_effective WHERE product_cost > 0 GROUP BY 1)""",
     "ship_delay": f"""
         SELECT product_category_name, count(days_to_ship) AS shipped,
                round(quantile_cont(days_to_ship, 0.5), 6) AS median_days,

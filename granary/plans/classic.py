@@ -41,7 +41,7 @@ def erp_customer(raw: DataFrame, run_ts: dt.datetime) -> DataFrame:
     return raw.where(born.isNull() | (born <= F.lit(run_ts.date()))).select(
         F.col("CID").alias("customer_id"),
         born.alias("birth_date"),
-        codes.short_gender(F.col("GEN")).alias("gender"),
+        codes.decoded(F.col("GEN"), codes.SHORT_GENDER, F.lit(None)).alias("gender"),
         *with_lineage_names(run_ts),
     )
 

@@ -131,33 +131,40 @@ def renamed(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
     return df.select(F.col(key).alias("_key"), *[F.col(old).alias(new) for old, new in columns.items()])
 
 
-def star(sales: DataFrame, customers: DataFrame, products: DataFrame, calendar: DataFrame, run_ts: dt.datetime,
-         effective: bool) -> DataFrame:
-    # Narrow lookups go first: the calendar is bounded and adds small columns, the widest dimension comes last.
-    by_day = left_lookup(sales.select(*SALES), renamed(calendar, "date", CALENDAR), "order_date", "_key").drop("_key")
-    product_side = renamed(products, "product_key", PRODUCT)
-    if effective:
-        day = F.col("order_date")
-        in_force = (day >= F.col("product_start_date")) & (
-            F.col("product_end_date").isNull() | (day <= F.col("product_end_date"))
-        )
-        by_product = by_day.join(product_side, (F.col("product_key") == F.col("_key")) & in_force, "left").drop("_key")
-    else:
-        by_product = left_lookup(by_day, product_side, "product_key", "_key").drop("_key")
-    full = left_lookup(by_product, renamed(customers, "customer_id", CUSTOMER), "customer_id", "_key")
+def with_every_version(sales: DataFrame, products: DataFrame) -> DataFrame:
+    """Sales with the attributes of each version of their product."""
+    return left_lookup(sales, renamed(products, "product_key", PRODUCT), "product_key", "_key").drop("_key")
+
+
+def with_version_in_force(sales: DataFrame, products: DataFrame) -> DataFrame:
+    """Sales with the attributes of the product version that was valid on the order date.
+
+    Versions that end before they start are never in force and are left out first, so that a key has at most one version
+    per start date.
+    """
+    start, end, day = F.col("product_start_date"), F.col("product_end_date"), F.col("order_date")
+    versions = renamed(products.where(end.isNull() | (end >= start)), "product_key", PRODUCT)
+    in_force = (day >= start) & (end.isNull() | (day <= end))
+    return sales.join(versions, (F.col("product_key") == F.col("_key")) & in_force, "left").drop("_key")
+
+
+def star(sales: DataFrame, customers: DataFrame, calendar: DataFrame, run_ts: dt.datetime) -> DataFrame:
+    """Sales that already carry product attributes, with calendar and customer attributes."""
+    by_day = sales.join(renamed(calendar, "date", CALENDAR), F.col("order_date") == F.col("_key"), "left").drop("_key")
+    full = left_lookup(by_day, renamed(customers, "customer_id", CUSTOMER), "customer_id", "_key")
     return full.select(*SALES, *CUSTOMER.values(), *PRODUCT.values(), *CALENDAR.values(), processed_at(run_ts))
 
 
 def fact_sales(sales: DataFrame, customers: DataFrame, products: DataFrame, calendar: DataFrame,
                run_ts: dt.datetime) -> DataFrame:
     """Sales with all dimension attributes. Each sale meets every version of its product, whatever the order date."""
-    return star(sales, customers, products, calendar, run_ts, effective=False)
+    return star(with_every_version(sales, products), customers, calendar, run_ts)
 
 
 def fact_sales_effective(sales: DataFrame, customers: DataFrame, products: DataFrame, calendar: DataFrame,
                          run_ts: dt.datetime) -> DataFrame:
     """Sales with the product version in force on the order date, so that sums are not inflated."""
-    return star(sales, customers, products, calendar, run_ts, effective=True)
+    return star(with_version_in_force(sales, products), customers, calendar, run_ts)
 
 
 def sales_measures(sales: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
@@ -190,20 +197,34 @@ FEATURE_GROUPS = {
 CLUSTER_KEYS = ["customer_id", "order_year", "order_month"]
 
 
+def usable_sales(sales: DataFrame) -> DataFrame:
+    """Sales with a known order date and positive price, amount and quantity."""
+    positive = (F.col("price") > 0) & (F.col("sales_amount") > 0) & (F.col("quantity") > 0)
+    return sales.where(positive & F.col("order_date").isNotNull())
+
+
+def days_to_ship() -> Column:
+    return F.datediff(F.col("ship_date"), F.col("order_date")).alias("days_to_ship")
+
+
+def is_late_shipment() -> Column:
+    """1 unless the goods are known to have been shipped by the due date."""
+    in_time = F.coalesce(F.col("ship_date") <= F.col("due_date"), F.lit(False))
+    return numbers.indicator(~in_time).alias("is_late_shipment")
+
+
 def fact_sales_ml(fact: DataFrame, run_ts: dt.datetime) -> DataFrame:
-    """Feature table: sales with a known order date and positive price, amount and quantity, plus derived features."""
+    """Feature table: usable sales plus derived delivery, price, profit and product-age features."""
     ordered, shipped, due = F.col("order_date"), F.col("ship_date"), F.col("due_date")
     price, cost, quantity = F.col("price"), F.col("product_cost"), F.col("quantity")
-    usable = (price > 0) & (F.col("sales_amount") > 0) & (quantity > 0) & ordered.isNotNull()
-    in_time = F.coalesce(shipped <= due, F.lit(False))
     retired = F.coalesce(ordered > F.col("product_end_date"), F.lit(False))
-    return fact.where(usable).select(
+    return usable_sales(fact).select(
         *SALES[:6],
         *FEATURE_GROUPS["dates"],
         *SALES[6:],
-        F.datediff(shipped, ordered).alias("days_to_ship"),
+        days_to_ship(),
         F.datediff(due, ordered).alias("days_until_due"),
-        numbers.indicator(~in_time).alias("is_late_shipment"),
+        is_late_shipment(),
         numbers.unit_price(F.col("sales_amount"), quantity).alias("price_per_unit"),
         numbers.margin_pct(price, cost).alias("profit_margin_pct"),
         numbers.profit(price, cost, quantity).alias("estimated_profit"),

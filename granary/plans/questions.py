@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from granary.plans.marts import days_to_ship, is_late_shipment, usable_sales, with_version_in_force
+
 
 def percent(part: Column, whole: Column) -> Column:
     """Share in percent with two decimals; NULL for an empty whole."""
     return F.round(part.cast("double") * 100 / F.nullif(whole, F.lit(0)), 2)
 
 
-def top_products(fact: DataFrame, limit: int = 10) -> DataFrame:
+def top_products(sales: DataFrame, products: DataFrame, limit: int = 10) -> DataFrame:
     """Product versions with the highest sales."""
     return (
-        fact.where(F.col("product_id").isNotNull())
+        with_version_in_force(sales, products)
+        .where(F.col("product_id").isNotNull())
         .groupBy("product_id", "product_name")
         .agg(F.sum("sales_amount").alias("total_sales"), F.sum("quantity").alias("total_items"))
         .orderBy(F.desc("total_sales"), "product_id", "product_name")
@@ -121,10 +124,10 @@ def spend_correlation(sales: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def category_margin(fact: DataFrame) -> DataFrame:
+def category_margin(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue, cost and margin per category, over usable sales whose product cost is known."""
-    usable = (F.col("price") > 0) & (F.col("quantity") > 0) & (F.col("product_cost") > 0)
-    per_category = fact.where(usable).groupBy("product_category_name").agg(
+    costed = with_version_in_force(usable_sales(sales), products).where(F.col("product_cost") > 0)
+    per_category = costed.groupBy("product_category_name").agg(
         F.sum(F.col("price").cast("bigint") * F.col("quantity")).alias("revenue"),
         F.sum(F.col("product_cost").cast("bigint") * F.col("quantity")).alias("cost"),
     )
@@ -137,12 +140,15 @@ def category_margin(fact: DataFrame) -> DataFrame:
     )
 
 
-def ship_delay(features: DataFrame) -> DataFrame:
+def ship_delay(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Days from order to shipment per category: median, 90th percentile and share of late sales.
 
     Exact percentiles keep one counter per distinct day count, which the calendar bounds.
     """
-    return features.groupBy("product_category_name").agg(
+    delays = with_version_in_force(usable_sales(sales), products).select(
+        "product_category_name", days_to_ship(), is_late_shipment()
+    )
+    return delays.groupBy("product_category_name").agg(
         F.count("days_to_ship").alias("shipped"),
         F.round(F.percentile("days_to_ship", F.lit(0.5)), 6).alias("median_days"),
         F.round(F.percentile("days_to_ship", F.lit(0.9)), 6).alias("p90_days"),

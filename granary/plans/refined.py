@@ -7,6 +7,7 @@ Each ``clean_*`` function maps raw rows to cleaned rows before rules; ``RULES``
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,13 +26,16 @@ def loaded_at(run_ts: dt.datetime) -> Column:
 
 def standardised_customers(raw: DataFrame) -> DataFrame:
     """Customer records with clean texts and expanded codes, duplicates included."""
-    return raw.select(
+    texts = ["cst_firstname", "cst_lastname", "cst_marital_status", "cst_gndr"]
+    titled = raw.withColumns({f"{name}_title": text.title(F.col(name)) for name in texts})
+    return titled.select(
         F.col("cst_id").alias("customer_id"),
         F.col("cst_key").alias("customer_key"),
-        text.or_missing(text.title(F.col("cst_firstname"))).alias("first_name"),
-        text.or_missing(text.title(F.col("cst_lastname"))).alias("last_name"),
-        codes.marital_status(F.col("cst_marital_status")).alias("marital_status"),
-        codes.crm_gender(F.col("cst_gndr")).alias("gender"),
+        text.or_missing(F.col("cst_firstname_title")).alias("first_name"),
+        text.or_missing(F.col("cst_lastname_title")).alias("last_name"),
+        codes.expanded(F.col("cst_marital_status"), codes.MARITAL_STATUS, F.col("cst_marital_status_title"))
+        .alias("marital_status"),
+        codes.expanded(F.col("cst_gndr"), codes.CRM_GENDER, F.col("cst_gndr_title")).alias("gender"),
         F.col("cst_create_date").alias("created_date"),
     )
 
@@ -48,14 +52,19 @@ def clean_crm_customer(raw: DataFrame, run_ts: dt.datetime) -> DataFrame:
 
 def clean_crm_product(raw: DataFrame, run_ts: dt.datetime) -> DataFrame:
     """Products with validity intervals per full key; the key is split into category and remainder afterwards."""
-    full_key = F.col("prd_key")
-    return version_intervals(raw.select(*PRODUCT_COLUMNS), "prd_key", "prd_start_dt", "prd_end_dt").select(
+    versions = version_intervals(raw.select(*PRODUCT_COLUMNS), "prd_key", "prd_start_dt", "prd_end_dt")
+    squeezed = versions.withColumns({
+        "category": text.key_category(F.col("prd_key")),
+        "remainder": text.key_remainder(F.col("prd_key")),
+        "line": text.squeeze(F.col("prd_line")),
+    })
+    return squeezed.select(
         F.col("prd_id").alias("product_id"),
-        text.key_category(full_key).alias("product_category"),
-        text.key_remainder(full_key).alias("product_key"),
+        text.or_missing(F.col("category")).alias("product_category"),
+        text.or_missing(F.col("remainder")).alias("product_key"),
         text.undashed_name(F.col("prd_nm")).alias("product_name"),
         F.coalesce("prd_cost", F.lit(0)).alias("product_cost"),
-        codes.product_line(F.col("prd_line")).alias("product_line"),
+        codes.expanded(F.col("prd_line"), codes.PRODUCT_LINE, F.col("line")).alias("product_line"),
         F.col("prd_start_dt").alias("product_start_date"),
         F.col("prd_end_dt").alias("product_end_date"),
         loaded_at(run_ts),
@@ -65,26 +74,30 @@ def clean_crm_product(raw: DataFrame, run_ts: dt.datetime) -> DataFrame:
 PRODUCT_COLUMNS = ["prd_id", "prd_key", "prd_nm", "prd_cost", "prd_line", "prd_start_dt", "prd_end_dt"]
 
 
-def guarded_dates(order: Column, ship: Column, due: Column, run_ts: dt.datetime) -> tuple[Column, Column, Column]:
-    """Believable dates in the sequence order, ship, due; a date that breaks the sequence is dropped.
+SALES_DAYS = {"sls_order_dt": "order_date", "sls_ship_dt": "ship_date", "sls_due_dt": "due_date"}
+
+
+def guarded_dates(raw: DataFrame, run_ts: dt.datetime) -> DataFrame:
+    """Add believable dates in the sequence order, ship, due; a date that breaks the sequence is dropped.
 
     Due is compared with the ship date that survived, so a ship date before the order does not cost the due date.
+    One step per guard keeps every date parsed once.
     """
-    order, ship, due = (dates.believable(dates.from_yyyymmdd(day), run_ts) for day in (order, ship, due))
-    ship = dates.not_before(ship, order)
-    due = dates.not_before(dates.not_before(due, order), ship)
-    return order, ship, due
+    order, ship, due = (F.col(name) for name in SALES_DAYS.values())
+    return (
+        raw.withColumns({name: dates.from_yyyymmdd(F.col(number)) for number, name in SALES_DAYS.items()})
+        .withColumns({name: dates.believable(F.col(name), run_ts) for name in SALES_DAYS.values()})
+        .withColumns({"ship_date": dates.not_before(ship, order), "due_date": dates.not_before(due, order)})
+        .withColumn("due_date", dates.not_before(due, ship))
+    )
 
 
 def clean_crm_sales(raw: DataFrame, run_ts: dt.datetime) -> DataFrame:
-    order, ship, due = guarded_dates(F.col("sls_order_dt"), F.col("sls_ship_dt"), F.col("sls_due_dt"), run_ts)
-    return raw.select(
+    return guarded_dates(raw, run_ts).select(
         F.col("sls_ord_num").alias("order_number"),
         text.blank_to_null(F.col("sls_prd_key")).alias("product_key"),
         F.col("sls_cust_id").alias("customer_id"),
-        order.alias("order_date"),
-        ship.alias("ship_date"),
-        due.alias("due_date"),
+        *SALES_DAYS.values(),
         numbers.positive_or_zero(F.col("sls_sales")).alias("sales_amount"),
         numbers.positive_or_zero(F.col("sls_quantity")).alias("quantity"),
         numbers.positive_or_zero(F.col("sls_price")).alias("price"),
@@ -93,34 +106,38 @@ def clean_crm_sales(raw: DataFrame, run_ts: dt.datetime) -> DataFrame:
 
 
 def clean_erp_category(raw: DataFrame, run_ts: dt.datetime) -> DataFrame:
-    return raw.select(
+    titled = raw.withColumns({name: text.title(F.col(name)) for name in ["CAT", "SUBCAT"]})
+    return titled.select(
         text.code(F.col("ID")).alias("category_id"),
-        text.or_missing(text.title(F.col("CAT"))).alias("category"),
-        text.or_missing(text.title(F.col("SUBCAT"))).alias("subcategory"),
+        text.or_missing(F.col("CAT")).alias("category"),
+        text.or_missing(F.col("SUBCAT")).alias("subcategory"),
         codes.yes_flag(F.col("MAINTENANCE")).alias("requires_maintenance"),
         loaded_at(run_ts),
     )
 
 
 def clean_erp_customer(raw: DataFrame, run_ts: dt.datetime) -> DataFrame:
-    birth_date = dates.not_future(F.col("BDATE"), run_ts)
-    age = dates.whole_years(birth_date, run_ts)
-    return raw.select(
+    born = raw.withColumn("BDATE", dates.not_future(F.col("BDATE"), run_ts))
+    aged = born.withColumn("age", dates.whole_years(F.col("BDATE"), run_ts))
+    return aged.select(
         text.without_prefix(F.col("CID"), "NAS").alias("customer_id"),
-        birth_date.alias("birth_date"),
-        codes.erp_gender(F.col("GEN")).alias("gender"),
-        age.alias("age"),
-        codes.age_group(age).alias("age_group"),
+        F.col("BDATE").alias("birth_date"),
+        codes.decoded(F.upper(text.trimmed(F.col("GEN"))), codes.ERP_GENDER, F.lit(text.MISSING)).alias("gender"),
+        "age",
+        codes.age_group(F.col("age")).alias("age_group"),
         loaded_at(run_ts),
     )
 
 
-def clean_erp_location(raw: DataFrame, run_ts: dt.datetime) -> DataFrame:
-    country = codes.country(F.col("CNTRY"))
-    return raw.select(
+def clean_erp_location(raw: DataFrame, run_ts: dt.datetime, aliases: Mapping[str, str] = codes.COUNTRY_ALIASES,
+                       regions: Mapping[str, Sequence[str]] = codes.REGIONS) -> DataFrame:
+    """Locations with one name per country and its region; both tables are parameters."""
+    titled = raw.withColumn("name", text.title(F.col("CNTRY")))
+    known = titled.withColumn("country", codes.decoded(F.col("name"), aliases, text.or_missing(F.col("name"))))
+    return known.select(
         text.without_dashes(F.col("CID")).alias("customer_id"),
-        country.alias("country"),
-        codes.region(country).alias("region"),
+        "country",
+        codes.bucket(F.col("country"), regions, F.lit(codes.OTHER_REGION)).alias("region"),
         loaded_at(run_ts),
     )
 

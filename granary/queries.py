@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import partial
+from functools import cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,37 +27,60 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Tables:
-    """All datasets over one data folder, as plans."""
+    """All datasets over one data folder. Plans are built once; dimensions are written once and then scanned.
+
+    Facts meet written dimensions because Spark knows the size of a table, but overestimates the size of a nested plan and
+    would shuffle the sales for a dimension that fits in memory.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = tuned(spark), sf_dir
 
+    @cache
     def raw(self, name: str) -> DataFrame:
         return feed(self.spark, self.sf_dir, name)
 
+    @cache
     def silver(self, name: str) -> DataFrame:
         return refined.refined(name, self.raw(name), RUN_TS)
 
     def sales(self) -> DataFrame:
         return self.silver("crm_sales")
 
+    @cache
+    def dim_customer(self) -> DataFrame:
+        people, locations = self.silver("erp_customer"), self.silver("erp_location")
+        return marts.dim_customer(self.silver("crm_customer"), people, locations, RUN_TS)
+
+    @cache
+    def dim_product(self) -> DataFrame:
+        return marts.dim_product(self.silver("crm_product"), self.silver("erp_category"), RUN_TS)
+
+    @cache
     def customers(self) -> DataFrame:
-        return marts.dim_customer(
-            self.silver("crm_customer"), self.silver("erp_customer"), self.silver("erp_location"), RUN_TS
-        )
+        return self.written(self.dim_customer(), "customers")
 
+    @cache
     def products(self) -> DataFrame:
-        return marts.dim_product(self.silver("crm_product"), self.silver("erp_category"), RUN_TS)
+        return self.written(self.dim_product(), "products")
+
+    def written(self, df: DataFrame, purpose: str) -> DataFrame:
+        path = scratch_dir(self.spark, purpose)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def calendar(self) -> DataFrame:
         return marts.dim_calendar(marts.fixed_bounds(self.spark, *CALENDAR), RUN_TS)
 
+    @cache
     def fact(self) -> DataFrame:
         return marts.fact_sales(self.sales(), self.customers(), self.products(), self.calendar(), RUN_TS)
 
+    @cache
     def effective_fact(self) -> DataFrame:
         return marts.fact_sales_effective(self.sales(), self.customers(), self.products(), self.calendar(), RUN_TS)
 
+    @cache
     def measures(self) -> DataFrame:
         return marts.sales_measures(self.sales(), self.customers(), self.products())
 
@@ -142,10 +165,8 @@ def intervals(t: Tables) -> DataFrame:
 
 
 def date_guards(t: Tables) -> DataFrame:
-    raw_days = [F.col("sls_order_dt"), F.col("sls_ship_dt"), F.col("sls_due_dt")]
-    names = ["order_date", "ship_date", "due_date"]
-    guarded = [day.alias(name) for day, name in zip(refined.guarded_dates(*raw_days, RUN_TS), names)]
-    return t.raw("crm_sales").select("sls_ord_num", *raw_days, *guarded)
+    days = refined.SALES_DAYS
+    return refined.guarded_dates(t.raw("crm_sales"), RUN_TS).select("sls_ord_num", *days, *days.values())
 
 
 def classic_table(name: str, t: Tables) -> DataFrame:
@@ -206,8 +227,8 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "version_intervals": intervals,
     "date_guards": date_guards,
     **{f"rules_{name}": partial(rule_report, name) for name in FEEDS},
-    "dim_customer": lambda t: unstamped(t.customers()),
-    "dim_product": lambda t: unstamped(t.products()),
+    "dim_customer": lambda t: unstamped(t.dim_customer()),
+    "dim_product": lambda t: unstamped(t.dim_product()),
     "dim_calendar": lambda t: unstamped(calendar_of_sales(t)),
     "fact_sales": lambda t: unstamped(t.fact()),
     "fact_sales_effective": lambda t: unstamped(t.effective_fact()),
@@ -216,13 +237,13 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "kpi_total_items": lambda t: metrics.total_items(t.measures()),
     "kpi_avg_price": lambda t: metrics.avg_price(t.measures()),
     "kpi_orders": lambda t: metrics.total_orders(t.sales()),
-    "kpi_products": lambda t: metrics.total_products(t.products()),
-    "kpi_customers": lambda t: metrics.total_customers(t.customers()),
+    "kpi_products": lambda t: metrics.total_products(t.dim_product()),
+    "kpi_customers": lambda t: metrics.total_customers(t.dim_customer()),
     "kpi_buyers": lambda t: metrics.total_buyers(t.customers(), t.sales()),
     "order_span": lambda t: metrics.order_span(t.sales()),
-    "customer_age_span": lambda t: metrics.customer_age_span(t.customers(), RUN_TS),
-    "countries": lambda t: metrics.countries(t.customers()),
-    "product_hierarchy": lambda t: metrics.product_hierarchy(t.products()),
+    "customer_age_span": lambda t: metrics.customer_age_span(t.dim_customer(), RUN_TS),
+    "countries": lambda t: metrics.countries(t.dim_customer()),
+    "product_hierarchy": lambda t: metrics.product_hierarchy(t.dim_product()),
     "business_report": lambda t: metrics.business_report(t.measures(), t.customers(), t.products(), t.sales()),
     **{f"classic_{name}": partial(classic_table, name) for name in classic.TABLES},
     "table_counts": lambda t: profile.table_counts({name: t.raw(name) for name in FEEDS}),
@@ -230,14 +251,14 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "relationship_check": relationships,
     "publish_roundtrip": publish_roundtrip,
     "clustered_roundtrip": clustered_roundtrip,
-    "top_products": lambda t: questions.top_products(t.effective_fact()),
+    "top_products": lambda t: questions.top_products(t.sales(), t.products()),
     "top_customers": lambda t: questions.top_customers(t.sales(), t.customers()),
     "monthly_growth": lambda t: questions.monthly_growth(t.sales()),
     "weak_regions": lambda t: questions.weak_regions(t.sales(), t.customers()),
     "spend_drivers": lambda t: questions.spend_drivers(t.sales(), t.customers()),
     "spend_correlation": lambda t: questions.spend_correlation(t.sales(), t.customers()),
-    "category_margin": lambda t: questions.category_margin(t.effective_fact()),
-    "ship_delay": lambda t: questions.ship_delay(marts.fact_sales_ml(t.effective_fact(), RUN_TS)),
+    "category_margin": lambda t: questions.category_margin(t.sales(), t.products()),
+    "ship_delay": lambda t: questions.ship_delay(t.sales(), t.products()),
     "sales_trend": lambda t: questions.sales_trend(t.sales()),
 }
 
