@@ -82,13 +82,12 @@ def crm_product(raw: DataFrame, run_ts: dt.datetime) -> DataFrame:
 
 def sales(raw: DataFrame, run_ts: dt.datetime) -> DataFrame:
     good = (F.col("sls_quantity") > 0) & not_negative("sls_sales") & not_negative("sls_price")
-    return raw.where(good).select(
+    days = {"sls_order_dt": "order_date", "sls_ship_dt": "ship_date", "sls_due_dt": "due_date"}
+    return dates.with_dates(raw.where(good), days).select(
         F.col("sls_ord_num").alias("sales_order_number"),
         F.col("sls_prd_key").alias("product_key"),
         F.col("sls_cust_id").alias("customer_id"),
-        dates.from_yyyymmdd(F.col("sls_order_dt")).alias("order_date"),
-        dates.from_yyyymmdd(F.col("sls_ship_dt")).alias("ship_date"),
-        dates.from_yyyymmdd(F.col("sls_due_dt")).alias("due_date"),
+        *days.values(),
         numbers.cents(F.col("sls_sales")).alias("sales_amount"),
         F.col("sls_quantity").alias("quantity"),
         numbers.cents(F.col("sls_price")).alias("unit_price"),

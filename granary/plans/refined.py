@@ -81,11 +81,11 @@ def guarded_dates(raw: DataFrame, run_ts: dt.datetime) -> DataFrame:
     """Add believable dates in the sequence order, ship, due; a date that breaks the sequence is dropped.
 
     Due is compared with the ship date that survived, so a ship date before the order does not cost the due date.
-    One step per guard keeps every date parsed once.
+    One step per guard, so that no date is computed twice.
     """
     order, ship, due = (F.col(name) for name in SALES_DAYS.values())
     return (
-        raw.withColumns({name: dates.from_yyyymmdd(F.col(number)) for number, name in SALES_DAYS.items()})
+        dates.with_dates(raw, SALES_DAYS)
         .withColumns({name: dates.believable(F.col(name), run_ts) for name in SALES_DAYS.values()})
         .withColumns({"ship_date": dates.not_before(ship, order), "due_date": dates.not_before(due, order)})
         .withColumn("due_date", dates.not_before(due, ship))
