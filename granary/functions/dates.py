@@ -17,28 +17,26 @@ def moment(run_ts: dt.datetime) -> Column:
     return F.lit(run_ts.isoformat(sep=" ")).cast("timestamp")
 
 
-def with_dates(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    """Read yyyymmdd numbers as dates: number column -> new date column; what is no such date becomes NULL.
+def with_dates(df: DataFrame, columns: Mapping[str, str], first: dt.date = dt.date(1000, 1, 1),
+               last: dt.date = dt.date.max) -> DataFrame:
+    """Read yyyymmdd numbers as dates: number column -> new date column.
 
-    Integer arithmetic takes a small fraction of the time of parsing digits as text. The candidate may run into another
-    month (day 31 of a short one, day 0), so its day must be the day asked for. Two steps, to compute it once.
+    What is no date, or lies outside the given days, becomes NULL. Integer arithmetic takes a small fraction of the time
+    of parsing digits as text. A candidate may run into another month (day 31 of a short one, day 0), so its day must be
+    the day asked for. Two steps and a range check on the number keep generated code small.
     """
-    return df.withColumns({name: candidate(F.col(number)) for number, name in columns.items()}).withColumns({
-        name: F.when(F.dayofmonth(name) == F.col(number) % 100, F.col(name)) for number, name in columns.items()
-    })
+    low, high = (int(f"{day:%Y%m%d}") for day in (first, last))
+    candidates = {name: candidate(F.col(number), low, high) for number, name in columns.items()}
+    real = {name: F.when(F.dayofmonth(name) == F.col(number) % 100, F.col(name)) for number, name in columns.items()}
+    return df.withColumns(candidates).withColumns(real)
 
 
-def candidate(number: Column) -> Column:
+def candidate(number: Column, low: int, high: int) -> Column:
     year, month, day = (number / 10000).cast("int"), (number / 100).cast("int") % 100, number % 100
-    readable = number.between(10000101, 99991231) & month.between(1, 12)
+    readable = number.between(low, high) & month.between(1, 12)
     return F.when(readable, F.date_add(F.make_date(year, month, F.lit(1)), day - 1))
 
 
-def believable(day: Column, run_ts: dt.datetime) -> Column:
-    """The date if it lies between EARLIEST and the run date, else NULL."""
-    return F.when(day.between(F.lit(EARLIEST), F.lit(run_ts.date())), day)
-
-
 def not_before(day: Column, floor: Column) -> Column:
     """The date unless it precedes a known floor date; an unknown floor rejects nothing."""
     return F.when(~F.coalesce(day < floor, F.lit(False)), day)

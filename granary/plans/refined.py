@@ -85,8 +85,7 @@ def guarded_dates(raw: DataFrame, run_ts: dt.datetime) -> DataFrame:
     """
     order, ship, due = (F.col(name) for name in SALES_DAYS.values())
     return (
-        dates.with_dates(raw, SALES_DAYS)
-        .withColumns({name: dates.believable(F.col(name), run_ts) for name in SALES_DAYS.values()})
+        dates.with_dates(raw, SALES_DAYS, dates.EARLIEST, run_ts.date())
         .withColumns({"ship_date": dates.not_before(ship, order), "due_date": dates.not_before(due, order)})
         .withColumn("due_date", dates.not_before(due, ship))
     )
