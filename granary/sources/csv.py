@@ -19,8 +19,8 @@ def read_feed(spark: SparkSession, path: str | Sequence[str], schema: str | T.St
               header: bool = True) -> DataFrame:
     """Read a CSV feed permissively: with a schema in one pass, without one by inferring the types first.
 
-    With a schema, lines that do not fit it are kept whole in ``corrupt_record``. Every column is parsed even when few
-    are selected, so that the same lines count as corrupt whatever the query reads.
+    With a schema, lines that do not fit it are kept whole in ``corrupt_record``. Surplus and absent fields are noticed in
+    every query; a bad value only when its column is read, so write the raw layer with all columns.
     """
     reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
     if schema is None:
