@@ -245,7 +245,8 @@ FACT = """
 FEATURES = f"""
         SELECT order_number, customer_id, product_key, order_date, ship_date, due_date, order_year, order_month, order_day,
                order_quarter, order_month_name, order_day_of_week, order_is_weekend, sales_amount, quantity, price,
-               ship_date - order_date AS days_to_ship, due_date - order_date AS days_until_due,
+               CAST(ship_date - order_date AS INTEGER) AS days_to_ship,
+               CAST(due_date - order_date AS INTEGER) AS days_until_due,
                CASE WHEN ship_date IS NULL THEN 1 WHEN ship_date <= due_date THEN 0 ELSE 1 END AS is_late_shipment,
                {r2("sales_amount / quantity")} AS price_per_unit,
                CASE WHEN product_cost > 0 THEN {r2("(price - product_cost) / price * 100")} END AS profit_margin_pct,
@@ -254,7 +255,7 @@ FEATURES = f"""
                customer_birth_date, marital_status, customer_country, customer_region, product_id, product_name,
                product_category, product_subcategory, product_line, product_cost, product_category_name,
                product_requires_maintenance, product_start_date, product_end_date,
-               order_date - product_start_date AS product_age_days,
+               CAST(order_date - product_start_date AS INTEGER) AS product_age_days,
                CASE WHEN product_end_date IS NULL OR order_date <= product_end_date THEN 1 ELSE 0 END AS is_product_active,
                CASE WHEN ship_date IS NULL THEN 1 ELSE 0 END AS missing_ship_date,
                CASE WHEN customer_age IS NULL THEN 1 ELSE 0 END AS missing_customer_age,
@@ -274,6 +275,20 @@ PARTS |= {
     "spend": """
         SELECT customer_id, sum(sales_amount) AS total_sales, count(*) AS sales_lines
         FROM silver_crm_sales WHERE customer_id IS NOT NULL GROUP BY customer_id""",
+    "line_items": """
+        SELECT product_line, CAST(date_trunc('month', order_date) AS DATE) AS month, sum(quantity) AS items
+        FROM gold_fact_effective WHERE order_date IS NOT NULL AND product_line IS NOT NULL GROUP BY 1, 2""",
+    "activity": f"""
+        SELECT customer_id, CAST({TODAY} - max(order_date) AS INTEGER) AS days_since_order,
+               count(DISTINCT order_number) AS orders, CAST(sum(sales_amount) AS BIGINT) AS total_sales
+        FROM silver_crm_sales WHERE customer_id IS NOT NULL AND order_date IS NOT NULL GROUP BY customer_id""",
+    "bought": """
+        SELECT customer_id, product_key, sum(quantity) AS items FROM silver_crm_sales
+        WHERE customer_id IS NOT NULL AND product_key IS NOT NULL GROUP BY ALL""",
+    "residents": "SELECT DISTINCT customer_id, region FROM gold_customer WHERE region IS NOT NULL",
+    "region_top": """
+        SELECT region, product_key, row_number() OVER (PARTITION BY region ORDER BY sum(items) DESC, product_key) AS rank
+        FROM bought JOIN residents USING (customer_id) GROUP BY region, product_key QUALIFY rank <= 10""",
     "spender": "SELECT * FROM spend JOIN gold_customer USING (customer_id)",
 }
 
@@ -377,6 +392,18 @@ def driver(column: str) -> str:
     )
 
 
+def forecast(series: str, value: str, key: str = "") -> str:
+    """Straight line through a monthly series, continued for three months."""
+    number = "(year({0}) - 2000) * 12 + month({0})"
+    month = "CAST(last + to_months(CAST(step AS INTEGER)) AS DATE)"
+    lead, group = (f"{key}, ", f" GROUP BY {key}") if key else ("", "")
+    return f"""
+        SELECT {lead}{month} AS month, round(intercept + slope * ({number.format(month)})) AS forecast
+        FROM (SELECT {lead}regr_slope({value}, {number.format("month")}) AS slope,
+                     regr_intercept({value}, {number.format("month")}) AS intercept, max(month) AS last
+              FROM {series}{group}), range(1, 4) AS steps(step)"""
+
+
 def pct(part: str, whole: str) -> str:
     return r2(f"CAST({part} AS DOUBLE) * 100 / nullif({whole}, 0)")
 
@@ -529,6 +556,19 @@ STATEMENTS = {
                {r2("avg(total_sales) OVER (ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)")} AS moving_average,
                CAST(sum(total_sales) OVER (ORDER BY month) AS BIGINT) AS running_total
         FROM monthly""",
+    "sales_forecast": forecast("monthly", "total_sales"),
+    "demand_forecast": forecast("line_items", "items", "product_line"),
+    "customer_segments": """
+        SELECT *, CASE WHEN days_since_order <= (SELECT avg(days_since_order) FROM activity) THEN 'recent' ELSE 'lapsed' END
+               || '-' || CASE WHEN orders >= (SELECT avg(orders) FROM activity) THEN 'frequent' ELSE 'rare' END
+               || '-' || CASE WHEN total_sales >= (SELECT avg(total_sales) FROM activity) THEN 'high' ELSE 'low' END
+               AS segment
+        FROM activity""",
+    "recommendations": """
+        SELECT customer_id, arg_min(product_key, rank) AS product_key, CAST(min(rank) AS INTEGER) AS rank
+        FROM residents JOIN region_top USING (region)
+        WHERE (customer_id, product_key) NOT IN (SELECT (customer_id, product_key) FROM bought)
+        GROUP BY customer_id""",
 }
 
 

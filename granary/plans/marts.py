@@ -131,6 +131,10 @@ def renamed(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
     return df.select(F.col(key).alias("_key"), *[F.col(old).alias(new) for old, new in columns.items()])
 
 
+def with_customer(sales: DataFrame, customers: DataFrame) -> DataFrame:
+    return left_lookup(sales, renamed(customers, "customer_id", CUSTOMER), "customer_id", "_key").drop("_key")
+
+
 def with_every_version(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Sales with the attributes of each version of their product."""
     return left_lookup(sales, renamed(products, "product_key", PRODUCT), "product_key", "_key").drop("_key")
@@ -148,23 +152,31 @@ def with_version_in_force(sales: DataFrame, products: DataFrame) -> DataFrame:
     return sales.join(versions, (F.col("product_key") == F.col("_key")) & in_force, "left").drop("_key")
 
 
-def star(sales: DataFrame, customers: DataFrame, calendar: DataFrame, run_ts: dt.datetime) -> DataFrame:
-    """Sales that already carry product attributes, with calendar and customer attributes."""
-    by_day = sales.join(renamed(calendar, "date", CALENDAR), F.col("order_date") == F.col("_key"), "left").drop("_key")
-    full = left_lookup(by_day, renamed(customers, "customer_id", CUSTOMER), "customer_id", "_key")
-    return full.select(*SALES, *CUSTOMER.values(), *PRODUCT.values(), *CALENDAR.values(), processed_at(run_ts))
+def with_calendar(sales: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Sales with the calendar attributes of the order date; NULL outside the calendar."""
+    days = renamed(calendar, "date", CALENDAR)
+    return sales.join(days, F.col("order_date") == F.col("_key"), "left").drop("_key")
+
+
+def fact_columns(sales: DataFrame, run_ts: dt.datetime) -> DataFrame:
+    return sales.select(*SALES, *CUSTOMER.values(), *PRODUCT.values(), *CALENDAR.values(), processed_at(run_ts))
+
+
+# The customer dimension is the one most likely to need a shuffle, so it is looked up while the rows are still narrow.
 
 
 def fact_sales(sales: DataFrame, customers: DataFrame, products: DataFrame, calendar: DataFrame,
                run_ts: dt.datetime) -> DataFrame:
     """Sales with all dimension attributes. Each sale meets every version of its product, whatever the order date."""
-    return star(with_every_version(sales, products), customers, calendar, run_ts)
+    by_customer = with_customer(sales.select(*SALES), customers)
+    return fact_columns(with_calendar(with_every_version(by_customer, products), calendar), run_ts)
 
 
 def fact_sales_effective(sales: DataFrame, customers: DataFrame, products: DataFrame, calendar: DataFrame,
                          run_ts: dt.datetime) -> DataFrame:
     """Sales with the product version in force on the order date, so that sums are not inflated."""
-    return star(with_version_in_force(sales, products), customers, calendar, run_ts)
+    by_customer = with_customer(sales.select(*SALES), customers)
+    return fact_columns(with_calendar(with_version_in_force(by_customer, products), calendar), run_ts)
 
 
 def sales_measures(sales: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:

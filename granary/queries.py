@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import cache, partial
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.operators import rules
 from granary.operators.versions import version_intervals
-from granary.plans import classic, marts, metrics, profile, questions, refined
+from granary.plans import classic, marts, metrics, predictions, profile, questions, refined
 from granary.session import scratch_dir, tuned
 from granary.sinks.publish import publish
 from granary.sources.csv import read_feed, read_merged, with_lineage
@@ -37,59 +37,57 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = tuned(spark), sf_dir
 
-    @cache
     def raw(self, name: str) -> DataFrame:
         return feed(self.spark, self.sf_dir, name)
 
-    @cache
     def silver(self, name: str) -> DataFrame:
         return refined.refined(name, self.raw(name), RUN_TS)
 
+    def written(self, df: DataFrame, purpose: str) -> DataFrame:
+        path = scratch_dir(self.spark, purpose)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    @cached_property
     def sales(self) -> DataFrame:
         return self.silver("crm_sales")
 
-    @cache
+    @cached_property
     def dim_customer(self) -> DataFrame:
         people, locations = self.silver("erp_customer"), self.silver("erp_location")
         return marts.dim_customer(self.silver("crm_customer"), people, locations, RUN_TS)
 
-    @cache
+    @cached_property
     def dim_product(self) -> DataFrame:
         return marts.dim_product(self.silver("crm_product"), self.silver("erp_category"), RUN_TS)
 
-    @cache
+    @cached_property
     def sales_table(self) -> DataFrame:
-        return self.written(self.sales(), "sales")
+        return self.written(self.sales, "sales")
 
-    @cache
+    @cached_property
     def customers(self) -> DataFrame:
-        return self.written(self.dim_customer(), "customers")
+        return self.written(self.dim_customer, "customers")
 
-    @cache
+    @cached_property
     def products(self) -> DataFrame:
-        return self.written(self.dim_product(), "products")
-
-    def written(self, df: DataFrame, purpose: str) -> DataFrame:
-        path = scratch_dir(self.spark, purpose)
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return self.written(self.dim_product, "products")
 
+    @cached_property
     def calendar(self) -> DataFrame:
         return marts.dim_calendar(marts.fixed_bounds(self.spark, *CALENDAR), RUN_TS)
 
-    @cache
+    @cached_property
     def fact(self) -> DataFrame:
-        return marts.fact_sales(self.sales_table(), self.customers(), self.products(), self.calendar(), RUN_TS)
+        return marts.fact_sales(self.sales_table, self.customers, self.products, self.calendar, RUN_TS)
 
-    @cache
+    @cached_property
     def effective_fact(self) -> DataFrame:
-        return marts.fact_sales_effective(
-            self.sales_table(), self.customers(), self.products(), self.calendar(), RUN_TS
-        )
+        return marts.fact_sales_effective(self.sales_table, self.customers, self.products, self.calendar, RUN_TS)
 
-    @cache
+    @cached_property
     def measures(self) -> DataFrame:
-        return marts.sales_measures(self.sales(), self.customers(), self.products())
+        return marts.sales_measures(self.sales, self.customers, self.products)
 
     def with_lineage(self, name: str) -> DataFrame:
         """A raw feed with fixed lineage, as classic plans expect it."""
@@ -185,11 +183,11 @@ def classic_table(name: str, t: Tables) -> DataFrame:
 
 
 def calendar_of_sales(t: Tables) -> DataFrame:
-    return marts.dim_calendar(marts.spanned_years(t.sales(), "order_date"), RUN_TS)
+    return marts.dim_calendar(marts.spanned_years(t.sales, "order_date"), RUN_TS)
 
 
 def relationships(t: Tables) -> DataFrame:
-    sales, customers, products = t.sales(), t.silver("crm_customer"), t.silver("crm_product")
+    sales, customers, products = t.sales, t.silver("crm_customer"), t.silver("crm_product")
     people, locations = t.silver("erp_customer"), t.silver("erp_location")
     return profile.relationship_check({
         "sales.customer_id -> customer.customer_id": (sales, "customer_id", customers, "customer_id"),
@@ -220,7 +218,7 @@ def publish_roundtrip(t: Tables) -> DataFrame:
 
 
 def clustered_roundtrip(t: Tables) -> DataFrame:
-    features = marts.fact_sales_ml(t.effective_fact(), RUN_TS)
+    features = marts.fact_sales_ml(t.effective_fact, RUN_TS)
     return unstamped(published(features, "features", cluster_by=marts.CLUSTER_KEYS))
 
 
@@ -234,39 +232,43 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "version_intervals": intervals,
     "date_guards": date_guards,
     **{f"rules_{name}": partial(rule_report, name) for name in FEEDS},
-    "dim_customer": lambda t: unstamped(t.dim_customer()),
-    "dim_product": lambda t: unstamped(t.dim_product()),
+    "dim_customer": lambda t: unstamped(t.dim_customer),
+    "dim_product": lambda t: unstamped(t.dim_product),
     "dim_calendar": lambda t: unstamped(calendar_of_sales(t)),
-    "fact_sales": lambda t: unstamped(t.fact()),
-    "fact_sales_effective": lambda t: unstamped(t.effective_fact()),
-    "fact_sales_ml": lambda t: unstamped(marts.fact_sales_ml(t.fact(), RUN_TS)),
-    "kpi_total_sales": lambda t: metrics.total_sales(t.measures()),
-    "kpi_total_items": lambda t: metrics.total_items(t.measures()),
-    "kpi_avg_price": lambda t: metrics.avg_price(t.measures()),
-    "kpi_orders": lambda t: metrics.total_orders(t.sales()),
-    "kpi_products": lambda t: metrics.total_products(t.dim_product()),
-    "kpi_customers": lambda t: metrics.total_customers(t.dim_customer()),
-    "kpi_buyers": lambda t: metrics.total_buyers(t.customers(), t.sales()),
-    "order_span": lambda t: metrics.order_span(t.sales()),
-    "customer_age_span": lambda t: metrics.customer_age_span(t.dim_customer(), RUN_TS),
-    "countries": lambda t: metrics.countries(t.dim_customer()),
-    "product_hierarchy": lambda t: metrics.product_hierarchy(t.dim_product()),
-    "business_report": lambda t: metrics.business_report(t.measures(), t.customers(), t.products(), t.sales()),
+    "fact_sales": lambda t: unstamped(t.fact),
+    "fact_sales_effective": lambda t: unstamped(t.effective_fact),
+    "fact_sales_ml": lambda t: unstamped(marts.fact_sales_ml(t.fact, RUN_TS)),
+    "kpi_total_sales": lambda t: metrics.total_sales(t.measures),
+    "kpi_total_items": lambda t: metrics.total_items(t.measures),
+    "kpi_avg_price": lambda t: metrics.avg_price(t.measures),
+    "kpi_orders": lambda t: metrics.total_orders(t.sales),
+    "kpi_products": lambda t: metrics.total_products(t.dim_product),
+    "kpi_customers": lambda t: metrics.total_customers(t.dim_customer),
+    "kpi_buyers": lambda t: metrics.total_buyers(t.customers, t.sales),
+    "order_span": lambda t: metrics.order_span(t.sales),
+    "customer_age_span": lambda t: metrics.customer_age_span(t.dim_customer, RUN_TS),
+    "countries": lambda t: metrics.countries(t.dim_customer),
+    "product_hierarchy": lambda t: metrics.product_hierarchy(t.dim_product),
+    "business_report": lambda t: metrics.business_report(t.measures, t.customers, t.products, t.sales),
     **{f"classic_{name}": partial(classic_table, name) for name in classic.TABLES},
     "table_counts": lambda t: profile.table_counts({name: t.raw(name) for name in FEEDS}),
     "table_profile": lambda t: profile.table_profile({name: t.raw(name) for name in FEEDS}),
     "relationship_check": relationships,
     "publish_roundtrip": publish_roundtrip,
     "clustered_roundtrip": clustered_roundtrip,
-    "top_products": lambda t: questions.top_products(t.sales_table(), t.products()),
-    "top_customers": lambda t: questions.top_customers(t.sales(), t.customers()),
-    "monthly_growth": lambda t: questions.monthly_growth(t.sales_table()),
-    "weak_regions": lambda t: questions.weak_regions(t.sales(), t.customers()),
-    "spend_drivers": lambda t: questions.spend_drivers(t.sales(), t.customers()),
-    "spend_correlation": lambda t: questions.spend_correlation(t.sales(), t.customers()),
-    "category_margin": lambda t: questions.category_margin(t.sales_table(), t.products()),
-    "ship_delay": lambda t: questions.ship_delay(t.sales_table(), t.products()),
-    "sales_trend": lambda t: questions.sales_trend(t.sales_table()),
+    "top_products": lambda t: questions.top_products(t.sales_table, t.products),
+    "top_customers": lambda t: questions.top_customers(t.sales, t.customers),
+    "monthly_growth": lambda t: questions.monthly_growth(t.sales_table),
+    "weak_regions": lambda t: questions.weak_regions(t.sales, t.customers),
+    "spend_drivers": lambda t: questions.spend_drivers(t.sales, t.customers),
+    "spend_correlation": lambda t: questions.spend_correlation(t.sales, t.customers),
+    "category_margin": lambda t: questions.category_margin(t.sales_table, t.products),
+    "ship_delay": lambda t: questions.ship_delay(t.sales_table, t.products),
+    "sales_trend": lambda t: questions.sales_trend(t.sales_table),
+    "sales_forecast": lambda t: predictions.sales_forecast(t.sales_table),
+    "demand_forecast": lambda t: predictions.demand_forecast(t.sales_table, t.products),
+    "customer_segments": lambda t: predictions.customer_segments(t.sales_table, RUN_TS),
+    "recommendations": lambda t: predictions.recommendations(t.sales_table, t.customers),
 }
 
 

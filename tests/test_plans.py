@@ -25,11 +25,11 @@ def test_widths(tables):
     widths = {"crm_customer": 8, "crm_product": 9, "crm_sales": 10, "erp_category": 5, "erp_customer": 6,
               "erp_location": 4}
     assert {name: len(tables.silver(name).columns) for name in widths} == widths
-    assert len(tables.dim_customer().columns) == 13
-    assert len(tables.dim_product().columns) == 12
-    assert len(tables.calendar().columns) == 16
-    assert len(tables.fact().columns) == 37
-    assert len(marts.fact_sales_ml(tables.fact(), dt.datetime(2025, 1, 1)).columns) == 48
+    assert len(tables.dim_customer.columns) == 13
+    assert len(tables.dim_product.columns) == 12
+    assert len(tables.calendar.columns) == 16
+    assert len(tables.fact.columns) == 37
+    assert len(marts.fact_sales_ml(tables.fact, dt.datetime(2025, 1, 1)).columns) == 48
 
 
 def test_null_customer_ids_collapse_before_they_are_dropped(spark, run_ts):  # S-4
@@ -65,7 +65,7 @@ def test_date_sequence(spark, run_ts):  # S-11
 
 def test_sales_dates_always_in_sequence(tables):
     broken = "ship_date < order_date OR due_date < order_date OR due_date < ship_date"
-    assert tables.sales().where(broken).count() == 0
+    assert tables.sales.where(broken).count() == 0
 
 
 def test_drop_rules_leave_no_violation(tables, run_ts):
@@ -94,30 +94,30 @@ def test_erp_gender_wins_even_when_missing(spark, run_ts):  # S-6, S-18
 
 
 def test_fact_rows_follow_versions_and_effective_rows_follow_sales(tables):  # S-1, S-15
-    versions = tables.products().groupBy("product_key").agg(F.count(F.lit(1)).alias("n"))
-    expected = tables.sales().join(versions, "product_key", "left").agg(F.sum(F.coalesce("n", F.lit(1)))).first()[0]
-    assert tables.fact().count() == expected
-    effective = tables.effective_fact()
-    assert effective.count() == tables.sales().count()
+    versions = tables.products.groupBy("product_key").agg(F.count(F.lit(1)).alias("n"))
+    expected = tables.sales.join(versions, "product_key", "left").agg(F.sum(F.coalesce("n", F.lit(1)))).first()[0]
+    assert tables.fact.count() == expected
+    effective = tables.effective_fact
+    assert effective.count() == tables.sales.count()
     outside = effective.where(~F.col("order_date").between(*CALENDAR))
     assert outside.count() > 0 and outside.where(F.col("order_year").isNotNull()).count() == 0
 
 
 def test_weighted_measures_equal_measures_of_the_fact(tables):
-    of_fact, weighted = metrics.measures_of(tables.fact()), tables.measures()
+    of_fact, weighted = metrics.measures_of(tables.fact), tables.measures
     for metric in (metrics.total_sales, metrics.total_items, metrics.avg_price, metrics.total_orders):
         assert metric(of_fact).first() == metric(weighted).first()
 
 
 def test_feature_flags(tables, run_ts):  # S-12, S-13
-    features = marts.fact_sales_ml(tables.fact(), run_ts)
+    features = marts.fact_sales_ml(tables.fact, run_ts)
     assert features.where("ship_date IS NULL AND is_late_shipment = 0").count() == 0
     assert features.where("ship_date IS NOT NULL AND due_date IS NOT NULL AND is_late_shipment = 1").count() == 0
     assert features.where("missing_product_cost <> if(coalesce(product_cost, 0) = 0, 1, 0)").count() == 0
 
 
 def test_filters_and_columns_reach_the_scan(tables, run_ts, capsys):
-    marts.fact_sales_ml(tables.fact(), run_ts).select("order_number", "price_per_unit").explain("formatted")
+    marts.fact_sales_ml(tables.fact, run_ts).select("order_number", "price_per_unit").explain("formatted")
     plan = capsys.readouterr().out
     pushed = [line for line in plan.splitlines() if "GreaterThan(sales_amount,0)" in line]
     assert any("GreaterThan(quantity,0)" in line and "IsNotNull(order_date)" in line for line in pushed)
@@ -125,7 +125,7 @@ def test_filters_and_columns_reach_the_scan(tables, run_ts, capsys):
 
 
 def test_no_cartesian_products(tables, capsys):
-    for df in (tables.fact(), tables.effective_fact(), tables.measures(), unstamped(tables.dim_customer())):
+    for df in (tables.fact, tables.effective_fact, tables.measures, unstamped(tables.dim_customer)):
         df.explain()
     plan = capsys.readouterr().out
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan

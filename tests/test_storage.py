@@ -84,8 +84,8 @@ def test_full_refresh(spark, sf_dir, tmp_path, run_ts):
     lake.refine_classic()
     lake.build_marts(dt.date(1995, 1, 1), dt.date(2000, 12, 31))
     assert lake.audit["t_silver.crm_sales"]["valid_order_number"] == 7
-    assert lake.audit["t_gold.fact_sales"]["published_rows"] == tables.fact().count()
-    assert lake.audit["t_gold.fact_sales_effective"]["published_rows"] == tables.sales().count()
+    assert lake.audit["t_gold.fact_sales"]["published_rows"] == tables.fact.count()
+    assert lake.audit["t_gold.fact_sales_effective"]["published_rows"] == tables.sales.count()
     assert lake.read("gold", "dim_calendar").count() == 2192
     columns = refined.refined("crm_product", tables.raw("crm_product"), run_ts).columns
     assert lake.read("silver", "crm_product").columns == columns
