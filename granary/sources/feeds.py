@@ -10,6 +10,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal rows out to all cores where the files give work to less than half of them, as one small file does.
+
+    Large inputs have far more splits than a cluster has cores and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores / 2 else df
+
+
 def pick(number: Column, values: list[str | None]) -> Column:
     """The value at the position given by the remainder of a number."""
     return F.element_at(F.array(*[F.lit(v).cast("string") for v in values]), (number % len(values) + 1).cast("int"))
@@ -75,7 +84,8 @@ def crm_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     o, part = F.col("l_orderkey"), F.col("l_partkey")
     ordered, shipped = F.col("o_orderdate"), F.col("l_shipdate")
     amount, quantity = F.col("l_extendedprice"), F.col("l_quantity")
-    lines = table(spark, sf_dir, "lineitem").join(
+    columns = ["l_orderkey", "l_partkey", "l_extendedprice", "l_quantity", "l_shipdate"]
+    lines = spread(table(spark, sf_dir, "lineitem").select(*columns), "l_orderkey").join(
         table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
     return lines.select(
