@@ -45,9 +45,9 @@ def test_publish_counts_in_one_pass_and_describes(spark, tmp_path):
     df = spark.range(10).withColumn("name", F.when(F.col("id") > 7, "x"))
     checks = [rules.Rule("early", "id < 9", rules.DROP), rules.Rule("named", "name IS NOT NULL")]
     options = {"rules": checks, "comment": "It's a test", "properties": {"layer": "silver"}}
-    for _ in range(2):  # overwriting gives the same table again
-        counts = publish(df, "published_test", path=str(tmp_path / "t"), **options)
-    assert counts == {"published_rows": 9, "early": 1, "named": 8}
+    for keys in ([], ["name"]):  # overwriting gives the same table again, clustered or not
+        counts = publish(df, "published_test", path=str(tmp_path / "t"), cluster_by=keys, **options)
+        assert counts == {"published_rows": 9, "early": 1, "named": 8}
     assert spark.read.table("published_test").count() == 9
     described = {r["col_name"]: r["data_type"] for r in spark.sql("DESCRIBE EXTENDED published_test").collect()}
     assert described["Comment"] == "It's a test" and "layer=silver" in described["Table Properties"]
