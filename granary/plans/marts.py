@@ -179,21 +179,23 @@ def fact_sales_effective(sales: DataFrame, customers: DataFrame, products: DataF
     return fact_columns(with_calendar(with_version_in_force(by_customer, products), calendar), run_ts)
 
 
-def sales_measures(sales: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+def repeated_keys(dimension: DataFrame, key: str) -> DataFrame:
+    """The keys that a dimension holds more than once, with their number of rows."""
+    counts = dimension.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.where(F.col("_rows") > 1)
+
+
+def sales_measures(sales: DataFrame, repeated_customers: DataFrame, repeated_products: DataFrame) -> DataFrame:
     """The measures of ``fact_sales`` without building it: one row per sale and the number of fact rows it stands for.
 
-    Dimensions are first reduced to a row count per key, so a sale matches at most one row however often its product or
-    customer repeats. The calendar has one row per day and does not change row counts.
+    Takes the repeated keys of the dimensions: a key that is there once, or not at all, gives one fact row anyway. The
+    calendar has one row per day and does not change row counts.
     """
-    customer_rows = customers.groupBy(F.col("customer_id").alias("_c")).agg(F.count(F.lit(1)).alias("_customers"))
-    product_rows = products.groupBy(F.col("product_key").alias("_p")).agg(F.count(F.lit(1)).alias("_products"))
-    return (
-        sales.join(product_rows, F.col("product_key") == F.col("_p"), "left")
-        .join(customer_rows, F.col("customer_id") == F.col("_c"), "left")
-        .select(
-            "order_number", "customer_id", "order_date", "sales_amount", "quantity", "price",
-            (F.coalesce("_products", F.lit(1)) * F.coalesce("_customers", F.lit(1))).alias("fact_rows"),
-        )
+    customers = repeated_customers.select(F.col("_key").alias("customer_id"), F.col("_rows").alias("_customers"))
+    products = repeated_products.select(F.col("_key").alias("product_key"), F.col("_rows").alias("_products"))
+    return sales.join(products, "product_key", "left").join(customers, "customer_id", "left").select(
+        "order_number", "sales_amount", "quantity", "price",
+        (F.coalesce("_products", F.lit(1)) * F.coalesce("_customers", F.lit(1))).alias("fact_rows"),
     )
 
 

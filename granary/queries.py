@@ -87,7 +87,9 @@ class Tables:
 
     @cached_property
     def measures(self) -> DataFrame:
-        return marts.sales_measures(self.sales, self.customers, self.products)
+        repeats = [(self.dim_customer, "customer_id"), (self.dim_product, "product_key")]
+        written = [self.written(marts.repeated_keys(dimension, key), "repeats") for dimension, key in repeats]
+        return marts.sales_measures(self.sales, *written)
 
     def with_lineage(self, name: str) -> DataFrame:
         """A raw feed with fixed lineage, as classic plans expect it."""
@@ -244,12 +246,12 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "kpi_orders": lambda t: metrics.total_orders(t.sales),
     "kpi_products": lambda t: metrics.total_products(t.dim_product),
     "kpi_customers": lambda t: metrics.total_customers(t.dim_customer),
-    "kpi_buyers": lambda t: metrics.total_buyers(t.customers, t.sales),
+    "kpi_buyers": lambda t: metrics.total_buyers(t.dim_customer, t.sales),
     "order_span": lambda t: metrics.order_span(t.sales),
     "customer_age_span": lambda t: metrics.customer_age_span(t.dim_customer, RUN_TS),
     "countries": lambda t: metrics.countries(t.dim_customer),
     "product_hierarchy": lambda t: metrics.product_hierarchy(t.dim_product),
-    "business_report": lambda t: metrics.business_report(t.measures, t.customers, t.products, t.sales),
+    "business_report": lambda t: metrics.business_report(t.measures, t.dim_customer, t.dim_product, t.sales),
     **{f"classic_{name}": partial(classic_table, name) for name in classic.TABLES},
     "table_counts": lambda t: profile.table_counts({name: t.raw(name) for name in FEEDS}),
     "table_profile": lambda t: profile.table_profile({name: t.raw(name) for name in FEEDS}),
@@ -259,16 +261,16 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "top_products": lambda t: questions.top_products(t.sales_table, t.products),
     "top_customers": lambda t: questions.top_customers(t.sales, t.customers),
     "monthly_growth": lambda t: questions.monthly_growth(t.sales_table),
-    "weak_regions": lambda t: questions.weak_regions(t.sales, t.customers),
-    "spend_drivers": lambda t: questions.spend_drivers(t.sales, t.customers),
-    "spend_correlation": lambda t: questions.spend_correlation(t.sales, t.customers),
+    "weak_regions": lambda t: questions.weak_regions(t.sales, t.dim_customer),
+    "spend_drivers": lambda t: questions.spend_drivers(t.sales, t.dim_customer),
+    "spend_correlation": lambda t: questions.spend_correlation(t.sales, t.dim_customer),
     "category_margin": lambda t: questions.category_margin(t.sales_table, t.products),
     "ship_delay": lambda t: questions.ship_delay(t.sales_table, t.products),
     "sales_trend": lambda t: questions.sales_trend(t.sales_table),
     "sales_forecast": lambda t: predictions.sales_forecast(t.sales_table),
     "demand_forecast": lambda t: predictions.demand_forecast(t.sales_table, t.products),
     "customer_segments": lambda t: predictions.customer_segments(t.sales_table, RUN_TS),
-    "recommendations": lambda t: predictions.recommendations(t.sales_table, t.customers),
+    "recommendations": lambda t: predictions.recommendations(t.sales_table, t.dim_customer),
 }
 
 
