@@ -19,27 +19,27 @@ def dim_customer(customers: DataFrame, people: DataFrame, locations: DataFrame,
 
     ERP gender wins whenever an ERP row exists, even a missing-marker one. Repeated ERP ids repeat the customer.
     """
-    c = customers.alias("c")
-    p = people.select(F.col("customer_id").alias("person"), "gender", "birth_date", "age", "age_group").alias("p")
-    l = locations.select(F.col("customer_id").alias("resident"), "country", "region").alias("l")
-    joined = left_lookup(left_lookup(c, p, "customer_key", "person"), l, "customer_key", "resident")
-    return joined.select(
-        "c.customer_id",
-        "c.customer_key",
-        "c.first_name",
-        "c.last_name",
-        "c.marital_status",
-        "c.created_date",
-        F.coalesce("p.gender", "c.gender").alias("gender"),
-        "p.birth_date",
-        "p.age",
-        "p.age_group",
-        "l.country",
-        "l.region",
+    people = people.select(
+        F.col("customer_id").alias("_person"), F.col("gender").alias("_gender"), "birth_date", "age", "age_group"
+    )
+    locations = locations.select(F.col("customer_id").alias("_resident"), "country", "region")
+    with_person = left_lookup(customers, people, "customer_key", "_person")
+    full = left_lookup(with_person, locations, "customer_key", "_resident")
+    return full.select(
+        *CUSTOMER_MASTER,
+        F.coalesce("_gender", "gender").alias("gender"),
+        "birth_date",
+        "age",
+        "age_group",
+        "country",
+        "region",
         processed_at(run_ts),
     )
 
 
+CUSTOMER_MASTER = ["customer_id", "customer_key", "first_name", "last_name", "marital_status", "created_date"]
+
+
 def dim_product(products: DataFrame, categories: DataFrame, run_ts: dt.datetime) -> DataFrame:
     """Product versions with their category hierarchy."""
     hierarchy = categories.select("category_id", "category", "subcategory", "requires_maintenance")

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from granary.operators import joins
 from granary.plans import marts, metrics, profile, refined
 from granary.queries import CALENDAR, Tables, unstamped
 from granary.sources import schemas
@@ -103,6 +104,22 @@ def test_fact_rows_follow_versions_and_effective_rows_follow_sales(tables):  # S
     assert outside.count() > 0 and outside.where(F.col("order_year").isNotNull()).count() == 0
 
 
+def test_facts_and_dimensions_are_the_same_with_hot_keys_apart(tables, run_ts, monkeypatch):
+    def build():
+        people, locations = tables.silver("erp_customer"), tables.silver("erp_location")
+        customers = marts.dim_customer(tables.silver("crm_customer"), people, locations, run_ts)
+        products = marts.dim_product(tables.silver("crm_product"), tables.silver("erp_category"), run_ts)
+        star = (tables.sales_table, tables.customers, tables.products, tables.calendar, run_ts)
+        return [customers, products, marts.fact_sales(*star), marts.fact_sales_effective(*star)]
+
+    usual = build()
+    find = joins.hot_keys
+    monkeypatch.setattr(joins, "hot_keys", lambda df, key, rows: find(df, key, 0, most=3))
+    for plain, apart in zip(usual, build()):
+        assert apart.columns == plain.columns
+        assert apart.count() == plain.count() and apart.exceptAll(plain).count() == 0
+
+
 def test_weighted_measures_equal_measures_of_the_fact(tables):
     of_fact, weighted = metrics.measures_of(tables.fact), tables.measures
     for metric in (metrics.total_sales, metrics.total_items, metrics.avg_price, metrics.total_orders):
