@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from granary.operators import rules
 from granary.operators.versions import version_intervals
 from granary.plans import classic, marts, metrics, predictions, profile, questions, refined
-from granary.session import scratch_dir, tuned
+from granary.session import scratch_dir, stored, tuned
 from granary.sinks.publish import publish
 from granary.sources.csv import read_feed, read_merged, with_lineage
 from granary.sources.feeds import feed
@@ -43,11 +43,6 @@ class Tables:
     def silver(self, name: str) -> DataFrame:
         return refined.refined(name, self.raw(name), RUN_TS)
 
-    def written(self, df: DataFrame, purpose: str) -> DataFrame:
-        path = scratch_dir(self.spark, purpose)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
     @cached_property
     def sales(self) -> DataFrame:
         return self.silver("crm_sales")
@@ -63,15 +58,15 @@ class Tables:
 
     @cached_property
     def sales_table(self) -> DataFrame:
-        return self.written(self.sales, "sales")
+        return stored(self.sales, "sales")
 
     @cached_property
     def customers(self) -> DataFrame:
-        return self.written(self.dim_customer, "customers")
+        return stored(self.dim_customer, "customers")
 
     @cached_property
     def products(self) -> DataFrame:
-        return self.written(self.dim_product, "products")
+        return stored(self.dim_product, "products")
 
     @cached_property
     def calendar(self) -> DataFrame:
@@ -88,7 +83,7 @@ class Tables:
     @cached_property
     def measures(self) -> DataFrame:
         repeats = [(self.dim_customer, "customer_id"), (self.dim_product, "product_key")]
-        written = [self.written(marts.repeated_keys(dimension, key), "repeats") for dimension, key in repeats]
+        written = [stored(marts.repeated_keys(dimension, key), "repeats") for dimension, key in repeats]
         return marts.sales_measures(self.sales, *written)
 
     def with_lineage(self, name: str) -> DataFrame:

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Splitting skewed join partitions pays off even when it costs another shuffle further up.
 SETTINGS = {
@@ -39,10 +38,23 @@ def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder in the storage all executors share; a local temporary one only where everything is local."""
+    """A new folder in the storage all executors share: the cluster's checkpoint folder, else one below the warehouse.
+
+    The folder goes when the application ends; until then lazy readers may need it.
+    """
     shared = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
-    if shared:
-        return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    return tempfile.mkdtemp(prefix=f"{purpose}-")
+    shared = shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    folder = f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path)  # only what exists can be marked
+    files.deleteOnExit(path)
+    return folder
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write once to shared storage, then scan: cuts the lineage, and a lost executor costs only what it was reading."""
+    spark = df.sparkSession
+    path = f"{scratch_dir(spark, purpose)}/rows"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
