@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +17,7 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_SHIPPED: dict[str, str] = {}
 
 
 def tuned(spark: SparkSession) -> SparkSession:
@@ -45,8 +49,7 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     shared = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     shared = shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     folder = f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, path = _hadoop(spark, folder)
     files.mkdirs(path)  # only what exists can be marked
     files.deleteOnExit(path)
     return folder
@@ -58,3 +61,26 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     path = f"{scratch_dir(spark, purpose)}/rows"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _hadoop(spark: SparkSession, folder: str):
+    """(file system, path) of a folder."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def shipped(spark: SparkSession) -> SparkSession:
+    """Give the executors this package, once an application; functions that run in Python workers need it there."""
+    if _SHIPPED.get("to") != spark.sparkContext.applicationId:
+        packed, root = io.BytesIO(), Path(__file__).resolve().parent
+        with zipfile.ZipFile(packed, "w") as archive:
+            for module in sorted(root.rglob("*.py")):
+                archive.write(module, module.relative_to(root.parent))
+        target = f"{scratch_dir(spark, 'package')}/{root.name}.zip"
+        files, path = _hadoop(spark, target)
+        out = files.create(path)
+        out.write(packed.getvalue())
+        out.close()
+        spark.sparkContext.addPyFile(target)
+        _SHIPPED["to"] = spark.sparkContext.applicationId
+    return spark
