@@ -2,6 +2,57 @@
 
 from __future__ import annotations
 
+from granary.llm import quality
+
+WORDS = r"list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+LINES = r"list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))"
+
+
+def quality_sql() -> str:
+    rates = {"symbols": "n_symbols / nullif(n_words, 0)", "capitals": "n_capitals / nullif(word_chars, 0)",
+             "dup_lines": "n_dup_lines / nullif(n_lines, 0)", "word_length": "word_chars / nullif(n_words, 0)"}
+    unpivoted = " UNION ALL ".join(
+        f"SELECT lang, source, '{m}' AS measure, {rate}::DOUBLE AS v FROM counted WHERE NOT base_failed" for m, rate in rates.items())
+    value = f"CASE WHEN b = {quality.ZERO_BIN} THEN 0 ELSE exp(b * {quality.LOG_GAMMA!r}) * (2 / (1 + exp({quality.LOG_GAMMA!r}))) END"
+
+    def fences(name: str, keys: str) -> str:
+        return f"""
+        {name}_run AS (SELECT {keys}, measure, bin, sum(sum(n)) OVER (PARTITION BY {keys}, measure ORDER BY bin) AS up_to,
+            sum(sum(n)) OVER (PARTITION BY {keys}, measure) AS total FROM bins GROUP BY {keys}, measure, bin),
+        {name}_q AS (SELECT {keys}, measure, total, min(bin) FILTER (up_to * 4 >= total) AS b1, min(bin) FILTER (up_to * 4 >= total * 3) AS b3
+            FROM {name}_run GROUP BY {keys}, measure, total),
+        {name} AS (SELECT {keys}, measure, total, {value.replace('b ', 'b1 ')} AS low, {value.replace('b ', 'b3 ')} AS high FROM {name}_q)"""
+
+    checks = []
+    for m, rate in rates.items():
+        own = quality.MEASURES[m]
+        reach = f"greatest({own.spread} * (f.high - f.low), {own.margin})"
+        least = f"AND v >= f.low - {reach}" if own.below else ""
+        checks.append(f"""
+        coalesce((SELECT bool_and(v <= f.high + {reach} {least}) FROM (SELECT {rate}::DOUBLE AS v) r, fence f
+            WHERE f.measure = '{m}' AND f.lang IS NOT DISTINCT FROM c.lang AND f.source IS NOT DISTINCT FROM c.source), false)""")
+    return f"""
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
+    w AS (SELECT *, {WORDS} AS ws, {LINES} AS ls FROM d),
+    windows AS (SELECT rid, i, ws[i:i + 7] AS win FROM (SELECT rid, ws, unnest(range(1, len(ws) - 6)) AS i FROM w)),
+    repeats AS (SELECT rid, i FROM windows QUALIFY count(*) OVER (PARTITION BY rid, win) > 1),
+    covered AS (SELECT rid, sum(add) AS n FROM (SELECT rid,
+        least(8, coalesce(i - lag(i) OVER (PARTITION BY rid ORDER BY i), 8)) AS add FROM repeats) GROUP BY rid),
+    plain AS (SELECT doc_id, lang, source, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
+        length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(ls)::BIGINT AS n_lines,
+        (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+        length(regexp_replace(t, '\\P{{Lu}}', '', 'g'))::BIGINT AS n_capitals FROM w LEFT JOIN covered USING (rid)),
+    counted AS (SELECT *, n_words < {quality.FEWEST_WORDS} OR 100 * n_repeat_words > {quality.MOST_REPEATED} * n_words AS base_failed FROM plain),
+    bins AS (SELECT lang, source, measure, CASE WHEN v > 0 THEN ceil(ln(v) / {quality.LOG_GAMMA!r})::INTEGER ELSE {quality.ZERO_BIN} END AS bin,
+        count(*) AS n FROM ({unpivoted}) GROUP BY ALL),
+    {fences('own', 'lang, source')}, {fences('whole', 'lang')},
+    fence AS (SELECT o.lang, o.source, o.measure, CASE WHEN o.total >= {quality.LEAST_ROWS} THEN o.low ELSE w.low END AS low,
+        CASE WHEN o.total >= {quality.LEAST_ROWS} THEN o.high ELSE w.high END AS high
+        FROM own o JOIN whole w ON o.measure = w.measure AND o.lang IS NOT DISTINCT FROM w.lang)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        NOT base_failed AND {' AND '.join(checks)} AS kept
+    FROM counted c"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_adaptive_quality": quality_sql()}

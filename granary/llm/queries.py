@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import bpe
+from granary.llm import bpe, quality
 from granary.session import tuned
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -22,7 +22,12 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
 
 
-QUERIES = [op2_byte_bpe]
+def op9_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdicts of every whole text."""
+    return quality.verdicts(table(spark, sf_dir, "documents"))
+
+
+QUERIES = [op2_byte_bpe, op9_adaptive_quality]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
