@@ -84,7 +84,7 @@ class Codec:
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers, end to end."""
         parts = self.pre_tokens(text)
-        if unseen := set(parts) - self.packed.keys():
+        if unseen := set(parts).difference(self.packed):
             if len(self.packed) + len(unseen) > KEPT:
                 self.packed, unseen = {}, set(parts)
             self._learn(list(unseen))
@@ -96,7 +96,7 @@ class Codec:
             if token in self.ranks:  # a token by itself, whether or not merges lead to it
                 self.packed[part] = struct.pack("<I", self.ranks[token])
         rest = [(part, mapped(token)) for part, token in zip(parts, coded) if token not in self.ranks]
-        for (part, _), pieces in zip(rest, self.model.encode([text for _, text in rest])):
+        for (part, _), pieces in zip(rest, self.model.encode([text for _, text in rest], num_threads=1)):
             self.packed[part] = struct.pack(f"<{len(pieces)}I", *map(self.rank_of_piece.__getitem__, pieces))
 
     def decode(self, ids: bytes) -> bytes:
