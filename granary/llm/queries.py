@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import bpe, mixing, quality
+from granary.llm import bpe, langid, mixing, quality
 from granary.session import tuned
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -27,12 +27,17 @@ def op9_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text."""
+    return langid.identified(table(spark, sf_dir, "documents"))
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     return mixing.allotments(table(spark, sf_dir, "documents"))
 
 
-QUERIES = [op2_byte_bpe, op6_source_mix, op9_adaptive_quality]
+QUERIES = [op2_byte_bpe, op5_language_id, op6_source_mix, op9_adaptive_quality]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -6,10 +6,12 @@ Memory is bounded by the Arrow batch: eight bytes a word, and scratch of PIECE b
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 PIECE = 1 << 19
@@ -45,6 +47,17 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def spans(texts: pa.Array, most: int = 1 << 22) -> Iterator[pa.Array]:
+    """The column cut into pieces of at most so many bytes, or of one longer text; one empty piece if it is empty."""
+    sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+    ends, at = np.cumsum(sizes), 0
+    while at < len(texts) or at == 0:
+        before = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield texts.slice(at, end - at)
+        at = end
+
+
 @dataclass
 class Words:
     """All words of a column: byte ranges in data, the row of each, and the first word of each row (one entry more)."""
