@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import bpe, langid, mixing, quality
+from granary.llm import bpe, langid, mixing, quality, urls
 from granary.session import tuned
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -37,7 +37,12 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.allotments(table(spark, sf_dir, "documents"))
 
 
-QUERIES = [op2_byte_bpe, op5_language_id, op6_source_mix, op9_adaptive_quality]
+def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every url."""
+    return urls.filtered(table(spark, sf_dir, "pages"))
+
+
+QUERIES = [op2_byte_bpe, op5_language_id, op6_source_mix, op9_adaptive_quality, op10_url_templates]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
