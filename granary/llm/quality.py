@@ -100,7 +100,7 @@ def measured(df: DataFrame, text: str = "text", out: str = "quality") -> DataFra
         failed = (c["n_words"] < FEWEST_WORDS) | (100 * c["n_repeat_words"] > MOST_REPEATED * c["n_words"])
         return c.withField("base_failed", failed)
 
-    return df.withColumn(out, judged(let(whole, counts)))
+    return df.withColumn(out, let(let(whole, counts), judged))
 
 
 def bin_of(value: Column) -> Column:

@@ -7,16 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import bpe, langid, mixing, quality, urls
+from granary.llm import bpe, langid, mixing, quality, tokencount, urls, vectors
 from granary.session import tuned
 
-BYTE_BPE = "byte_bpe_50k.tiktoken"
+BYTE_BPE, WORD_PIECES = "byte_bpe_50k.tiktoken", "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tuned(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return vectors.linked(table(spark, sf_dir, "embeddings"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and round trip of every whole text."""
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
@@ -27,6 +32,11 @@ def op9_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word-piece tokens of every whole text."""
+    return tokencount.counted(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path(WORD_PIECES)).drop("text")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every whole text."""
     return langid.identified(table(spark, sf_dir, "documents"))
@@ -42,7 +52,7 @@ def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filtered(table(spark, sf_dir, "pages"))
 
 
-QUERIES = [op2_byte_bpe, op5_language_id, op6_source_mix, op9_adaptive_quality, op10_url_templates]
+QUERIES = [op1_vector_links, op2_byte_bpe, op4_token_counts, op5_language_id, op6_source_mix, op9_adaptive_quality, op10_url_templates]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
