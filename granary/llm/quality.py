@@ -57,9 +57,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def repeated_words(words: Column) -> Column:
     """Words lying in windows of WINDOW words that occur twice or more in the array, each word counted once."""
+    def joined(hashes: Column, apart: int) -> Column:
+        return F.transform(hashes, lambda h, i: F.xxhash64(h, F.get(hashes, i + apart)))
+
     def windows(hashes: Column) -> Column:
-        starts = F.when(F.size(hashes) >= WINDOW, F.sequence(F.lit(1), F.size(hashes) - WINDOW + 1)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.xxhash64(F.slice(hashes, i, WINDOW)))
+        """Hashes of windows of twice the length from two of half the length, up to WINDOW."""
+        whole = lambda eights: F.slice(eights, 1, F.greatest(F.size(eights) - WINDOW + 1, F.lit(0)))
+        return let(joined(hashes, 1), lambda twos: let(joined(twos, 2), lambda fours: let(joined(fours, 4), whole)))
 
     def twice(ordered: Column) -> Column:
         same = lambda x, k: (k >= 0) & (k < F.size(ordered)) & (F.get(ordered, k)["h"] == x["h"])
