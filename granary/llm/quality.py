@@ -76,7 +76,7 @@ def repeated_words(words: Column) -> Column:
 
     def count(found: Column) -> Column:
         placed = F.transform(found, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
-        repeats = let(F.array_sort(placed), lambda ordered: F.array_sort(F.transform(twice(ordered), lambda x: x["i"])))
+        repeats = let(F.sort_array(placed), lambda ordered: F.sort_array(F.transform(twice(ordered), lambda x: x["i"])))
         return F.when(F.size(F.array_distinct(found)) == F.size(found), 0).otherwise(covered(repeats))
 
     return let(F.transform(words, lambda w: F.xxhash64(w)), lambda hashes: let(windows(hashes), count))
