@@ -16,12 +16,13 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from granary.llm.words import spans
 from granary.session import shipped
 
-KEPT = 400_000  # distinct pre-tokens remembered by a worker before it starts afresh
+KEPT = 200_000  # distinct pre-tokens remembered by a worker before it starts afresh
 BYTE_CHARS = {b: chr(0x100 + b) for b in range(256)}
 UNKNOWN_PIECE, NORMAL_PIECE, BPE_MODEL = 2, 1, 2  # fixed values of the model format
 
@@ -108,32 +109,51 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
+def _applied(df: DataFrame, kind: str, column: str, work) -> Column:
+    """work(texts or ids of a small piece) on whole Arrow batches."""
+    shipped(df.sparkSession)
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.concat_arrays([work(piece.to_pylist()) for piece in spans(batch)])
+
+    return F.arrow_udf(run, kind)(F.col(column))
+
+
 def encoded(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Add the packed ids of every text."""
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def encode(texts: list) -> pa.Array:
         own = codec(path, pattern)
-        for texts in batches:
-            yield pa.array([own.encode(t or "") for t in texts.to_pylist()], pa.binary())
+        return pa.array([own.encode(t or "") for t in texts], pa.binary())
 
-    shipped(df.sparkSession)
-    return df.withColumn(ids, F.arrow_udf(encode, "binary")(F.col(text)))
+    return df.withColumn(ids, _applied(df, "binary", text, encode))
 
 
 def decoded(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Add the bytes that packed ids stand for."""
-    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def decode(packed: list) -> pa.Array:
         own = codec(path, pattern)
-        for packed in batches:
-            yield pa.array([own.decode(x or b"") for x in packed.to_pylist()], pa.binary())
+        return pa.array([own.decode(x or b"") for x in packed], pa.binary())
 
-    shipped(df.sparkSession)
-    return df.withColumn(out, F.arrow_udf(decode, "binary")(F.col(ids)))
+    return df.withColumn(out, _applied(df, "binary", ids, decode))
+
+
+def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+    """Add ids and decoded in one go, so that a task has one worker and one copy of the vocabulary."""
+    def there_and_back(texts: list) -> pa.Array:
+        own = codec(path, pattern)
+        ids = [own.encode(t or "") for t in texts]
+        columns = [pa.array(ids, pa.binary()), pa.array(map(own.decode, ids), pa.binary())]
+        return pa.StructArray.from_arrays(columns, ["ids", "decoded"])
+
+    kept = [c for c in df.columns if c.lower() not in ("ids", "decoded")]
+    both = df.withColumn("_both", _applied(df, "ids binary, decoded binary", text, there_and_back))
+    return both.select(*kept, "_both.ids", "_both.decoded")
 
 
 def digests(df: DataFrame, path: str, pattern: str) -> DataFrame:
     """Per document: token count, and digests of its ids and of what they decode to."""
-    round_trip = decoded(encoded(df.select("doc_id", "text"), path, pattern), path, pattern)
-    return round_trip.select(
+    return round_trip(df.select("doc_id", "text"), path, pattern).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
