@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import bpe, langid, mixing, quality, tokencount, urls, vectors
+from granary.llm import bpe, langid, minhash, mixing, quality, tokencount, urls, vectors
 from granary.session import tuned
 
 BYTE_BPE, WORD_PIECES = "byte_bpe_50k.tiktoken", "word_bpe_49k.json"
@@ -32,6 +32,11 @@ def op9_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op3_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate group of every whole text."""
+    return minhash.duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word-piece tokens of every whole text."""
     return tokencount.counted(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path(WORD_PIECES)).drop("text")
@@ -52,7 +57,7 @@ def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filtered(table(spark, sf_dir, "pages"))
 
 
-QUERIES = [op1_vector_links, op2_byte_bpe, op4_token_counts, op5_language_id, op6_source_mix, op9_adaptive_quality, op10_url_templates]
+QUERIES = [op1_vector_links, op2_byte_bpe, op3_weighted_minhash, op4_token_counts, op5_language_id, op6_source_mix, op9_adaptive_quality, op10_url_templates]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
