@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.words import mixed, spans, text_bytes
+from granary.llm.words import added, mixed, spans, text_bytes
 from granary.session import shipped
 
 WIDTH = 4  # bytes in an n-gram
@@ -58,12 +58,6 @@ def _cells(gram: np.ndarray) -> np.ndarray:
     return np.stack([(h >> np.uint64(20 * k)).astype(np.int64) & (CELLS - 1) for k in range(HASHES)])
 
 
-def added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """One array of distinct keys, and their counts."""
-    key, place = np.unique(np.concatenate(keys), return_inverse=True)
-    return [key], [np.bincount(place, np.concatenate(counts), len(key)).astype(np.int64)]
-
-
 def counted(texts: DataFrame) -> DataFrame:
     """lang, gram, n over all texts (columns text, lang); each task adds up what it reads before anything is shuffled."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import bpe, langid, minhash, mixing, pii, quality, tokencount, urls, vectors
+from granary.llm import bpe, langid, minhash, mixing, pii, pseudolm, quality, tokencount, urls, vectors
 from granary.session import tuned
 
 BYTE_BPE, WORD_PIECES = "byte_bpe_50k.tiktoken", "word_bpe_49k.json"
@@ -32,6 +32,11 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(table(spark, sf_dir, "documents"))
 
 
+def op8_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score of every whole text."""
+    return pseudolm.scored(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op9_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdicts of every whole text."""
     return quality.verdicts(table(spark, sf_dir, "documents"))
@@ -62,7 +67,7 @@ def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filtered(table(spark, sf_dir, "pages"))
 
 
-QUERIES = [op1_vector_links, op2_byte_bpe, op3_weighted_minhash, op4_token_counts, op5_language_id, op6_source_mix, op7_personal_data, op9_adaptive_quality, op10_url_templates]
+QUERIES = [op1_vector_links, op2_byte_bpe, op3_weighted_minhash, op4_token_counts, op5_language_id, op6_source_mix, op7_personal_data, op8_pseudo_likelihood, op9_adaptive_quality, op10_url_templates]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
