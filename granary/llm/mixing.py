@@ -38,7 +38,7 @@ def random_key(*parts: Column) -> Column:
 def sized(df: DataFrame, text: str, source: str, key: str) -> DataFrame:
     """Narrow rows to plan with. row tells repeated rows apart; it decides only between equal keys."""
     size = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long")
-    return df.select("row", F.col(source).alias("source"), size.alias("size"), random_key(F.col(key)).alias("random"), F.col(key).alias("key"))
+    return df.select("_row", F.col(source).alias("source"), size.alias("size"), random_key(F.col(key)).alias("random"), F.col(key).alias("key"))
 
 
 def targets(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
@@ -87,16 +87,16 @@ def cuts(rows: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
 def picks(rows: DataFrame, sources: DataFrame) -> DataFrame:
     """The rows of each source's cut block that the partial pass takes, and the row closest to the words then missing."""
     known = _of_source(rows, sources)
-    order = Window.partitionBy("source").orderBy("random", "key", "row")
+    order = Window.partitionBy("source").orderBy("random", "key", "_row")
     at_cut = known.where(F.col("block") == F.col("cut_block")).withColumn("up_to", F.col("before") + F.sum("size").over(order))
-    inside = stored(at_cut.where(F.col("up_to") <= F.col("rest")).select("source", "row", "up_to"), "picks")
+    inside = stored(at_cut.where(F.col("up_to") <= F.col("rest")).select("source", "_row", "up_to"), "picks")
     reached = inside.groupBy(F.col("source").alias("at_source")).agg(F.max("up_to").alias("reached"))
-    free = known.where(F.col("block") >= F.col("cut_block")).join(inside.select("row"), "row", "left_anti")
+    free = known.where(F.col("block") >= F.col("cut_block")).join(inside.select("_row"), "_row", "left_anti")
     gap = F.col("rest") - F.coalesce(F.col("reached"), F.col("before"))
     missing = free.join(reached, F.col("source").eqNullSafe(F.col("at_source")), "left").withColumn("gap", gap)
     off = F.abs(F.col("size") - F.col("gap"))
-    closest = missing.where(off < F.col("gap")).groupBy("source").agg(F.min(F.struct(off.alias("off"), "random", "key", "row")).alias("best"))
-    return inside.select("row").union(closest.select("best.row"))
+    closest = missing.where(off < F.col("gap")).groupBy("source").agg(F.min(F.struct(off.alias("off"), "random", "key", "_row")).alias("best"))
+    return inside.select("_row").union(closest.select("best._row"))
 
 
 def dealt(blocks: DataFrame, sources: DataFrame, levels: int = LEVELS) -> DataFrame:
@@ -115,40 +115,46 @@ def dealt(blocks: DataFrame, sources: DataFrame, levels: int = LEVELS) -> DataFr
     return units.groupBy("source", "block").agg(in_order.alias("unit_shards"))
 
 
-def allotted(df: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
-    """df with size, source_size, target, taken, and shards: an entry for each copy. It must hold still, so it is stored."""
-    outputs = {"size", "source_size", "target", "taken", "shards", "row"}
-    others = [c for c in df.columns if c.lower() not in outputs]
+def planned(df: DataFrame, text: str, source: str, key: str) -> DataFrame:
+    """For each numbered row: size, source_size, target, taken, and shards with an entry for each copy."""
     rows = stored(sized(df, text, source, key), "sizes")
     sources = stored(passes(targets(rows)), "targets")
     blocks, with_cuts = cuts(rows, sources)
     sources = stored(with_cuts, "cuts")
     picked = picks(rows, sources).withColumn("picked", F.lit(True))
     shards = dealt(blocks, sources).withColumnsRenamed({"source": "unit_source", "block": "unit_block"})
-    known = _of_source(rows, sources).join(picked, "row", "left")
+    known = _of_source(rows, sources).join(picked, "_row", "left")
     same = F.col("source").eqNullSafe(F.col("unit_source")) & (F.col("block") == F.col("unit_block"))
     partial = (F.col("block") < F.col("cut_block")) | F.coalesce(F.col("picked"), F.lit(False))
     copies = (F.col("full") + F.coalesce(partial, F.lit(False)).cast("int")).cast("int")
     own = F.coalesce(F.slice("unit_shards", 1, F.least(copies, F.size("unit_shards"))), F.array().cast("array<int>"))
     # a row picked from behind the cut goes where its block's last pass went, or else to the first shard
     filled = F.when(F.size(own) < copies, F.concat(own, F.array(F.coalesce(F.try_element_at(own, F.lit(-1)), F.lit(0))))).otherwise(own)
-    plan = known.join(shards, same, "left").select(
-        "row", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), F.when(F.col("size") > 0, filled).otherwise(F.array().cast("array<int>")).alias("shards"))
-    return df.select("row", *others).join(plan, "row").drop("row")
+    return known.join(shards, same, "left").select(
+        "_row", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), F.when(F.col("size") > 0, filled).otherwise(F.array().cast("array<int>")).alias("shards"))
 
 
 def numbered(df: DataFrame) -> DataFrame:
     """Rows with a stored number that tells equal ones apart."""
-    return stored(df.drop("row").withColumn("row", F.monotonically_increasing_id()), "rows")
+    return stored(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+
+
+def allotted(df: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
+    """df with size, source_size, target, taken and shards."""
+    rows, outputs = numbered(df), {"size", "source_size", "target", "taken", "shards"}
+    others = [c for c in df.columns if c.lower() not in outputs]
+    return rows.select("_row", *others).join(planned(rows, text, source, key), "_row").drop("_row")
 
 
 def mixed(df: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
     """The mix itself: df's columns with shard and order, a row for each copy; sort by order within a shard to shuffle it."""
-    plan = allotted(numbered(df), text, source, key).select(*df.columns, F.posexplode("shards").alias("copy", "shard"))
-    return plan.select(*df.columns, "shard", random_key(F.col(key), F.col("copy"), F.lit("order")).alias("order"))
+    rows, others = numbered(df), [c for c in df.columns if c.lower() not in ("shard", "order")]
+    copies = planned(rows, text, source, key).select("_row", F.posexplode("shards").alias("_copy", "_shard"))
+    order = random_key(F.col(key), F.col("_copy"), F.lit("order")).alias("order")
+    return rows.join(copies, "_row").select(*others, F.col("_shard").alias("shard"), order)
 
 
 def allotments(df: DataFrame) -> DataFrame:
     """Per document: its size, its source's size and target, the words taken, and the shards of its copies."""
-    planned = allotted(numbered(df.select("doc_id", "text", "source")))
-    return planned.select("doc_id", "size", "source_size", "target", "taken", F.array_join("shards", ",").alias("shards"))
+    plan = allotted(df.select("doc_id", "text", "source"))
+    return plan.select("doc_id", "size", "source_size", "target", "taken", F.array_join("shards", ",").alias("shards"))

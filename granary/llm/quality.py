@@ -178,5 +178,5 @@ def verdicts(df: DataFrame) -> DataFrame:
 
 def filtered(df: DataFrame) -> DataFrame:
     """The documents that pass, with their own columns."""
-    rows = stored(measured(df), "quality")
-    return judged(rows).where("quality.kept").drop("quality")
+    rows = stored(measured(df, out="_quality"), "quality")
+    return judged(rows, "_quality").where("_quality.kept").drop("_quality")

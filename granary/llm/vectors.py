@@ -1,8 +1,8 @@
 """Near-duplicate vectors through a pivot-permutation index.
 
 A vector is described by its NEAREST nearest reference points, in order. Reference points are about 2 sqrt(n) of the
-distinct vectors, MOST_PIVOTS at most (a documented, bounded sample: those with the smallest hashes); every vector is
-indexed. Inverted lists hold the vectors described by a pivot, per label. Two vectors are candidates if they share SHARED
+distinct vectors, MOST_PIVOTS at most, taken from a bounded sample (TRIED times as many, those with the smallest hashes)
+so that no two are close; every vector is indexed. Inverted lists hold the vectors described by a pivot, per label. Two vectors are candidates if they share SHARED
 pivots; then they share one of the first NEAREST - SHARED + 1 in any fixed order of pivots, so only those lists are kept,
 and a pair is taken only in the list of the first pivot it shares. Candidates are verified by cosine in double precision.
 
@@ -30,6 +30,7 @@ from granary.session import shipped, stored
 LEAST_COSINE = 0.98
 NEAREST, SHARED = 10, 4
 FEWEST_PIVOTS, MOST_PIVOTS = 16, 4096
+TRIED, APART = 4, 0.9  # sampled vectors for each pivot; cosine from which one of two pivots goes
 BLOCK = 1024
 PAIRS = 1 << 17  # pairs whose shared pivots are looked at together
 
@@ -52,15 +53,23 @@ def unit(vectors: list) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def spread_out(points: np.ndarray, most: int) -> np.ndarray:
+    """At most so many of the points, no two of them closer than APART: a dense group must not take most pivots."""
+    chosen = points[:0]
+    for point in points:
+        if len(chosen) < most and (not len(chosen) or (chosen @ point).max() < APART):
+            chosen = np.concatenate([chosen, point[None]])
+    return chosen
+
+
 def pivots(distinct: DataFrame) -> dict[int, np.ndarray]:
     """Unit reference points by length of vector."""
-    n = distinct.count()
-    wanted = max(FEWEST_PIVOTS, min(MOST_PIVOTS, math.ceil(2 * math.sqrt(n))))
-    sample = distinct.orderBy("k1", "k2").limit(wanted).select("vector").collect()
+    wanted = max(FEWEST_PIVOTS, min(MOST_PIVOTS, math.ceil(2 * math.sqrt(distinct.count()))))
+    sample = distinct.orderBy("k1", "k2").limit(TRIED * wanted).select("vector").collect()
     by_length: dict[int, list] = {}
     for (vector,) in sample:
         by_length.setdefault(len(vector), []).append(vector)
-    return {length: unit(found) for length, found in by_length.items()}
+    return {length: spread_out(unit(found), wanted) for length, found in by_length.items()}
 
 
 def described(distinct: DataFrame, points: dict[int, np.ndarray]) -> DataFrame:
@@ -72,15 +81,16 @@ def described(distinct: DataFrame, points: dict[int, np.ndarray]) -> DataFrame:
             for length in {len(v) for v in listed}:
                 at = [i for i, v in enumerate(listed) if len(v) == length]
                 own = points.get(length)
-                if own is None:  # no sample of this length: its vectors share one list
+                if own is None:  # no sample of this length: its vectors share all pivots
                     for i in at:
-                        out[i] = [0] * NEAREST
+                        out[i] = list(range(NEAREST))
                     continue
+                missing = list(range(len(own), NEAREST))  # numbers that all vectors share
                 for some in range(0, len(at), 4096):
                     part = at[some : some + 4096]
                     order = np.argsort(-(unit([listed[i] for i in part]) @ own.T), axis=1, kind="stable")[:, :NEAREST]
                     for i, near in zip(part, order):
-                        out[i] = [*near.tolist(), *[near[0]] * (NEAREST - len(near))]
+                        out[i] = near.tolist() + missing
             yield pa.array(out, pa.list_(pa.int32()))
 
     return distinct.withColumn("near", F.arrow_udf(describe, "array<int>")(F.col("vector")))
