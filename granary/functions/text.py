@@ -55,8 +55,8 @@ def key_category(full_key: Column, width: int = 5) -> Column:
 
 
 def key_remainder(full_key: Column, width: int = 5) -> Column:
-    """What follows the category part and its separator in a composite key (at most 100 characters)."""
-    return squeeze(F.substring(full_key, width + 2, 100))
+    """What follows the category part and its separator in a composite key."""
+    return squeeze(F.substr(full_key, F.lit(width + 2)))
 
 
 def undashed_name(name: Column) -> Column:

@@ -5,32 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
 
+def left_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str, keys: DataFrame | None = None) -> DataFrame:
+    """Left outer equi-join, planned as an inner join.
 
-def left_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Left outer equi-join.
-
-    Spark splits hot partitions of the left side of an outer join at run time, but never of the right side. Keys with very
-    many rows on the right are therefore looked up first (one aggregate over the right side) and joined apart, as an inner
-    join, of which Spark splits both sides; that is exact, because such a key is known to have matches.
-    """
-    matches = F.col(left_key) == F.col(right_key)
-    hot = hot_keys(right, right_key, hot_rows)
-    if not hot:
-        return left.join(right, matches, "left")
-    left_is_hot = F.coalesce(F.col(left_key).isin(hot), F.lit(False))
-    right_is_hot = F.col(right_key).isin(hot)
-    usual = left.where(~left_is_hot).join(right.where(~right_is_hot), matches, "left")
-    return usual.union(left.where(left_is_hot).join(right.where(right_is_hot), matches))
-
-
-def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS, most: int = 1000) -> list:
-    """The keys that have more than the given number of rows, hottest first.
-
-    The list stays short; keys left out of it still join correctly, only without special treatment.
+    Spark splits hot partitions of both sides of an inner join, but only of the left side of an outer one. So the right side
+    is first given an empty row for each key that it lacks; that takes the keys of the left side alone, or of ``keys``, any
+    rows that hold them all and are cheaper to read. In rows without partner, right_key holds the left key.
     """
-    counts = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).count()
-    hottest = counts.orderBy(F.desc("count"), "key").limit(most).where(F.col("count") > rows)
-    return [row["key"] for row in hottest.collect()]
+    known = right.where(F.col(right_key).isNotNull())
+    wanted = (left if keys is None else keys).select(F.col(left_key).alias("_wanted")).distinct()
+    lacking = wanted.join(known.select(F.col(right_key).alias("_known")).distinct(), F.col("_wanted") == F.col("_known"), "left_anti")
+    empty = [F.col("_wanted").alias(c) if c == right_key else F.lit(None).cast(known.schema[c].dataType).alias(c) for c in known.columns]
+    return left.join(known.union(lacking.select(*empty)), F.col(left_key).eqNullSafe(F.col(right_key)))

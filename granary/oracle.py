@@ -66,6 +66,8 @@ K = "'AW' || lpad(CAST(c_custkey AS VARCHAR), 8, '0')"
 FIRST = pick("c_custkey", ["  ann  marie ", "JON", None, "   ", "o'neil", " eva-lyn", "rob"])
 LAST = pick("c_custkey", [" yang", "de  la  cruz", "", "SMITH", None])
 MARITAL = pick("c_custkey", ["M", " S ", None, "", "divorced", "S"])
+ERP_KEY = """CASE WHEN c_custkey % 2 = 0 THEN 'NAS' ELSE '' END || CASE WHEN c_custkey % 31 = 7 THEN 'zz' ELSE 'aw' END
+               || lpad(CAST(c_custkey AS VARCHAR), 8, '0') || ' '"""
 COUNTRIES = ["US", "USA", "united  states", "DE", "Germany", " Australia", "UNITED KINGDOM", "", None, "Canada", "Japan",
              "france"]
 
@@ -81,20 +83,22 @@ PARTS = {
                {days_after("2023-01-01", "c_custkey % 300")}
         FROM customer WHERE c_custkey % 10 = 3""",
     "raw_crm_product": f"""
-        SELECT p_partkey AS prd_id,
-               'C' || (b % 6) || '-S' || (b % 4) || '-P-' || lpad(CAST(b AS VARCHAR), 6, '0') AS prd_key,
+        SELECT p_partkey + added AS prd_id,
+               first || (b % 6) || '-S' || (b % 4) || '-P-' || lpad(CAST(b AS VARCHAR), 6, '0') || tail AS prd_key,
                CASE WHEN p_partkey % 17 = 0 THEN NULL
                     WHEN p_partkey % 5 = 0 THEN ' ' || p_name || '--' || p_brand || '  x' ELSE p_name END AS prd_nm,
                CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE CAST(floor(p_retailprice / 2) AS INTEGER) END AS prd_cost,
                {pick("p_size", ["M", "R ", "S", "T", None, " ", "Z"])} AS prd_line,
                {days_after("1994-01-01", "p_partkey % 2 * 1500")} AS prd_start_dt, CAST(NULL AS DATE) AS prd_end_dt
-        FROM (SELECT *, p_partkey // 2 AS b FROM part)""",
+        FROM (SELECT *, p_partkey // 2 AS b, 0 AS added, 'C' AS first, '' AS tail FROM part
+              UNION ALL SELECT *, p_partkey // 2, 10000000, 'D', '' FROM part WHERE p_partkey % 40 = 1
+              UNION ALL SELECT *, p_partkey // 2, 20000000, 'C', repeat('-x', 75) FROM part WHERE p_partkey % 100 = 0)""",
     "raw_crm_sales": f"""
         SELECT CASE WHEN l_orderkey % 997 = 0 THEN NULL ELSE 'SO' || l_orderkey END AS sls_ord_num,
                CASE WHEN l_partkey % 307 = 0 THEN ' '
                     ELSE 'P-' || lpad(CAST(l_partkey // 2 AS VARCHAR), 6, '0') END AS sls_prd_key,
                o_custkey AS sls_cust_id,
-               CASE WHEN l_orderkey % 211 = 0 THEN 0 WHEN l_orderkey % 223 = 0 THEN 32154
+               CASE WHEN l_orderkey % 211 = 0 OR date_trunc('month', o_orderdate) = DATE '1997-03-01' THEN 0 WHEN l_orderkey % 223 = 0 THEN 32154
                     ELSE {yyyymmdd("o_orderdate")} END AS sls_order_dt,
                {yyyymmdd("l_shipdate")} AS sls_ship_dt,
                CAST(CASE WHEN l_orderkey % 5 = 0 THEN year(o_orderdate) * 10000 + month(o_orderdate) * 100 + 28
@@ -106,21 +110,22 @@ PARTS = {
                     ELSE CAST(floor(l_extendedprice / l_quantity) AS INTEGER) END AS sls_price
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "raw_erp_customer": f"""
-        SELECT CASE WHEN c_custkey % 2 = 0 THEN 'NAS' ELSE '' END || 'aw' || lpad(CAST(c_custkey AS VARCHAR), 8, '0')
-               || ' ' AS "CID",
+        SELECT {ERP_KEY} AS "CID",
                CASE WHEN c_custkey % 29 = 0 THEN NULL ELSE {days_after("1930-01-01", "c_custkey * 37 % 40000")} END
                AS "BDATE",
                {pick("c_custkey", ["M", " female ", "Male", "F", None, "", "X", "FEMALE"])} AS "GEN"
-        FROM customer WHERE c_custkey % 31 <> 7""",
+        FROM customer
+        UNION ALL
+        SELECT {ERP_KEY}, {days_after("1960-01-01", "c_custkey % 9000")}, 'M' FROM customer WHERE c_custkey % 50 = 1""",
     "raw_erp_location": f"""
-        SELECT 'AW-' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS "CID", {pick("c_nationkey", COUNTRIES)} AS "CNTRY"
-        FROM customer WHERE c_custkey % 37 <> 5""",
+        SELECT CASE WHEN c_custkey % 37 = 5 THEN 'ZZ-' ELSE 'AW-' END || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS "CID",
+               {pick("c_nationkey", COUNTRIES)} AS "CNTRY"
+        FROM customer""",
     "raw_erp_category": f"""
-        SELECT ' c' || r || '_s' || n AS "ID", {pick("r", ["bikes", " ACCESSORIES", None, "spare  parts"])} AS "CAT",
+        SELECT CASE WHEN r = 5 AND n = 3 THEN ' x' ELSE ' c' END || r || '_s' || n AS "ID", {pick("r", ["bikes", " ACCESSORIES", None, "spare  parts"])} AS "CAT",
                {pick("n", ["road frames", "", "Helmets", "socks"])} AS "SUBCAT",
                {pick("(r + n)", ["Yes", "No", " yes", None])} AS "MAINTENANCE"
-        FROM (SELECT n_nationkey % 6 AS r, n_nationkey // 6 AS n FROM nation WHERE n_nationkey < 24)
-        WHERE NOT (r = 5 AND n = 3)""",
+        FROM (SELECT n_nationkey % 6 AS r, n_nationkey // 6 AS n FROM nation)""",
     # --- refined, before rules ---
     "standard_customer": f"""
         SELECT cst_id AS customer_id, cst_key AS customer_key, {or_na(title("cst_firstname"))} AS first_name,
@@ -147,7 +152,7 @@ PARTS = {
         SELECT prd_id AS product_id,
                CASE WHEN trim(substr(prd_key, 1, 5)) = '' THEN 'N/A'
                     ELSE replace(trim(substr(prd_key, 1, 5)), '-', '_') END AS product_category,
-               {or_na(squeeze("substr(prd_key, 7, 100)"))} AS product_key,
+               {or_na(squeeze("substr(prd_key, 7)"))} AS product_key,
                CASE WHEN {squeeze("prd_nm")} = '' THEN 'N/A'
                     ELSE regexp_replace(regexp_replace(trim(coalesce(prd_nm, '')), '[-]+', ' ', 'g'), '\s+', ' ', 'g')
                END AS product_name,
@@ -239,8 +244,8 @@ FACT = """
                d.day_of_month AS order_day, d.day_of_week AS order_day_of_week, d.month_name AS order_month_name,
                d.quarter AS order_quarter, d.is_weekend AS order_is_weekend
         FROM silver_crm_sales AS s
-        LEFT JOIN gold_customer AS c ON s.customer_id = c.customer_id
-        LEFT JOIN gold_product AS p ON s.product_key = p.product_key {condition}
+        LEFT JOIN {customers} AS c ON s.customer_id = c.customer_id
+        LEFT JOIN {products} AS p ON s.product_key = p.product_key {condition}
         LEFT JOIN calendar_parts AS d ON s.order_date = d.date"""
 FEATURES = f"""
         SELECT order_number, customer_id, product_key, order_date, ship_date, due_date, order_year, order_month, order_day,
@@ -263,19 +268,32 @@ FEATURES = f"""
         FROM {{fact}}
         WHERE price > 0 AND sales_amount > 0 AND quantity > 0 AND order_date IS NOT NULL"""
 IN_FORCE = """AND s.order_date >= p.product_start_date
-                  AND (p.product_end_date IS NULL OR s.order_date <= p.product_end_date)"""
+                  AND (p.next_start IS NULL OR s.order_date < p.next_start)"""
 PARTS |= {
-    "gold_fact": FACT.format(condition=""),
-    "gold_fact_effective": FACT.format(condition=IN_FORCE),
+    "version_chain": """
+        SELECT *, lead(product_start_date) OVER (PARTITION BY product_key ORDER BY product_start_date) AS next_start
+        FROM (SELECT * FROM gold_product WHERE product_start_date IS NOT NULL QUALIFY
+              row_number() OVER (PARTITION BY product_key, product_start_date ORDER BY product_id DESC) = 1)""",
+    "gold_fact": FACT.format(customers="gold_customer", products="gold_product", condition=""),
+    "gold_fact_effective": FACT.format(customers="single_customer", products="version_chain", condition=IN_FORCE),
     "gold_features": FEATURES.format(fact="gold_fact"),
     "gold_features_effective": FEATURES.format(fact="gold_fact_effective"),
-    "monthly": """
+    "present_months": """
         SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, CAST(sum(sales_amount) AS BIGINT) AS total_sales
         FROM silver_crm_sales WHERE order_date IS NOT NULL GROUP BY 1""",
+    "monthly": """
+        SELECT month, coalesce(total_sales, 0) AS total_sales
+        FROM (SELECT CAST(unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS DATE) AS month FROM present_months)
+        LEFT JOIN present_months USING (month)""",
     "spend": """
         SELECT customer_id, sum(sales_amount) AS total_sales, count(*) AS sales_lines
         FROM silver_crm_sales WHERE customer_id IS NOT NULL GROUP BY customer_id""",
     "line_items": """
+        SELECT product_line, month, coalesce(items, 0) AS items
+        FROM (SELECT product_line, CAST(unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS DATE) AS month
+              FROM present_line_items GROUP BY product_line)
+        LEFT JOIN present_line_items USING (product_line, month)""",
+    "present_line_items": """
         SELECT product_line, CAST(date_trunc('month', order_date) AS DATE) AS month, sum(quantity) AS items
         FROM gold_fact_effective WHERE order_date IS NOT NULL AND product_line IS NOT NULL GROUP BY 1, 2""",
     "activity": f"""
@@ -285,11 +303,21 @@ PARTS |= {
     "bought": """
         SELECT customer_id, product_key, sum(quantity) AS items FROM silver_crm_sales
         WHERE customer_id IS NOT NULL AND product_key IS NOT NULL GROUP BY ALL""",
-    "residents": "SELECT DISTINCT customer_id, region FROM gold_customer WHERE region IS NOT NULL",
-    "region_top": """
+    "single_customer": """
+        SELECT * FROM gold_customer WHERE customer_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY
+            customer_key NULLS FIRST, first_name NULLS FIRST, last_name NULLS FIRST, marital_status NULLS FIRST,
+            gender NULLS FIRST, birth_date NULLS FIRST, age NULLS FIRST, age_group NULLS FIRST, country NULLS FIRST,
+            region NULLS FIRST) = 1""",
+    "region_ranks": """
         SELECT region, product_key, row_number() OVER (PARTITION BY region ORDER BY sum(items) DESC, product_key) AS rank
-        FROM bought JOIN residents USING (customer_id) GROUP BY region, product_key QUALIFY rank <= 10""",
-    "spender": "SELECT * FROM spend JOIN gold_customer USING (customer_id)",
+        FROM bought JOIN single_customer USING (customer_id) WHERE region IS NOT NULL GROUP BY region, product_key""",
+    "best_offers": """
+        SELECT customer_id, arg_min(r.product_key, rank) AS product_key, min(rank) AS rank
+        FROM single_customer JOIN region_ranks AS r USING (region)
+        WHERE NOT EXISTS (SELECT 1 FROM bought AS b WHERE b.customer_id = single_customer.customer_id
+                          AND b.product_key = r.product_key)
+        GROUP BY customer_id""",
+    "spender": "SELECT * FROM spend JOIN single_customer USING (customer_id)",
 }
 
 
@@ -520,7 +548,7 @@ STATEMENTS = {
     "top_customers": """
         SELECT customer_id, CAST(sum(sales_amount) AS BIGINT) AS total_sales, count(DISTINCT order_number) AS orders,
                customer_key, first_name, last_name, country
-        FROM silver_crm_sales JOIN gold_customer USING (customer_id)
+        FROM silver_crm_sales JOIN single_customer USING (customer_id)
         GROUP BY customer_id, customer_key, first_name, last_name, country
         ORDER BY total_sales DESC, customer_id LIMIT 10""",
     "monthly_growth": f"""
@@ -565,10 +593,7 @@ STATEMENTS = {
                AS segment
         FROM activity""",
     "recommendations": """
-        SELECT customer_id, arg_min(product_key, rank) AS product_key, CAST(min(rank) AS INTEGER) AS rank
-        FROM residents JOIN region_top USING (region)
-        WHERE (customer_id, product_key) NOT IN (SELECT (customer_id, product_key) FROM bought)
-        GROUP BY customer_id""",
+        SELECT customer_id, product_key, rank FROM single_customer LEFT JOIN best_offers USING (customer_id)""",
 }
 
 

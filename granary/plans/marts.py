@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from granary.functions import dates, numbers
@@ -131,25 +131,38 @@ def renamed(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
     return df.select(F.col(key).alias("_key"), *[F.col(old).alias(new) for old, new in columns.items()])
 
 
+def single_customers(customers: DataFrame) -> DataFrame:
+    """One row per customer id. The dimension repeats a customer whose ERP id repeats; the first row by all columns counts."""
+    known = customers.where(F.col("customer_id").isNotNull())
+    first = known.groupBy("customer_id").agg(F.min(F.struct(*CUSTOMER)).alias("_first"))
+    return first.select("customer_id", "_first.*")
+
+
 def with_customer(sales: DataFrame, customers: DataFrame) -> DataFrame:
     return left_lookup(sales, renamed(customers, "customer_id", CUSTOMER), "customer_id", "_key").drop("_key")
 
 
-def with_every_version(sales: DataFrame, products: DataFrame) -> DataFrame:
-    """Sales with the attributes of each version of their product."""
-    return left_lookup(sales, renamed(products, "product_key", PRODUCT), "product_key", "_key").drop("_key")
+def with_every_version(sales: DataFrame, products: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """Sales with the attributes of each version of their product; keys: rows that hold all product keys of the sales."""
+    return left_lookup(sales, renamed(products, "product_key", PRODUCT), "product_key", "_key", keys).drop("_key")
 
 
 def with_version_in_force(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Sales with the attributes of the product version that was valid on the order date.
 
-    Versions that end before they start are never in force and are left out first, so that a key has at most one version
-    per start date.
+    A key of sales may belong to products of several categories. All their versions follow each other by start date, and
+    of those with equal start dates the one of the largest product id counts, so one version is in force on a day.
     """
-    start, end, day = F.col("product_start_date"), F.col("product_end_date"), F.col("order_date")
-    versions = renamed(products.where(end.isNull() | (end >= start)), "product_key", PRODUCT)
-    in_force = (day >= start) & (end.isNull() | (day <= end))
-    return sales.join(versions, (F.col("product_key") == F.col("_key")) & in_force, "left").drop("_key")
+    start, day = F.col("product_start_date"), F.col("order_date")
+    versions = renamed(products.where(start.isNotNull()), "product_key", PRODUCT)
+    others = [c for c in versions.columns if c not in ("_key", "product_start_date")]
+    single = versions.groupBy("_key", "product_start_date").agg(F.max(F.struct(*others)).alias("_last"))
+    chain = single.select(
+        "_key", "product_start_date", "_last.*",
+        F.lead("product_start_date").over(Window.partitionBy("_key").orderBy("product_start_date")).alias("_next"),
+    )
+    in_force = (day >= start) & (F.col("_next").isNull() | (day < F.col("_next")))
+    return sales.join(chain, (F.col("product_key") == F.col("_key")) & in_force, "left").drop("_key", "_next")
 
 
 def with_calendar(sales: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -169,13 +182,13 @@ def fact_sales(sales: DataFrame, customers: DataFrame, products: DataFrame, cale
                run_ts: dt.datetime) -> DataFrame:
     """Sales with all dimension attributes. Each sale meets every version of its product, whatever the order date."""
     by_customer = with_customer(sales.select(*SALES), customers)
-    return fact_columns(with_calendar(with_every_version(by_customer, products), calendar), run_ts)
+    return fact_columns(with_calendar(with_every_version(by_customer, products, sales), calendar), run_ts)
 
 
 def fact_sales_effective(sales: DataFrame, customers: DataFrame, products: DataFrame, calendar: DataFrame,
                          run_ts: dt.datetime) -> DataFrame:
-    """Sales with the product version in force on the order date, so that sums are not inflated."""
-    by_customer = with_customer(sales.select(*SALES), customers)
+    """Sales with the product version in force on the order date and one row per customer: one row per sale."""
+    by_customer = with_customer(sales.select(*SALES), single_customers(customers))
     return fact_columns(with_calendar(with_version_in_force(by_customer, products), calendar), run_ts)
 
 

@@ -7,8 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.plans.marts import with_version_in_force
-from granary.plans.questions import monthly_sales
+from granary.plans.marts import single_customers, with_version_in_force
+from granary.plans.questions import monthly_sales, with_every_month
 
 EPOCH_YEAR = 2000
 
@@ -44,7 +44,7 @@ def demand_forecast(sales: DataFrame, products: DataFrame, horizon: int = 3) ->
         .groupBy("product_line", F.trunc("order_date", "month").alias("month"))
         .agg(F.sum("quantity").alias("items"))
     )
-    return trend(items, "items", ["product_line"], horizon)
+    return trend(with_every_month(items, "items", ["product_line"]), "items", ["product_line"], horizon)
 
 
 def customer_segments(sales: DataFrame, run_ts: dt.datetime) -> DataFrame:
@@ -67,21 +67,34 @@ def customer_segments(sales: DataFrame, run_ts: dt.datetime) -> DataFrame:
     return activity.select("*", F.concat_ws("-", *parts).alias("segment"))
 
 
-def recommendations(sales: DataFrame, customers: DataFrame, per_region: int = 10) -> DataFrame:
-    """For each customer the best-selling product of their region among its top sellers that they have not bought.
+def ranked_products(bought: DataFrame, located: DataFrame) -> DataFrame:
+    """Rank of each product in its region by items sold, then by key, without sorting a region in one task.
 
-    The top lists are broadcast: they hold the list length times the handful of regions the location cleaner can assign.
-    What customers bought is compared key by key.
+    Ranks start after all products with more items, which takes one row per distinct number of items and region.
+    """
+    sold = bought.join(located, "customer_id").groupBy("region", "product_key").agg(F.sum("items").alias("items"))
+    levels = sold.groupBy("region", "items").agg(F.count(F.lit(1)).alias("products"))
+    higher = Window.partitionBy("region").orderBy(F.desc("items")).rowsBetween(Window.unboundedPreceding, -1)
+    before = levels.select("region", "items", F.coalesce(F.sum("products").over(higher), F.lit(0)).alias("before"))
+    among_equals = F.row_number().over(Window.partitionBy("region", "items").orderBy("product_key"))
+    return sold.join(before, ["region", "items"]).select("region", "product_key", (F.col("before") + among_equals).alias("rank"))
+
+
+def recommendations(sales: DataFrame, customers: DataFrame) -> DataFrame:
+    """For each customer the best-selling product of their region that they have not bought; NULL if there is none.
+
+    That is the first gap in the ranks of what they own.
     """
     bought = sales.where(F.col("customer_id").isNotNull() & F.col("product_key").isNotNull()).groupBy(
         "customer_id", "product_key"
     ).agg(F.sum("quantity").alias("items"))
-    located = customers.where(F.col("region").isNotNull()).select("customer_id", "region").distinct()
-    sold = bought.join(located, "customer_id").groupBy("region", "product_key").agg(F.sum("items").alias("items"))
-    best_first = Window.partitionBy("region").orderBy(F.desc("items"), "product_key")
-    top = sold.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= per_region)
-    offers = located.join(F.broadcast(top.drop("items")), "region").join(
-        bought.select("customer_id", "product_key"), ["customer_id", "product_key"], "left_anti"
+    located = single_customers(customers).select("customer_id", "region")
+    ranked = ranked_products(bought, located.where(F.col("region").isNotNull()))
+    owned = bought.join(located, "customer_id").join(ranked, ["region", "product_key"]).select("customer_id", "rank")
+    place = F.row_number().over(Window.partitionBy("customer_id").orderBy("rank"))
+    gaps = owned.withColumn("place", place).groupBy("customer_id").agg(
+        F.coalesce(F.min(F.when(F.col("rank") != F.col("place"), F.col("place"))), F.count(F.lit(1)) + 1).alias("rank")
     )
-    best = offers.groupBy("customer_id").agg(F.min(F.struct("rank", "product_key")).alias("best"))
-    return best.select("customer_id", F.col("best.product_key").alias("product_key"), F.col("best.rank").alias("rank"))
+    wanted = located.join(gaps, "customer_id", "left").select("customer_id", "region", F.coalesce("rank", F.lit(1)).alias("rank"))
+    offers = wanted.join(ranked, ["region", "rank"], "left")
+    return offers.select("customer_id", "product_key", F.when(F.col("product_key").isNotNull(), F.col("rank")).alias("rank"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.plans.marts import days_to_ship, is_late_shipment, usable_sales, with_version_in_force
+from granary.plans.marts import days_to_ship, is_late_shipment, single_customers, usable_sales, with_version_in_force
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -31,21 +31,30 @@ def top_customers(sales: DataFrame, customers: DataFrame, limit: int = 10) -> Da
         F.sum("sales_amount").alias("total_sales"), F.count_distinct("order_number").alias("orders")
     )
     best = (
-        spend.join(customers.select("customer_id").distinct(), "customer_id", "left_semi")
+        spend.join(customers.select("customer_id"), "customer_id", "left_semi")
         .orderBy(F.desc("total_sales"), "customer_id")
         .limit(limit)
     )
     return best.join(
-        customers.select("customer_id", "customer_key", "first_name", "last_name", "country"), "customer_id"
+        single_customers(customers).select("customer_id", "customer_key", "first_name", "last_name", "country"), "customer_id"
     )
 
 
+def with_every_month(series: DataFrame, value: str, keys: list[str]) -> DataFrame:
+    """A monthly series per key with 0 in the months between its first and its last that it lacks."""
+    bounds = series.groupBy(*keys).agg(F.min("month").alias("first"), F.max("month").alias("last"))
+    spine = bounds.where(F.col("first").isNotNull()).select(*keys, F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 MONTH"))).alias("month"))
+    return spine.join(series, [*keys, "month"], "left").select(*keys, "month", F.coalesce(value, F.lit(0)).alias(value))
+
+
 def monthly_sales(sales: DataFrame) -> DataFrame:
-    return (
+    """Sales of every month from the first to the last; 0 in a month without any."""
+    months = (
         sales.where(F.col("order_date").isNotNull())
         .groupBy(F.trunc("order_date", "month").alias("month"))
         .agg(F.sum("sales_amount").alias("total_sales"))
     )
+    return with_every_month(months, "total_sales", [])
 
 
 def monthly_growth(sales: DataFrame) -> DataFrame:
@@ -82,7 +91,7 @@ def weak_regions(sales: DataFrame, customers: DataFrame) -> DataFrame:
     """Sales per region, compared with the average region."""
     per_region = (
         customer_spend(sales)
-        .join(customers.select("customer_id", "region"), "customer_id")
+        .join(single_customers(customers).select("customer_id", "region"), "customer_id")
         .where(F.col("region").isNotNull())
         .groupBy("region")
         .agg(F.sum("total_sales").alias("total_sales"))
@@ -102,7 +111,7 @@ DRIVERS = ["age_group", "region", "gender", "marital_status"]
 
 def spend_drivers(sales: DataFrame, customers: DataFrame) -> DataFrame:
     """Average spend per customer for each value of each customer attribute, in one pass over customers."""
-    buyers = customer_spend(sales).join(customers.select("customer_id", *DRIVERS), "customer_id")
+    buyers = customer_spend(sales).join(single_customers(customers).select("customer_id", *DRIVERS), "customer_id")
     attributes = F.array(*[F.struct(F.lit(d).alias("driver"), F.col(d).alias("value")) for d in DRIVERS])
     return (
         buyers.select("total_sales", F.inline(attributes))
@@ -117,7 +126,7 @@ def spend_drivers(sales: DataFrame, customers: DataFrame) -> DataFrame:
 
 def spend_correlation(sales: DataFrame, customers: DataFrame) -> DataFrame:
     """How far age and number of purchases go along with spend."""
-    buyers = customer_spend(sales).join(customers.select("customer_id", "age"), "customer_id")
+    buyers = customer_spend(sales).join(single_customers(customers).select("customer_id", "age"), "customer_id")
     return buyers.agg(
         F.round(F.corr("age", "total_sales"), 6).alias("age_spend_corr"),
         F.round(F.corr("sales_lines", "total_sales"), 6).alias("purchases_spend_corr"),

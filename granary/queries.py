@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from granary.operators import rules
 from granary.operators.versions import version_intervals
 from granary.plans import classic, marts, metrics, predictions, profile, questions, refined
-from granary.session import scratch_dir, stored, tuned
+from granary.session import scratch_dir, tuned
 from granary.sinks.publish import publish
 from granary.sources.csv import read_feed, read_merged, with_lineage
 from granary.sources.feeds import feed
@@ -27,12 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Tables:
-    """All datasets over one data folder. Plans are built once; what several steps share is written once, then scanned.
-
-    Facts meet written dimensions because Spark knows the size of a table, but overestimates the size of a nested plan and
-    would shuffle the sales for a dimension that fits in memory. Facts scan written sales so that filters reach the file
-    scan instead of unfolding into the cleaning rules, and the generated code of each stage stays small enough to compile.
-    """
+    """All datasets over one data folder, as lazy plans: a query reads only the columns of the source that it needs."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = tuned(spark), sf_dir
@@ -56,35 +51,22 @@ class Tables:
     def dim_product(self) -> DataFrame:
         return marts.dim_product(self.silver("crm_product"), self.silver("erp_category"), RUN_TS)
 
-    @cached_property
-    def sales_table(self) -> DataFrame:
-        return stored(self.sales, "sales")
-
-    @cached_property
-    def customers(self) -> DataFrame:
-        return stored(self.dim_customer, "customers")
-
-    @cached_property
-    def products(self) -> DataFrame:
-        return stored(self.dim_product, "products")
-
     @cached_property
     def calendar(self) -> DataFrame:
         return marts.dim_calendar(marts.fixed_bounds(self.spark, *CALENDAR), RUN_TS)
 
     @cached_property
     def fact(self) -> DataFrame:
-        return marts.fact_sales(self.sales_table, self.customers, self.products, self.calendar, RUN_TS)
+        return marts.fact_sales(self.sales, self.dim_customer, self.dim_product, self.calendar, RUN_TS)
 
     @cached_property
     def effective_fact(self) -> DataFrame:
-        return marts.fact_sales_effective(self.sales_table, self.customers, self.products, self.calendar, RUN_TS)
+        return marts.fact_sales_effective(self.sales, self.dim_customer, self.dim_product, self.calendar, RUN_TS)
 
     @cached_property
     def measures(self) -> DataFrame:
         repeats = [(self.dim_customer, "customer_id"), (self.dim_product, "product_key")]
-        written = [stored(marts.repeated_keys(dimension, key), "repeats") for dimension, key in repeats]
-        return marts.sales_measures(self.sales, *written)
+        return marts.sales_measures(self.sales, *(marts.repeated_keys(dimension, key) for dimension, key in repeats))
 
     def with_lineage(self, name: str) -> DataFrame:
         """A raw feed with fixed lineage, as classic plans expect it."""
@@ -253,19 +235,19 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "relationship_check": relationships,
     "publish_roundtrip": publish_roundtrip,
     "clustered_roundtrip": clustered_roundtrip,
-    "top_products": lambda t: questions.top_products(t.sales_table, t.products),
-    "top_customers": lambda t: questions.top_customers(t.sales, t.customers),
-    "monthly_growth": lambda t: questions.monthly_growth(t.sales_table),
+    "top_products": lambda t: questions.top_products(t.sales, t.dim_product),
+    "top_customers": lambda t: questions.top_customers(t.sales, t.dim_customer),
+    "monthly_growth": lambda t: questions.monthly_growth(t.sales),
     "weak_regions": lambda t: questions.weak_regions(t.sales, t.dim_customer),
     "spend_drivers": lambda t: questions.spend_drivers(t.sales, t.dim_customer),
     "spend_correlation": lambda t: questions.spend_correlation(t.sales, t.dim_customer),
-    "category_margin": lambda t: questions.category_margin(t.sales_table, t.products),
-    "ship_delay": lambda t: questions.ship_delay(t.sales_table, t.products),
-    "sales_trend": lambda t: questions.sales_trend(t.sales_table),
-    "sales_forecast": lambda t: predictions.sales_forecast(t.sales_table),
-    "demand_forecast": lambda t: predictions.demand_forecast(t.sales_table, t.products),
-    "customer_segments": lambda t: predictions.customer_segments(t.sales_table, RUN_TS),
-    "recommendations": lambda t: predictions.recommendations(t.sales_table, t.dim_customer),
+    "category_margin": lambda t: questions.category_margin(t.sales, t.dim_product),
+    "ship_delay": lambda t: questions.ship_delay(t.sales, t.dim_product),
+    "sales_trend": lambda t: questions.sales_trend(t.sales),
+    "sales_forecast": lambda t: predictions.sales_forecast(t.sales),
+    "demand_forecast": lambda t: predictions.demand_forecast(t.sales, t.dim_product),
+    "customer_segments": lambda t: predictions.customer_segments(t.sales, RUN_TS),
+    "recommendations": lambda t: predictions.recommendations(t.sales, t.dim_customer),
 }
 
 

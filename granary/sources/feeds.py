@@ -10,15 +10,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal rows out to all cores where the files give work to less than half of them, as one small file does.
-
-    Large inputs have far more splits than a cluster has cores and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores / 2 else df
-
-
 def pick(number: Column, values: list[str | None]) -> Column:
     """The value at the position given by the remainder of a number."""
     return F.element_at(F.array(*[F.lit(v).cast("string") for v in values]), (number % len(values) + 1).cast("int"))
@@ -69,15 +60,20 @@ def crm_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("p_partkey")
     b = half(p)
     dashed = F.concat(F.lit(" "), "p_name", F.lit("--"), "p_brand", F.lit("  x"))
-    return table(spark, sf_dir, "part").select(
-        p.alias("prd_id"),
-        F.concat(F.lit("C"), b % 6, F.lit("-S"), b % 4, F.lit("-P-"), padded(b, 6)).alias("prd_key"),
+    parts = table(spark, sf_dir, "part")
+    key = F.concat(F.lit("C"), b % 6, F.lit("-S"), b % 4, F.lit("-P-"), padded(b, 6))
+    columns = [
         F.when(p % 17 == 0, None).when(p % 5 == 0, dashed).otherwise(F.col("p_name")).alias("prd_nm"),
         F.when(p % 13 != 0, half(F.col("p_retailprice")).cast("int")).alias("prd_cost"),
         pick(F.col("p_size"), ["M", "R ", "S", "T", None, " ", "Z"]).alias("prd_line"),
         days_after("1994-01-01", p % 2 * 1500).alias("prd_start_dt"),
         F.lit(None).cast("date").alias("prd_end_dt"),
-    )
+    ]
+    usual = parts.select(p.alias("prd_id"), key.alias("prd_key"), *columns)
+    # keys of another category with the same remainder, and very long keys
+    other = parts.where(p % 40 == 1).select((p + 10_000_000).alias("prd_id"), F.concat(F.lit("D"), F.substr(key, F.lit(2))).alias("prd_key"), *columns)
+    long = parts.where(p % 100 == 0).select((p + 20_000_000).alias("prd_id"), F.concat(key, F.repeat(F.lit("-x"), F.lit(75))).alias("prd_key"), *columns)
+    return usual.unionByName(other).unionByName(long)
 
 
 def crm_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,14 +81,15 @@ def crm_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     ordered, shipped = F.col("o_orderdate"), F.col("l_shipdate")
     amount, quantity = F.col("l_extendedprice"), F.col("l_quantity")
     columns = ["l_orderkey", "l_partkey", "l_extendedprice", "l_quantity", "l_shipdate"]
-    lines = spread(table(spark, sf_dir, "lineitem").select(*columns), "l_orderkey").join(
+    lines = table(spark, sf_dir, "lineitem").select(*columns).join(
         table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
     return lines.select(
         F.when(o % 997 != 0, F.concat(F.lit("SO"), o)).alias("sls_ord_num"),
         F.when(part % 307 == 0, F.lit(" ")).otherwise(F.concat(F.lit("P-"), padded(half(part), 6))).alias("sls_prd_key"),
         F.col("o_custkey").alias("sls_cust_id"),
-        F.when(o % 211 == 0, 0).when(o % 223 == 0, 32154).otherwise(yyyymmdd(ordered)).alias("sls_order_dt"),
+        F.when((o % 211 == 0) | (F.trunc(ordered, "month") == F.lit("1997-03-01").cast("date")), 0)
+        .when(o % 223 == 0, 32154).otherwise(yyyymmdd(ordered)).alias("sls_order_dt"),
         yyyymmdd(shipped).alias("sls_ship_dt"),
         F.when(o % 5 == 0, F.year(ordered) * 10000 + F.month(ordered) * 100 + 28)
         .otherwise((F.year(shipped) + 1) * 10000 + F.month(shipped) * 100 + 1)
@@ -107,19 +104,25 @@ def crm_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def erp_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     prefix = F.when(k % 2 == 0, F.lit("NAS")).otherwise(F.lit(""))
-    return table(spark, sf_dir, "customer").where(k % 31 != 7).select(
-        F.concat(prefix, F.lit("aw"), padded(k, 8), F.lit(" ")).alias("CID"),
+    matching = F.when(k % 31 == 7, F.lit("zz")).otherwise(F.lit("aw"))
+    key = F.concat(prefix, matching, padded(k, 8), F.lit(" ")).alias("CID")
+    customers = table(spark, sf_dir, "customer")
+    first_entries = customers.select(
+        key,
         F.when(k % 29 != 0, days_after("1930-01-01", k * 37 % 40000)).alias("BDATE"),
         pick(k, ["M", " female ", "Male", "F", None, "", "X", "FEMALE"]).alias("GEN"),
     )
+    repeated = customers.where(k % 50 == 1).select(key, days_after("1960-01-01", k % 9000).alias("BDATE"), F.lit("M").alias("GEN"))
+    return first_entries.unionByName(repeated)
 
 
 def erp_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     countries = ["US", "USA", "united  states", "DE", "Germany", " Australia", "UNITED KINGDOM", "", None, "Canada",
                  "Japan", "france"]
-    return table(spark, sf_dir, "customer").where(k % 37 != 5).select(
-        F.concat(F.lit("AW-"), padded(k, 8)).alias("CID"),
+    matching = F.when(k % 37 == 5, F.lit("ZZ-")).otherwise(F.lit("AW-"))
+    return table(spark, sf_dir, "customer").select(
+        F.concat(matching, padded(k, 8)).alias("CID"),
         pick(F.col("c_nationkey"), countries).alias("CNTRY"),
     )
 
@@ -127,8 +130,9 @@ def erp_location(spark: SparkSession, sf_dir: str) -> DataFrame:
 def erp_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = F.col("n_nationkey")
     r, n = nation % 6, F.floor(nation / 6)
-    return table(spark, sf_dir, "nation").where((nation < 24) & ~((r == 5) & (n == 3))).select(
-        F.concat(F.lit(" c"), r, F.lit("_s"), n).alias("ID"),
+    matching = F.when((r == 5) & (n == 3), F.lit(" x")).otherwise(F.lit(" c"))
+    return table(spark, sf_dir, "nation").select(
+        F.concat(matching, r, F.lit("_s"), n).alias("ID"),
         pick(r, ["bikes", " ACCESSORIES", None, "spare  parts"]).alias("CAT"),
         pick(n, ["road frames", "", "Helmets", "socks"]).alias("SUBCAT"),
         pick(r + n, ["Yes", "No", " yes", None]).alias("MAINTENANCE"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from granary.operators import rules
 from granary.operators.dedup import best_record
-from granary.operators.joins import hot_keys, left_lookup
+from granary.operators.joins import left_lookup
 from granary.operators.versions import repeated, version_intervals
 
 
@@ -67,9 +67,10 @@ def test_lookup_with_hot_keys_equals_plain_join(spark):
     left = spark.createDataFrame([(k, i) for i, k in enumerate([1, 1, 2, 3, None])], "k int, i int")
     right = spark.createDataFrame([(1, n) for n in range(50)] + [(2, 0), (None, 9)], "rk int, n int")
     plain = left.join(right, F.col("k") == F.col("rk"), "left")
-    assert hot_keys(right, "rk", rows=10) == [1]
-    assert rows_of(left_lookup(left, right, "k", "rk", hot_rows=10)) == rows_of(plain)
-    assert rows_of(left_lookup(left, right, "k", "rk")) == rows_of(plain)
+    for keys in (None, left.union(left)):
+        assert rows_of(left_lookup(left, right, "k", "rk", keys).select("k", "i", "n")) == rows_of(plain.select("k", "i", "n"))
+    assert left_lookup(left.where("false"), right, "k", "rk").count() == 0
+    assert rows_of(left_lookup(left, right.where("false"), "k", "rk").select("k", "i", "n")) == rows_of(left.select("k", "i", F.lit(None)))
 
 
 def test_rules_count_before_dropping_and_null_is_a_violation(spark):

@@ -7,8 +7,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from granary import oracle, queries
 
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLE = queries.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +33,7 @@ def canonical(columns, rows):
     return sorted((tuple(plain(row[i]) for i in order) for row in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", [name for name in QUERIES if name in ORACLE])
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_oracle(spark, duck, sf_dir, name):
     df = QUERIES[name](spark, sf_dir)
     result = duck.execute(ORACLE[name])
@@ -42,4 +43,5 @@ def test_query_matches_oracle(spark, duck, sf_dir, name):
 
 
 def test_every_query_is_checked():
-    assert set(ORACLE) <= set(QUERIES)
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLE) <= set(driver.oracle_sql()) <= set(driver.queries())

@@ -95,8 +95,10 @@ def test_erp_gender_wins_even_when_missing(spark, run_ts):  # S-6, S-18
 
 
 def test_fact_rows_follow_versions_and_effective_rows_follow_sales(tables):  # S-1, S-15
-    versions = tables.products.groupBy("product_key").agg(F.count(F.lit(1)).alias("n"))
-    expected = tables.sales.join(versions, "product_key", "left").agg(F.sum(F.coalesce("n", F.lit(1)))).first()[0]
+    versions = tables.dim_product.groupBy("product_key").agg(F.count(F.lit(1)).alias("n"))
+    people = tables.dim_customer.groupBy("customer_id").agg(F.count(F.lit(1)).alias("m"))
+    rows = F.coalesce("n", F.lit(1)) * F.coalesce("m", F.lit(1))
+    expected = tables.sales.join(versions, "product_key", "left").join(people, "customer_id", "left").agg(F.sum(rows)).first()[0]
     assert tables.fact.count() == expected
     effective = tables.effective_fact
     assert effective.count() == tables.sales.count()
@@ -104,20 +106,65 @@ def test_fact_rows_follow_versions_and_effective_rows_follow_sales(tables):  # S
     assert outside.count() > 0 and outside.where(F.col("order_year").isNotNull()).count() == 0
 
 
-def test_facts_and_dimensions_are_the_same_with_hot_keys_apart(tables, run_ts, monkeypatch):
-    def build():
-        people, locations = tables.silver("erp_customer"), tables.silver("erp_location")
-        customers = marts.dim_customer(tables.silver("crm_customer"), people, locations, run_ts)
-        products = marts.dim_product(tables.silver("crm_product"), tables.silver("erp_category"), run_ts)
-        star = (tables.sales_table, tables.customers, tables.products, tables.calendar, run_ts)
-        return [customers, products, marts.fact_sales(*star), marts.fact_sales_effective(*star)]
+def test_building_a_plan_starts_no_job(spark, sf_dir):
+    from granary.queries import PLANS, Tables
 
-    usual = build()
-    find = joins.hot_keys
-    monkeypatch.setattr(joins, "hot_keys", lambda df, key, rows: find(df, key, 0, most=3))
-    for plain, apart in zip(usual, build()):
-        assert apart.columns == plain.columns
-        assert apart.count() == plain.count() and apart.exceptAll(plain).count() == 0
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "plans")
+    writing = {name for name in PLANS if name.startswith("ingest") or name in ("peek_raw", "publish_roundtrip", "clustered_roundtrip")}
+    for name, plan in PLANS.items():
+        if name not in writing:
+            plan(Tables(spark, sf_dir))
+    started = tracker.getJobIdsForGroup("building")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not started
+
+
+def sales_of(spark, rows):
+    columns = "order_number string, customer_id bigint, product_key string, order_date date, ship_date date, due_date date, sales_amount int, quantity int, price int"
+    return spark.createDataFrame([(f"SO{i}", c, p, day, None, None, amount, 1, amount) for i, (c, p, day, amount) in enumerate(rows)], columns)
+
+
+def test_colliding_prefixes_give_one_version_a_day(spark):
+    products = spark.createDataFrame(
+        [(1, "P", DAY(2020, 1, 1), DAY(2020, 5, 31)), (2, "P", DAY(2020, 6, 1), None), (3, "P", DAY(2020, 3, 1), None), (4, "P", DAY(2020, 1, 1), None)],
+        "product_id bigint, product_key string, product_start_date date, product_end_date date")
+    whole = products.select("*", *(F.lit(None).cast("string").alias(c) for c in marts.PRODUCT if c not in products.columns))
+    days = [DAY(2019, 1, 1), DAY(2020, 2, 1), DAY(2020, 4, 1), DAY(2020, 7, 1), None]
+    sales = sales_of(spark, [(1, "P", day, 10) for day in days])
+    found = {r.order_date: r.product_id for r in marts.with_version_in_force(sales, whole).collect()}
+    assert found == dict(zip(days, [None, 4, 3, 2, None]))
+
+
+def test_repeated_customers_count_once(spark):
+    customers = spark.createDataFrame([(1, "AW1", "Europe"), (1, "AW1", "Oceania"), (2, "AW2", "Europe")], "customer_id bigint, customer_key string, region string")
+    whole = customers.select("*", *(F.lit(None).cast("string").alias(c) for c in [*marts.CUSTOMER] if c not in customers.columns))
+    sales = sales_of(spark, [(1, "P", DAY(2020, 1, 1), 10), (2, "P", DAY(2020, 1, 1), 5)])
+    assert [(r.region, r.total_sales) for r in questions.weak_regions(sales, whole).collect()] == [("Europe", 15)]
+    assert len(questions.top_customers(sales, whole, limit=1).collect()) == 1
+
+
+def test_months_without_sales_count_as_zero(spark):
+    sales = sales_of(spark, [(1, "P", DAY(2020, 1, 5), 10), (1, "P", DAY(2020, 4, 5), 20)])
+    growth = {r.month.month: (r.total_sales, r.previous_sales, r.growth_pct) for r in questions.monthly_growth(sales).collect()}
+    assert growth == {1: (10, None, None), 2: (0, 10, -100.0), 3: (0, 0, None), 4: (20, 0, None)}
+    assert [r.moving_average for r in questions.sales_trend(sales).orderBy("month").collect()] == [10.0, 5.0, 3.33, 6.67]
+
+
+def test_suggestions_reach_every_customer(spark):
+    products = [f"P{i:02}" for i in range(13)]
+    rows = [(c, p, DAY(2020, 1, 1), 1) for c, left_out in ((1, "P12"), (2, "P11")) for p in products if p != left_out]
+    rows += [(3, p, DAY(2020, 1, 1), 1) for p in products]
+    customers = spark.createDataFrame([(c, f"AW{c}", "Europe" if c < 4 else None) for c in (1, 2, 3, 4)] + [(5, "AW5", "Europe")], "customer_id bigint, customer_key string, region string")
+    whole = customers.select("*", *(F.lit(None).cast("string").alias(c) for c in [*marts.CUSTOMER] if c not in customers.columns))
+    found = {r.customer_id: r.product_key for r in predictions.recommendations(sales_of(spark, rows), whole).collect()}
+    assert found == {1: "P12", 2: "P11", 3: None, 4: None, 5: "P00"}
+
+
+def test_long_product_keys_stay_whole(spark):
+    key = "AB-CD-" + "x" * 150
+    row = spark.createDataFrame([(key,)], "k string").select(text.key_remainder(F.col("k")).alias("r")).first()
+    assert row.r == "x" * 150
 
 
 def test_weighted_measures_equal_measures_of_the_fact(tables):
@@ -133,12 +180,11 @@ def test_feature_flags(tables, run_ts):  # S-12, S-13
     assert features.where("missing_product_cost <> if(coalesce(product_cost, 0) = 0, 1, 0)").count() == 0
 
 
-def test_filters_and_columns_reach_the_scan(tables, run_ts, capsys):
-    marts.fact_sales_ml(tables.fact, run_ts).select("order_number", "price_per_unit").explain("formatted")
+def test_only_needed_columns_are_read_from_the_source(tables, capsys):
+    questions.monthly_growth(tables.sales).explain("formatted")
     plan = capsys.readouterr().out
-    pushed = [line for line in plan.splitlines() if "GreaterThan(sales_amount,0)" in line]
-    assert any("GreaterThan(quantity,0)" in line and "IsNotNull(order_date)" in line for line in pushed)
-    assert "ReadSchema: struct<product_key:string>" in plan
+    assert "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double>" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp>" in plan
 
 
 def test_no_cartesian_products(tables, capsys):
