@@ -49,12 +49,9 @@ def with_every_month(series: DataFrame, value: str, keys: list[str]) -> DataFram
 
 def monthly_sales(sales: DataFrame) -> DataFrame:
     """Sales of every month from the first to the last; 0 in a month without any."""
-    months = (
-        sales.where(F.col("order_date").isNotNull())
-        .groupBy(F.trunc("order_date", "month").alias("month"))
-        .agg(F.sum("sales_amount").alias("total_sales"))
-    )
-    return with_every_month(months, "total_sales", [])
+    months = sales.groupBy(F.trunc("order_date", "month").alias("month")).agg(F.sum("sales_amount").alias("total_sales"))
+    # undated sales are one group; a filter before would repeat the date rules of the cleaner for every row
+    return with_every_month(months.where(F.col("month").isNotNull()), "total_sales", [])
 
 
 def monthly_growth(sales: DataFrame) -> DataFrame:
