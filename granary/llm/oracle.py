@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from granary.llm import quality
+from granary.llm import mixing, quality
 
 WORDS = r"list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 LINES = r"list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))"
@@ -54,5 +54,56 @@ def quality_sql() -> str:
     FROM counted c"""
 
 
+def random_key(*parts: str) -> str:
+    whole = f"concat_ws(':', '{mixing.SEED}', " + ", ".join(f"coalesce(CAST({p} AS VARCHAR), '')" for p in parts) + ")"
+    return f"CAST('0x' || substr(md5({whole}), 1, 15) AS BIGINT)"
+
+
+def mixing_sql() -> str:
+    levels, node = "", "units"
+    for level in range(mixing.LEVELS):
+        key = random_key(str(level), "source IS NULL", "source", "pass", "block")
+        levels += f"""
+    level{level} AS (SELECT source, block, pass, 2 * node + CAST(2 * row_number() OVER (PARTITION BY node
+        ORDER BY {key}, source NULLS FIRST, block, pass) > count(*) OVER (PARTITION BY node) AS INTEGER) AS node FROM {node}),"""
+        node = f"level{level}"
+    return f"""
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, {random_key("doc_id")} AS random,
+        len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),
+    sources AS (SELECT source, count(*) AS n, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+    weighed AS (SELECT *, {mixing.MOST_PASSES} * source_size AS most,
+        list_extract({list(mixing.WEIGHTS)}, ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)} + 1)::BIGINT) AS weight FROM sources),
+    shares AS (SELECT *, (sum(source_size) OVER () - sum(most) OVER w + most) / (sum(weight) OVER () - sum(weight) OVER w + weight) AS share
+        FROM weighed WINDOW w AS (ORDER BY most / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+    level_ AS (SELECT share FROM shares WHERE most > share * weight ORDER BY most / weight, source NULLS LAST LIMIT 1),
+    targets AS (SELECT source, n, source_size, least(most::DOUBLE, coalesce((SELECT share FROM level_) * weight, most)) AS target FROM shares),
+    fulls AS (SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size), {mixing.MOST_PASSES}) ELSE 0 END::BIGINT AS full_,
+        ceil(sqrt(n))::BIGINT AS blocks FROM targets),
+    passes AS (SELECT *, CASE WHEN full_ < {mixing.MOST_PASSES} THEN greatest(target - full_ * source_size, 0) ELSE 0 END AS rest FROM fulls),
+    known AS (SELECT d.*, p.* EXCLUDE (source), random % blocks AS block FROM d JOIN passes p ON d.source IS NOT DISTINCT FROM p.source),
+    sums AS (SELECT source, block, full_, rest, sum(size) AS words FROM known GROUP BY ALL),
+    after_ AS (SELECT *, sum(words) OVER (PARTITION BY source ORDER BY block) AS up_to FROM sums),
+    cuts AS (SELECT source, min(block) AS cut_block, arg_min(up_to - words, block) AS before FROM after_ WHERE up_to > rest AND rest > 0 GROUP BY source),
+    placed AS (SELECT k.*, cut_block, before FROM known k LEFT JOIN cuts c ON k.source IS NOT DISTINCT FROM c.source),
+    at_cut AS (SELECT *, before + sum(size) OVER (PARTITION BY source ORDER BY random, doc_id NULLS FIRST, rid ROWS UNBOUNDED PRECEDING) AS up_to
+        FROM placed WHERE block = cut_block),
+    inside AS (SELECT rid, source, up_to FROM at_cut WHERE up_to <= rest),
+    reached AS (SELECT source, max(up_to) AS reached FROM inside GROUP BY source),
+    free AS (SELECT p.*, rest - coalesce(reached, before) AS gap FROM placed p LEFT JOIN reached r ON p.source IS NOT DISTINCT FROM r.source
+        WHERE block >= cut_block AND rid NOT IN (SELECT rid FROM inside)),
+    closest AS (SELECT rid FROM free WHERE abs(size - gap) < gap
+        QUALIFY row_number() OVER (PARTITION BY source ORDER BY abs(size - gap), random, doc_id NULLS FIRST, rid) = 1),
+    picked AS (SELECT rid FROM inside UNION SELECT rid FROM closest),
+    units AS (SELECT source, block, unnest(range(1, taken + 1)) AS pass, 0 AS node FROM (SELECT s.source, block,
+        full_ + CASE WHEN block <= cut_block THEN 1 ELSE 0 END AS taken FROM sums s LEFT JOIN cuts c ON s.source IS NOT DISTINCT FROM c.source)),{levels}
+    dealt AS (SELECT source, block, list(node ORDER BY pass) AS nodes FROM {node} GROUP BY source, block),
+    copied AS (SELECT p.*, full_ + CASE WHEN block < cut_block OR rid IN (SELECT rid FROM picked) THEN 1 ELSE 0 END AS copies FROM placed p),
+    joined AS (SELECT c.*, coalesce(nodes[:copies], []) AS own FROM copied c
+        LEFT JOIN dealt t ON c.source IS NOT DISTINCT FROM t.source AND c.block = t.block)
+    SELECT doc_id, size, source_size, target, size * copies AS taken, CASE WHEN size = 0 THEN '' ELSE array_to_string(
+        CASE WHEN len(own) < copies THEN list_append(own, coalesce(own[-1], 0)) ELSE own END, ',') END AS shards
+    FROM joined"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_adaptive_quality": quality_sql()}
+    return {"op6_source_mix": mixing_sql(), "op9_adaptive_quality": quality_sql()}
