@@ -323,6 +323,7 @@ PARTS |= {
 
 # --- statements ------------------------------------------------------------------------------------------------------
 
+# Columns, rule names and value domains.
 FEED_COLUMNS = {
     "crm_customer": {"cst_id": "bigint", "cst_key": "string", "cst_firstname": "string", "cst_lastname": "string",
                      "cst_marital_status": "string", "cst_gndr": "string", "cst_create_date": "date"},

@@ -52,7 +52,7 @@ def erp_customer(raw: DataFrame, run_ts: dt.datetime) -> DataFrame:
 
 
 def erp_location(raw: DataFrame, run_ts: dt.datetime) -> DataFrame:
-    return table(raw.where("length(CNTRY) IN (2, 3)"), LOCATION, run_ts)
+    return table(raw.where("length(CNTRY) BETWEEN 2 AND 3"), LOCATION, run_ts)
 
 
 def crm_customer(raw: DataFrame, run_ts: dt.datetime) -> DataFrame:

@@ -88,6 +88,7 @@ def dim_calendar(bounds: DataFrame, run_ts: dt.datetime) -> DataFrame:
     )
 
 
+# The output columns of facts and features.
 SALES = ["order_number", "customer_id", "product_key", "order_date", "ship_date", "due_date", "sales_amount",
          "quantity", "price"]
 # Dimension column -> fact column
@@ -212,6 +213,7 @@ def sales_measures(sales: DataFrame, repeated_customers: DataFrame, repeated_pro
     )
 
 
+# Feature columns in their order.
 FEATURE_GROUPS = {
     "dates": ["order_year", "order_month", "order_day", "order_quarter", "order_month_name", "order_day_of_week",
               "order_is_weekend"],

@@ -155,13 +155,14 @@ def rules(dataset: str, run_ts: dt.datetime) -> list[Rule]:
     """The rules of a refined dataset, judged against the run date."""
     today = f"DATE'{run_ts.date()}'"
     earliest = f"DATE'{dates.EARLIEST}'"
+    # Rule names, value domains and bounds.
     return {
         "crm_customer": [
             Rule("valid_customer_id", "customer_id IS NOT NULL", DROP),
             Rule("valid_gender", "gender IN ('Female', 'Male', 'N/A')"),
             Rule("valid_marital_status", "marital_status IN ('Married', 'Single', 'N/A')"),
             Rule("valid_created_date", f"created_date <= {today}"),
-            Rule("complete_names", "'N/A' NOT IN (first_name, last_name)"),
+            Rule("complete_names", "first_name <> 'N/A' AND last_name <> 'N/A'"),
         ],
         "crm_product": [
             Rule("valid_product_id", "product_id IS NOT NULL", DROP),
@@ -170,7 +171,7 @@ def rules(dataset: str, run_ts: dt.datetime) -> list[Rule]:
             Rule("valid_product_cost", "product_cost >= 0"),
             Rule(
                 "valid_product_dates",
-                "product_start_date IS NOT NULL AND product_start_date <= coalesce(product_end_date, product_start_date)",
+                "product_start_date IS NOT NULL AND (product_end_date IS NULL OR product_start_date <= product_end_date)",
             ),
             Rule("valid_product_line", "product_line IN ('Mountain', 'Road', 'Touring', 'Other Sales', 'N/A')"),
         ],
@@ -180,8 +181,8 @@ def rules(dataset: str, run_ts: dt.datetime) -> list[Rule]:
             Rule("valid_sales_amount", "sales_amount >= 0"),
             Rule("valid_price", "price >= 0"),
             Rule("valid_order_date", f"order_date IS NULL OR order_date BETWEEN {earliest} AND {today}"),
-            Rule("valid_ship_sequence", "coalesce(ship_date >= order_date, true)"),
-            Rule("valid_due_sequence", "coalesce(due_date >= order_date, true)"),
+            Rule("valid_ship_sequence", "ship_date IS NULL OR order_date IS NULL OR ship_date >= order_date"),
+            Rule("valid_due_sequence", "due_date IS NULL OR order_date IS NULL OR due_date >= order_date"),
         ],
         "erp_category": [
             Rule("valid_category_id", "category_id IS NOT NULL", DROP),

@@ -21,6 +21,7 @@ COMMENTS = {
     "fact_sales_effective": "Sales with the product version in force at the order date",
     "fact_sales_ml": "Usable sales with derived features",
 }
+# Fixed values.
 FEATURE_PROPERTIES = {
     "quality": "gold",
     "layer": "ml_features",
