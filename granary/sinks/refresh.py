@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from granary.plans import classic, marts, refined
 from granary.session import tuned
 from granary.sinks.publish import publish
-from granary.sources.csv import read_feed, with_lineage
+from granary.sources.csv import read_merged
 from granary.sources.schemas import FEEDS
 
 COMMENTS = {
@@ -55,9 +55,9 @@ class Lakehouse:
         )
 
     def ingest(self, paths: Mapping[str, str]) -> None:
-        """Raw layer: every feed as it arrived, with lineage and corrupt lines."""
+        """Raw layer: every feed as it arrived, whatever the order of its columns, with lineage and corrupt lines."""
         for feed, schema in FEEDS.items():
-            rows = with_lineage(read_feed(self.spark, paths[feed], schema), self.run_ts)
+            rows = read_merged(self.spark, [paths[feed]], schema, self.run_ts)
             properties = {"quality": "bronze", "layer": "bronze", "source_format": "csv"}
             self.write(rows, "bronze", feed, comment=f"Raw {feed} feed", properties=properties)
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,21 +38,30 @@ def read_feed(spark: SparkSession, path: str | Sequence[str], schema: str | T.St
     )
 
 
+def headers(spark: SparkSession, deliveries: Sequence[str]) -> dict[str, list[str]]:
+    """The files of all deliveries by their header line, found in one job. Files without a line have no header."""
+    lines = spark.read.text(list(deliveries)).where(F.col("_metadata.file_block_start") == 0)
+    first = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.first("value").alias("header"))
+    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header")
+    return {row["header"]: [unquote(file) for file in row["files"]] for row in groups.collect()}
+
+
 def read_merged(spark: SparkSession, deliveries: Sequence[str], schema: str, run_ts: dt.datetime) -> DataFrame:
-    """Read deliveries (folders or globs) whose headers differ in order or in the columns they carry.
+    """Read deliveries (files, folders or globs) whose headers differ in order or in the columns they carry.
 
-    One read per delivery, never per file: Spark takes the header from the delivery's first file and refuses others
-    that disagree. Columns then meet by name; absent ones are NULL, undeclared ones are kept as text. Lineage columns
-    are added here, as file names are only known per read.
+    One read per distinct header, however many files there are. Columns then meet by name; absent ones are NULL, undeclared
+    ones are kept as text. Lineage columns are added here, as file names are only known per read.
     """
     declared = {field.name: field for field in T.StructType.fromDDL(schema)}
 
-    def read(path: str) -> DataFrame:
-        names = spark.read.option("header", True).csv(path).columns
+    def read(header: str, files: list[str]) -> DataFrame:
+        names = next(csv.reader([header]))
         fields = [declared.get(name, T.StructField(name, T.StringType())) for name in names]
-        return with_lineage(read_feed(spark, path, T.StructType(fields)), run_ts)
+        return with_lineage(read_feed(spark, files, T.StructType(fields)), run_ts)
 
-    parts = [read(path) for path in deliveries]
+    parts = [read(*group) for group in headers(spark, deliveries).items()]
+    if not parts:
+        parts = [with_lineage(read_feed(spark, list(deliveries), schema), run_ts)]
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     absent = {name: F.lit(None).cast(f.dataType) for name, f in declared.items() if name not in merged.columns}
     extra = [name for name in merged.columns if name not in declared]

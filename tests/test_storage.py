@@ -91,3 +91,17 @@ def test_full_refresh(spark, sf_dir, tmp_path, run_ts):
     assert lake.read("silver", "crm_product").columns == columns
     for table in lake.audit:
         spark.sql(f"DROP TABLE {table}")
+
+
+def test_one_read_per_header_and_a_moved_and_an_extra_column(spark, tmp_path, run_ts):
+    from granary.sources.csv import headers, read_merged
+
+    layouts = ["CID,CNTRY", "CNTRY,CID", "CID,CNTRY,note"]
+    for i in range(30):
+        values = {"CID": f"AW{i}", "CNTRY": "US", "note": "n"}
+        names = layouts[i % 3].split(",")
+        (tmp_path / f"part {i}.csv").write_text(f"{layouts[i % 3]}\n{','.join(values[n] for n in names)}\n")
+    assert {h: len(f) for h, f in headers(spark, [str(tmp_path)]).items()} == {h: 10 for h in layouts}
+    rows = read_merged(spark, [str(tmp_path)], "CID STRING, CNTRY STRING", run_ts).collect()
+    assert {(r.CID, r.CNTRY) for r in rows} == {(f"AW{i}", "US") for i in range(30)}
+    assert sum(r.note == "n" for r in rows) == 10
