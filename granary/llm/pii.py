@@ -76,7 +76,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, end, label) in order of start and kind."""
     out = [(a, b, 1) for a, b in emails(text)] if "@" in text else []
     for m in ADDRESS.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m.group().split(".") if part.strip("0")):
+        parts = [part.lstrip("0") for part in m.group().split(".")]
+        if all(len(part) <= 3 and int(part or 0) <= 255 for part in parts):
             out.append((*m.span(), 2))
     for m in NUMBER.finditer(text):
         digits = m.group().replace(" ", "").replace("-", "")
