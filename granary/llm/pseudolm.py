@@ -1,21 +1,27 @@
 """Score documents by masked pseudo-likelihood: every word is predicted from its neighbours on both sides.
 
 A word is drawn in two steps: its class given the classes of the two words before and after it, by a small network
-trained here in numpy, and the word given its class, by counts over the whole corpus. The most frequent words are classes
-of their own, all others share classes by their hash. The score is the sum of the logarithms over all words of a text.
+trained here in numpy, and the word given its class and the classes of the words next to it. The most frequent words are
+classes of their own, all others share classes by their hash. The second step is an even mixture of the word's share of
+its class, and of its share among the words of its class that stood beside such neighbours; the latter leaves out the
+word's own place. The score is the sum of the logarithms over all words of a text.
 
-Every document takes part in training: each task makes a pass over its documents from the same start, and the networks
-are averaged by the words they have seen. Word counts are added up over all documents; what is sent to every task (the
-network, words at least one in FREQUENT, and totals of the classes) has a fixed size.
+Every document takes part in training, in one of ROUNDS rounds: in a round each task makes a pass over its documents from
+the same start, and the networks are averaged by the words they have seen, which is the start of the next round.
+
+Every word has its own counts. Those of words at least one in FREQUENT, a bounded number, are sent to every task. All
+other words are sent in packed form, with their neighbours, to a task for each range of words, which counts and answers
+them; the ranges grow in number with the input, and no such word is more than one in FREQUENT, so none is large.
 
 Defined results: null, empty or blank text has no words and scores 0; texts are scored whole; outside a text is a class of
-its own; repeated rows get equal scores; an empty table gives an empty result; scores may differ in late digits when the
-input is split otherwise; columns named like an output are replaced.
+its own; repeated rows get equal scores; an empty table gives an empty result; scores may differ when the input is split
+otherwise, as the network is averaged over tasks; columns named like an output are replaced.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +36,9 @@ CLASSES = 1 + OWN + (1 << SHARED_BITS)
 REACH = (-2, -1, 1, 2)
 WIDTH, HIDDEN = 12, 24
 FREQUENT = 1 << 16
-BATCH, RATE, SEED = 2048, 0.005, 7
+BATCH, RATE, SEED, ROUNDS = 2048, 0.005, 7, 4
+RANGE = 1 << 19  # words to a range
+HEADS = 1 << 10  # groups in which what needs no answer is passed on
 MERGED = 1 << 20  # new words that a task gathers before it adds them up
 
 
@@ -52,31 +60,26 @@ def counted(texts: DataFrame) -> DataFrame:
 
 
 class Vocabulary:
-    """The class of every word, and the probability of a word in its class."""
+    """The class of every word, and the counts of frequent words and of classes."""
 
     def __init__(self, counts: DataFrame):
         total = counts.agg(F.sum("n")).first()[0] or 0
         own = counts.orderBy(F.desc("n"), "word").limit(OWN).toArrow()
         self.own = np.sort(own["word"].to_numpy().view(np.uint64))
-        self.frequent = np.zeros(0, np.uint64)
-        self.log_frequent = np.zeros(0)
-        self.log_rare = np.zeros(1 << SHARED_BITS)
+        self.frequent, self.n_frequent = np.zeros(0, np.uint64), np.zeros(0)
+        self.size, self.n_rare = np.ones(CLASSES), 0
         if not total:
             return
         others = counts.where(~F.col("word").isin(own["word"].to_pylist()))
         frequent = F.col("n") * FREQUENT >= total
         table = others.where(frequent).toArrow()  # FREQUENT rows at most
         shared = F.shiftrightunsigned("word", 64 - SHARED_BITS).cast("int").alias("shared")
-        rare = F.when(~frequent, F.col("n"))
-        sizes = others.groupBy(shared).agg(F.sum("n").alias("n"), F.coalesce(F.sum(rare), F.lit(0)).alias("rare"), F.count(rare).alias("kinds")).toArrow()
-        size, rest, kinds = np.ones(1 << SHARED_BITS), np.zeros(1 << SHARED_BITS), np.zeros(1 << SHARED_BITS)
-        for name, array in (("n", size), ("rare", rest), ("kinds", kinds)):
-            array[sizes["shared"].to_numpy()] = sizes[name].to_numpy()
-        self.log_rare = np.log((rest + 1) / (size + 1) / (kinds + 1))
+        sizes = others.groupBy(shared).agg(F.sum("n").alias("n")).toArrow()
+        self.size[1 + OWN + sizes["shared"].to_numpy()] = sizes["n"].to_numpy()
         word, n = table["word"].to_numpy().view(np.uint64), table["n"].to_numpy()
         order = np.argsort(word)
-        self.frequent = word[order]
-        self.log_frequent = np.log(n[order] / (size[self._shared(self.frequent)] + 1))
+        self.frequent, self.n_frequent = word[order], n[order].astype(np.float64)
+        self.n_rare = int(self.size[1 + OWN :][sizes["shared"].to_numpy()].sum() - n.sum())
 
     @staticmethod
     def _shared(word: np.ndarray) -> np.ndarray:
@@ -91,10 +94,18 @@ class Vocabulary:
         at, known = self._find(self.own, word)
         return np.where(known, 1 + at, 1 + OWN + self._shared(word))
 
+    def in_frequent(self, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place among the frequent words, whether the word is one)."""
+        return self._find(self.frequent, word)
+
+    def is_rare(self, word: np.ndarray) -> np.ndarray:
+        return ~self._find(self.own, word)[1] & ~self.in_frequent(word)[1]
+
     def log_in_class(self, word: np.ndarray) -> np.ndarray:
-        at, frequent = self._find(self.frequent, word)
-        out = self.log_rare[self._shared(word)]
-        out[frequent] = self.log_frequent[at[frequent]]
+        """Of a word's share of its class; minus infinity for rare words, whose counts are in no table."""
+        at, frequent = self.in_frequent(word)
+        out = np.full(len(word), -np.inf)
+        out[frequent] = np.log(self.n_frequent[at[frequent]] / self.size[self.classes(word[frequent])])
         out[self._find(self.own, word)[1]] = 0.0
         return out
 
@@ -163,46 +174,162 @@ class Network:
 
 
 def trained(texts: DataFrame, vocabulary: Vocabulary) -> Network:
-    """The average of the networks that the tasks train, each over all its documents."""
+    """The network after ROUNDS rounds, each the average of what the tasks train on a part of their documents."""
+    network = Network()
+
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network, seen = Network(), 0
+        own, seen = Network(network.flat()), 0
         for batch in batches:
             for piece in spans(batch["text"]):
                 w = words(piece)
                 cls = vocabulary.classes(hashes(w))
                 near = contexts(cls, w.row)
                 for at in range(0, len(cls), BATCH):
-                    network.learn(near[at : at + BATCH], cls[at : at + BATCH])
+                    own.learn(near[at : at + BATCH], cls[at : at + BATCH])
                 seen += len(cls)
         if seen:
-            flat = network.flat()
+            flat = own.flat()
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat * seen), pa.array(np.full(len(flat), seen))], ["at", "value", "seen"])
 
-    sums = texts.mapInArrow(train, "at long, value double, seen long").groupBy("at").agg(F.sum("value").alias("value"), F.sum("seen").alias("seen"))
-    table = sums.orderBy("at").toArrow()  # a row for each weight of the network
-    return Network(table["value"].to_numpy() / table["seen"].to_numpy()) if table.num_rows else Network()
+    for part in range(ROUNDS):
+        some = texts.where(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == part)
+        sums = some.mapInArrow(train, "at long, value double, seen long").groupBy("at").agg(F.sum("value").alias("value"), F.sum("seen").alias("seen"))
+        table = sums.orderBy("at").toArrow()  # a row for each weight of the network
+        if table.num_rows:
+            network = Network(table["value"].to_numpy() / table["seen"].to_numpy())
+    return network
+
+
+# --- the word given its class and neighbours -------------------------------------------------------------------------
+
+
+def log_beside(n: np.ndarray, size: np.ndarray, beside: np.ndarray, around: np.ndarray) -> np.ndarray:
+    """Of a word with n of size occurrences in its class, beside of around of those next to such neighbours."""
+    alone = n / size
+    return np.log(np.where(around > 0, (alone + beside / np.maximum(around, 1)) / 2, alone))
+
+
+@dataclass
+class Neighbours:
+    """How often classes, and frequent words, stand after (0) and before (1) a class."""
+
+    classes: np.ndarray  # side x neighbour x class
+    frequent: np.ndarray  # frequent word x side x neighbour
+
+    def around(self, left: np.ndarray, right: np.ndarray, cls: np.ndarray) -> np.ndarray:
+        """Occurrences of the class next to either neighbour, other than this one."""
+        return self.classes[0, left, cls] + self.classes[1, right, cls] - 2
+
+    def log_known(self, vocabulary: Vocabulary, word: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Of own and frequent words; 0 for rare ones, which are answered elsewhere."""
+        at, frequent = vocabulary.in_frequent(word)
+        at, left, right, cls = at[frequent], left[frequent], right[frequent], vocabulary.classes(word[frequent])
+        beside = self.frequent[at, 0, left].astype(np.float64) + self.frequent[at, 1, right] - 2
+        out = np.zeros(len(word))
+        out[frequent] = log_beside(vocabulary.n_frequent[at], vocabulary.size[cls], beside, self.around(left, right, cls))
+        return out
+
+
+def neighbours(texts: DataFrame, vocabulary: Vocabulary) -> Neighbours:
+    places, cells = 2 * CLASSES * CLASSES, 2 * CLASSES * len(vocabulary.frequent)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(places + cells, np.int64)
+        for batch in batches:
+            for piece in spans(batch["text"]):
+                w = words(piece)
+                h = hashes(w)
+                cls = vocabulary.classes(h)
+                near = contexts(cls, w.row)
+                at, frequent = vocabulary.in_frequent(h)
+                for side, reach in enumerate((1, 2)):
+                    found = [(side * CLASSES + near[:, reach]) * CLASSES + cls, places + (2 * at[frequent] + side) * CLASSES + near[frequent, reach]]
+                    place, n = np.unique(np.concatenate(found), return_counts=True)
+                    sums[place] += n
+        seen = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(sums[seen])], ["at", "n"])
+
+    table = texts.mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    sums = np.zeros(places + cells)
+    sums[table["at"].to_numpy()] = table["n"].to_numpy()
+    return Neighbours(sums[:places].reshape(2, CLASSES, CLASSES), sums[places:].reshape(-1, 2, CLASSES).astype(np.uint32))
+
+
+def packed(rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of SENT."""
+    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], ["piece", "range", "a", "b", "c"])
+
+
+# of a piece of the table: rows, numbers of words and scores (range below 0); rare words, neighbours and rows in the piece
+SENT = "piece long, range long, a binary, b binary, c binary"
 
 
 def scored(df: DataFrame, text: str = "text") -> DataFrame:
     """Add n_words, log_likelihood, and mean_log_likelihood of a word."""
     shipped(df.sparkSession)
-    texts = df.select(F.col(text).alias("text"))
+    rows = stored(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    texts = rows.select(F.col(text).alias("text"))
     vocabulary = Vocabulary(stored(counted(texts), "words"))
-    network = trained(texts, vocabulary)
+    network, beside = trained(texts, vocabulary), neighbours(texts, vocabulary)
+    ranges = vocabulary.n_rare // RANGE + 1
 
-    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for piece in spans(batch):
+            at = 0
+            for piece in spans(batch["text"]):
+                if not len(piece):
+                    continue
+                own = batch["_row"].slice(at, len(piece)).to_numpy()
+                at += len(piece)
                 w = words(piece)
                 h = hashes(w)
                 cls = vocabulary.classes(h)
-                each = network.log_probability(contexts(cls, w.row), cls) + vocabulary.log_in_class(h)
-                n, total = np.diff(w.first), np.bincount(w.row, each, len(piece)).astype(np.float64)
-                out.append(pa.StructArray.from_arrays([pa.array(n), pa.array(total), pa.array(total / np.maximum(n, 1))], ["n", "total", "mean"]))
-            yield pa.concat_arrays(out)
-
+                near = contexts(cls, w.row)
+                each = network.log_probability(near, cls) + beside.log_known(vocabulary, h, near[:, 1], near[:, 2])
+                total = np.bincount(w.row, each, len(piece)).astype(np.float64)
+                name = int(own[0])
+                out = [(name, -1 - name % HEADS, own.astype(np.int64).tobytes(), np.diff(w.first).astype(np.int64).tobytes(), total.tobytes())]
+                rare = np.flatnonzero(vocabulary.is_rare(h))
+                to = (h[rare] % np.uint64(ranges)).astype(np.int64)
+                order = np.argsort(to, kind="stable")
+                rare, ends = rare[order], np.cumsum(np.bincount(to, minlength=ranges))
+                code, doc = (near[rare, 1] * CLASSES + near[rare, 2]).astype(np.uint16), w.row[rare].astype(np.int32)
+                for k in np.flatnonzero(np.diff(ends, prepend=0)).tolist():
+                    part = slice(ends[k - 1] if k else 0, ends[k])
+                    out.append((name, k, h[rare[part]].tobytes(), code[part].tobytes(), doc[part].tobytes()))
+                yield packed(out)
+
+    def answer(table: pa.Table) -> pa.Table:
+        """Rare words replaced by the logarithms of their shares."""
+        if not table.num_rows or table["range"][0].as_py() < 0:
+            return table
+        sent = table["a"].to_pylist()
+        word, code = np.frombuffer(b"".join(sent), np.uint64), np.frombuffer(b"".join(table["b"].to_pylist()), np.uint16).astype(np.int64)
+        left, right = code // CLASSES, code % CLASSES
+        _, kind, n = np.unique(word, return_inverse=True, return_counts=True)
+        near = np.full(len(word), -2)
+        for side in (left, right):
+            _, place, times = np.unique(kind * CLASSES + side, return_inverse=True, return_counts=True)
+            near += times[place]
+        cls = vocabulary.classes(word)
+        value = log_beside(n[kind], vocabulary.size[cls], near, beside.around(left, right, cls))
+        parts = np.split(value, np.cumsum([len(x) // 8 for x in sent])[:-1])
+        answers = [part.tobytes() for part in parts]
+        return table.set_column(2, "a", pa.array(answers, pa.binary())).set_column(3, "b", pa.array([b""] * len(sent), pa.binary()))
+
+    def add(table: pa.Table) -> pa.Table:
+        table = table.sort_by("range")  # the sums of equal texts are added in equal order
+        head, *parts = table.select(["a", "b", "c"]).to_pylist()
+        row, n, total = (np.frombuffer(head[k], kind) for k, kind in (("a", np.int64), ("b", np.int64), ("c", np.float64)))
+        doc, value = (np.frombuffer(b"".join(p[k] for p in parts), kind) for k, kind in (("c", np.int32), ("a", np.float64)))
+        total = total + np.bincount(doc, value, len(row))
+        return pa.table({"_row": row, "n": n, "total": total, "mean": total / np.maximum(n, 1)})
+
+    sent = rows.select("_row", F.col(text).alias("text")).mapInArrow(send, SENT)
+    answered = sent.groupBy("range").applyInArrow(answer, SENT)
+    sums = answered.groupBy("piece").applyInArrow(add, "_row long, n long, total double, mean double")
     outputs = {"n_words": "n", "log_likelihood": "total", "mean_log_likelihood": "mean"}
-    kept = [c for c in df.columns if c.lower() not in outputs]
-    found = df.withColumn("_scores", F.arrow_udf(score, "n long, total double, mean double")(F.col(text)))
-    return found.select(*kept, *(F.col(f"_scores.{c}").alias(name) for name, c in outputs.items()))
+    kept = [F.col(f"rows.`{c}`") for c in df.columns if c.lower() not in outputs]
+    found = rows.alias("rows").join(sums.alias("sums"), F.col("rows._row") == F.col("sums._row"))
+    return found.select(*kept, *(F.col(f"sums.{c}").alias(name) for name, c in outputs.items()))

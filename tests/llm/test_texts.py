@@ -197,6 +197,40 @@ def test_scores_of_odd_texts(odd_docs, no_docs):
     assert pseudolm.scored(no_docs).count() == 0
 
 
+def test_words_outside_the_table_have_their_own_probability(spark, monkeypatch):
+    monkeypatch.setattr(pseudolm, "FREQUENT", 8)  # no word but those of own classes is frequent
+    monkeypatch.setattr(pseudolm, "RANGE", 500)
+    common = [f"c{i}" for i in range(pseudolm.OWN)]
+    lines = [" ".join(common)] * 40
+    pairs = [(f"x{i}", f"y{i}", f"z{i}") for i in range(60)]
+    lines += [" ".join(p) for p in pairs for _ in range(5)]
+    mixed_up = [f"{pairs[i][0]} {pairs[(i + 17) % 60][1]} {pairs[(i + 31) % 60][2]}" for i in range(60)]
+    lines += mixed_up
+    rows = [(i, text) for i, text in enumerate(lines)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    vocabulary = pseudolm.Vocabulary(pseudolm.counted(frame.select("text")))
+    network, beside = pseudolm.trained(frame.select("text"), vocabulary), pseudolm.neighbours(frame.select("text"), vocabulary)
+    w = pseudolm.words(pa.array(lines))
+    h = pseudolm.hashes(w)
+    cls = vocabulary.classes(h)
+    near = pseudolm.contexts(cls, w.row)
+    n, sides = pseudolm.np.zeros(len(h)), pseudolm.np.zeros(len(h))
+    keys = list(zip(h.tolist(), near[:, 1].tolist(), near[:, 2].tolist()))
+    for i, (word, left, right) in enumerate(keys):
+        n[i] = sum(k[0] == word for k in keys)
+        sides[i] = sum((k[0] == word) * ((k[1] == left) + (k[2] == right)) for k in keys) - 2
+    around = beside.around(near[:, 1], near[:, 2], cls)
+    assert around.min() >= 0 and vocabulary.n_rare == vocabulary.is_rare(h).sum() == 3 * 360
+    in_class = pseudolm.log_beside(n, vocabulary.size[cls], sides, around)
+    in_class[~vocabulary.is_rare(h)] = 0
+    expected = pseudolm.np.bincount(w.row, network.log_probability(near, cls) + in_class)
+    monkeypatch.setattr(pseudolm, "trained", lambda *_: network)
+    found = {r.doc_id: r.log_likelihood for r in pseudolm.scored(frame).collect()}
+    assert [found[i] for i in range(len(lines))] == pytest.approx(expected.tolist(), rel=1e-5)
+    sound = pseudolm.np.mean([found[40 + i] for i in range(300)])
+    assert sound > pseudolm.np.mean([found[340 + i] for i in range(60)]) + 1
+
+
 def test_vocabulary_leaves_special_tokens_out():
     with open(WORD_PIECES, encoding="utf-8") as file:
         content = json.load(file)
