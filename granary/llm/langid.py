@@ -4,7 +4,8 @@ Fitting counts the n-grams of every text with a known language; an n-gram belong
 RARE of that language's n-grams is it, so that stray words do not fill the filters and a language holds at most RARE
 n-grams however large the input. All languages share one array of cells: a cell is a mask, a bit for each language, and
 the bitwise and of an n-gram's cells gives all languages that contain it at once. A text is given to the language with
-most n-grams after the number expected by false positives has been taken away.
+most n-grams after the number expected by false positives has been taken away. A word of one byte is, with the spaces
+around it, a further n-gram of three bytes, so every text with a letter has an n-gram.
 
 Defined results: null text, or text without a letter, is `und` with score 0; without training rows every text is `und`;
 ties go to the first language in order; repeated rows get equal results; only columns named like an output are replaced.
@@ -41,7 +42,7 @@ def _cleaned(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(n-grams as 32-bit numbers, row of each) within each text."""
+    """(n-grams as 32-bit numbers, row of each) within each text; no text holds a zero byte, so shorter ones are distinct."""
     data, offsets = text_bytes(texts)
     n = max(len(data) - WIDTH + 1, 0)
     gram = np.zeros(n, np.uint32)
@@ -49,7 +50,10 @@ def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         gram |= data[k : k + n].astype(np.uint32) << np.uint32(8 * k)
     row = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(offsets))
     whole = row[:n] == row[WIDTH - 1 :] if n else np.zeros(0, bool)
-    return gram[whole], row[:n][whole]
+    space = data == ord(" ")
+    short = np.flatnonzero(space[:-2] & ~space[1:-1] & space[2:] & (row[:-2] == row[2:]))
+    edges = np.uint32(ord(" ") << 16 | ord(" "))
+    return np.concatenate([gram[whole], data[short + 1].astype(np.uint32) << np.uint32(8) | edges]), np.concatenate([row[:n][whole], row[short]])
 
 
 def _cells(gram: np.ndarray) -> np.ndarray:

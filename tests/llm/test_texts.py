@@ -91,6 +91,14 @@ def test_language_of_odd_texts(odd_docs, no_docs):
     assert {r.lang_pred for r in alone.collect()} == {"und"} and "ids" in alone.columns
 
 
+def test_language_of_one_letter(spark):
+    rows = [("a day and a night", "en"), ("e um dia e uma noite", "pt")]
+    filters = langid.fitted(spark.createDataFrame(rows, "text string, lang string"))
+    found = filters.predict(pa.array(["A.", "e", "1 E", "q", "?", None])).to_pylist()
+    assert [r["lang_pred"] for r in found] == ["en", "pt", "pt", "en", "und", "und"]  # q is in neither language
+    assert found[0]["score"] > 0.9 and found[3]["score"] == found[4]["score"] == 0
+
+
 def test_filters_hold_every_member_and_correct_for_chance():
     members = pa.table({"lang": [f"l{i:02}" for i in range(70)], "gram": list(range(1000, 1070))})
     filters = langid.Filters(members)
