@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from granary.llm import mixing, quality
+from granary.llm import merkle, mixing, periodic, quality
 
 WORDS = r"list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 LINES = r"list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))"
@@ -105,5 +105,79 @@ def mixing_sql() -> str:
     FROM joined"""
 
 
+# a checksum from its table of bytes: crc(key) is the one of the decimal key, where bytes_ is joined
+CHECKSUMS = """bytes_ AS (SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS of_byte)"""
+
+
+def crc(key: str) -> str:
+    digits = f"list_transform(string_split(CAST({key} AS VARCHAR), ''), lambda x: unicode(x)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {digits}), lambda c, b: xor(c >> 8, of_byte[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+def periodic_sql() -> str:
+    least = f"greatest({periodic.LEAST}, {periodic.REPEATS} * q)"
+    return f"""
+    WITH {CHECKSUMS},
+    d AS (SELECT row_number() OVER () AS rid, doc_id, {crc("doc_id")} AS h, {WORDS} AS ws FROM (SELECT doc_id, coalesce(text, '') AS t, of_byte FROM documents, bytes_)),
+    placed AS (SELECT *, len(ws) AS n, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(ws) > 0 THEN (h // 10) % len(ws) END AS a FROM d),
+    known AS (SELECT rid, doc_id, n, CASE WHEN a IS NULL THEN ws ELSE list_transform(range(n),
+        lambda i: ws[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) END AS ws FROM placed),
+    w AS (SELECT rid, n, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS i FROM known),
+    pairs AS (SELECT x.rid, x.i, y.i - x.i AS q FROM w x JOIN w y ON x.rid = y.rid AND x.word = y.word AND y.i > x.i AND {periodic.REPEATS} * (y.i - x.i) <= x.n),
+    stretches AS (SELECT rid, q, min(i) AS s, max(i) - min(i) + 1 + q AS l
+        FROM (SELECT *, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS island FROM pairs) GROUP BY rid, q, island HAVING max(i) - min(i) + 1 + q >= {least}),
+    runs AS (SELECT * FROM stretches r WHERE NOT EXISTS (SELECT 1 FROM stretches b WHERE b.rid = r.rid AND b.q < r.q AND b.s <= r.s AND b.s + b.l >= r.s + r.l)),
+    lists AS (SELECT rid, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+        arg_min({{'s': s, 'l': l, 'q': q}}, {{'a': -l, 'b': s, 'c': q}}) AS best FROM runs GROUP BY rid),
+    dropped AS (SELECT DISTINCT w.rid, i FROM w JOIN runs r ON w.rid = r.rid AND i >= s + q AND i < s + l),
+    kept AS (SELECT rid, string_agg(word, ' ' ORDER BY i) AS words FROM w ANTI JOIN dropped USING (rid, i) GROUP BY rid)
+    SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.s::BIGINT AS start, best.l::BIGINT AS length, best.q::BIGINT AS period,
+        (1000 * best.l // best.q)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(words, '')) AS collapsed_sha256
+    FROM known LEFT JOIN lists USING (rid) LEFT JOIN kept USING (rid)"""
+
+
+def merkle_sql() -> str:
+    def leaf(text: str) -> str:
+        values = ("doc_id", "source", "lang", "n_chars", text)
+        fields = (f"coalesce(strlen(CAST({v} AS VARCHAR)) || ':' || CAST({v} AS VARCHAR), '-')" for v in values)
+        return f"sha256({' || '.join(fields)})"
+
+    def tree(name: str, nodes: str) -> str:
+        """name: all nodes (k, lv, p, m, h), and runs of siblings; nodes has group k, place p, group size m, digest h."""
+        return f"""
+    {name} AS (SELECT k, 0 AS lv, p, m, h FROM {nodes} UNION ALL
+        SELECT k, lv + 1, p // {merkle.ARITY}, (m + {merkle.ARITY - 1}) // {merkle.ARITY}, sha256(string_agg(h, '' ORDER BY p))
+        FROM {name} WHERE m > 1 GROUP BY k, lv, p // {merkle.ARITY}, m),
+    {name}_runs AS (SELECT k, lv, p // {merkle.ARITY} AS r, list(h ORDER BY p) AS hs FROM {name} WHERE m > 1 GROUP BY k, lv, p // {merkle.ARITY})"""
+
+    def climb(name: str, start: str, runs: str) -> str:
+        """rid, proof and node f at every level lv, from start (rid, k, p, proof, f)."""
+        own = f"p % {merkle.ARITY}"
+        before, behind = f"array_to_string(hs[1:{own}], '')", f"array_to_string(hs[{own} + 2:], '')"
+        return f"""
+    {name} AS (SELECT rid, k, 0 AS lv, p, proof, f FROM {start} UNION ALL
+        SELECT rid, c.k, c.lv + 1, c.p // {merkle.ARITY}, proof || {before} || {behind}, sha256({before} || f || {behind})
+        FROM {name} c JOIN {runs} r ON c.k = r.k AND c.lv = r.lv AND c.p // {merkle.ARITY} = r.r),
+    {name}_top AS (SELECT rid, k, arg_max(proof, lv) AS proof, arg_max(f, lv) AS f FROM {name} GROUP BY rid, k)"""
+
+    rank = "row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, h, rid) - 1"
+    return f"""
+    WITH RECURSIVE {CHECKSUMS},
+    names AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS k FROM (SELECT DISTINCT source FROM documents)),
+    d AS (SELECT row_number() OVER () AS rid, doc_id, source, {leaf("text")} AS h,
+        CASE WHEN {crc("doc_id")} % 2 = 0 THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf("text")} END AS f FROM documents, bytes_),
+    leaves AS (SELECT rid, doc_id, k, h, f, {rank} AS p, count(*) OVER (PARTITION BY k) AS m, '' AS proof
+        FROM d JOIN names n ON d.source IS NOT DISTINCT FROM n.source),
+    {tree("low", "leaves")}, {climb("path", "leaves", "low_runs")},
+    subroots AS (SELECT 0 AS k, k AS p, count(*) OVER () AS m, h FROM low WHERE m = 1),
+    {tree("top", "subroots")},
+    middle AS (SELECT rid, 0 AS k, k AS p, proof, f FROM path_top),
+    {climb("over", "middle", "top_runs")}
+    SELECT doc_id, leaves.h AS leaf, s.h AS subroot, t.h AS root, sha256(o.proof) AS proof_sha256, o.f AS folded_root, o.f = t.h AS verified
+    FROM leaves JOIN subroots s ON leaves.k = s.p JOIN over_top o USING (rid) JOIN (SELECT h FROM top WHERE m = 1) t ON true"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_source_mix": mixing_sql(), "op9_adaptive_quality": quality_sql()}
+    return {"op6_source_mix": mixing_sql(), "op9_adaptive_quality": quality_sql(), "op11_periodic_runs": periodic_sql(),
+            "op13_merkle_manifest": merkle_sql()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import bpe, langid, minhash, mixing, pii, pseudolm, quality, tokencount, urls, vectors
+from granary.llm import bpe, langid, merkle, minhash, mixing, periodic, pii, pseudolm, quality, secretscan, tokencount, urls, vectors
 from granary.session import tuned
 
 BYTE_BPE, WORD_PIECES = "byte_bpe_50k.tiktoken", "word_bpe_49k.json"
@@ -67,7 +67,23 @@ def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filtered(table(spark, sf_dir, "pages"))
 
 
-QUERIES = [op1_vector_links, op2_byte_bpe, op3_weighted_minhash, op4_token_counts, op5_language_id, op6_source_mix, op7_personal_data, op8_pseudo_likelihood, op9_adaptive_quality, op10_url_templates]
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every whole text."""
+    return periodic.digests(table(spark, sf_dir, "documents"))
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every whole text."""
+    return secretscan.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document."""
+    return merkle.digests(table(spark, sf_dir, "documents"))
+
+
+QUERIES = [op1_vector_links, op2_byte_bpe, op3_weighted_minhash, op4_token_counts, op5_language_id, op6_source_mix, op7_personal_data, op8_pseudo_likelihood, op9_adaptive_quality, op10_url_templates,
+           op11_periodic_runs, op12_secret_scan, op13_merkle_manifest]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
