@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm.words import added, hashes, spans, words
-from granary.session import shipped, stored
+from granary.session import shipped, stored, unused
 
 OUTSIDE, OWN, SHARED_BITS = 0, 63, 6  # classes: outside a text, a word each, and 2 ** SHARED_BITS by hash
 CLASSES = 1 + OWN + (1 << SHARED_BITS)
@@ -157,10 +157,9 @@ class Network:
     def learn(self, near: np.ndarray, cls: np.ndarray) -> None:
         """One step on a batch."""
         x, hidden, score = self.forward(near)
-        p = np.exp(score)
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(p)), cls] -= 1
-        p /= len(p)
+        p = np.exp(score, out=score)
+        p *= 1 / (len(p) * p.sum(axis=1, keepdims=True))
+        p[np.arange(len(p)), cls] -= np.float32(1 / len(p))
         back = (p @ self.parts[3].T) * (1 - hidden * hidden)
         places = (near[:, :, None] * WIDTH + np.arange(WIDTH)).ravel()
         embedded = np.bincount(places, (back @ self.parts[1].T).ravel(), CLASSES * WIDTH).reshape(CLASSES, WIDTH)
@@ -174,7 +173,7 @@ class Network:
 
 
 def trained(texts: DataFrame, vocabulary: Vocabulary) -> Network:
-    """The network after ROUNDS rounds, each the average of what the tasks train on a part of their documents."""
+    """The network after ROUNDS rounds, each the average of what the tasks train on the documents of that round."""
     network = Network()
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +191,7 @@ def trained(texts: DataFrame, vocabulary: Vocabulary) -> Network:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat * seen), pa.array(np.full(len(flat), seen))], ["at", "value", "seen"])
 
     for part in range(ROUNDS):
-        some = texts.where(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == part)
+        some = texts.where(F.col("round") == part).select("text")
         sums = some.mapInArrow(train, "at long, value double, seen long").groupBy("at").agg(F.sum("value").alias("value"), F.sum("seen").alias("seen"))
         table = sums.orderBy("at").toArrow()  # a row for each weight of the network
         if table.num_rows:
@@ -268,10 +267,14 @@ SENT = "piece long, range long, a binary, b binary, c binary"
 def scored(df: DataFrame, text: str = "text") -> DataFrame:
     """Add n_words, log_likelihood, and mean_log_likelihood of a word."""
     shipped(df.sparkSession)
-    rows = stored(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    texts = rows.select(F.col(text).alias("text"))
-    vocabulary = Vocabulary(stored(counted(texts), "words"))
-    network, beside = trained(texts, vocabulary), neighbours(texts, vocabulary)
+    row = unused("row", df.columns)
+    part = unused("round", df.columns)
+    # a folder for each round of training, so that a round reads its own documents alone
+    numbered = df.withColumn(row, F.monotonically_increasing_id()).withColumn(part, F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(ROUNDS)))
+    rows = stored(numbered, "rows", by=part)
+    texts = rows.select(F.col(f"`{text}`").alias("text"), F.col(part).alias("round"))
+    vocabulary = Vocabulary(stored(counted(texts.select("text")), "words"))
+    network, beside = trained(texts, vocabulary), neighbours(texts.select("text"), vocabulary)
     ranges = vocabulary.n_rare // RANGE + 1
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,7 +283,7 @@ def scored(df: DataFrame, text: str = "text") -> DataFrame:
             for piece in spans(batch["text"]):
                 if not len(piece):
                     continue
-                own = batch["_row"].slice(at, len(piece)).to_numpy()
+                own = batch["row"].slice(at, len(piece)).to_numpy()
                 at += len(piece)
                 w = words(piece)
                 h = hashes(w)
@@ -321,15 +324,15 @@ def scored(df: DataFrame, text: str = "text") -> DataFrame:
     def add(table: pa.Table) -> pa.Table:
         table = table.sort_by("range")  # the sums of equal texts are added in equal order
         head, *parts = table.select(["a", "b", "c"]).to_pylist()
-        row, n, total = (np.frombuffer(head[k], kind) for k, kind in (("a", np.int64), ("b", np.int64), ("c", np.float64)))
+        place, n, total = (np.frombuffer(head[k], kind) for k, kind in (("a", np.int64), ("b", np.int64), ("c", np.float64)))
         doc, value = (np.frombuffer(b"".join(p[k] for p in parts), kind) for k, kind in (("c", np.int32), ("a", np.float64)))
-        total = total + np.bincount(doc, value, len(row))
-        return pa.table({"_row": row, "n": n, "total": total, "mean": total / np.maximum(n, 1)})
+        total = total + np.bincount(doc, value, len(place))
+        return pa.table({"row": place, "n": n, "total": total, "mean": total / np.maximum(n, 1)})
 
-    sent = rows.select("_row", F.col(text).alias("text")).mapInArrow(send, SENT)
+    sent = rows.select(F.col(row).alias("row"), F.col(f"`{text}`").alias("text")).mapInArrow(send, SENT)
     answered = sent.groupBy("range").applyInArrow(answer, SENT)
-    sums = answered.groupBy("piece").applyInArrow(add, "_row long, n long, total double, mean double")
+    sums = answered.groupBy("piece").applyInArrow(add, "row long, n long, total double, mean double")
     outputs = {"n_words": "n", "log_likelihood": "total", "mean_log_likelihood": "mean"}
     kept = [F.col(f"rows.`{c}`") for c in df.columns if c.lower() not in outputs]
-    found = rows.alias("rows").join(sums.alias("sums"), F.col("rows._row") == F.col("sums._row"))
+    found = rows.alias("rows").join(sums.alias("sums"), F.col(f"rows.{row}") == F.col("sums.row"))
     return found.select(*kept, *(F.col(f"sums.{c}").alias(name) for name, c in outputs.items()))
