@@ -55,14 +55,24 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return folder
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write once to shared storage, then scan: cuts the lineage, and a lost executor costs only what it was reading."""
+def stored(df: DataFrame, purpose: str, by: str | None = None) -> DataFrame:
+    """Write once to shared storage, then scan: cuts the lineage, and a lost executor costs only what it was reading.
+
+    by: a column of few values whose rows get a folder each; filters on it skip the other folders.
+    """
     spark = df.sparkSession
     path = f"{scratch_dir(spark, purpose)}/rows"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(name: str, taken: list[str]) -> str:
+    """A column name like this one that a table does not have."""
+    while name.lower() in (t.lower() for t in taken):
+        name += "_"
+    return name
+
+
 def _hadoop(spark: SparkSession, folder: str):
     """(file system, path) of a folder."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
