@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import re
 
+from granary import oracle_models
+
 TODAY = "DATE '2025-01-01'"
 
 
@@ -601,17 +603,23 @@ STATEMENTS = {
 def statement(body: str) -> str:
     """The body with the named subqueries it needs, in order of use."""
     needed: list[str] = []
+    entered: list[str] = []
 
     def visit(sql: str) -> None:
         for name in re.findall(r"\w+", sql):
-            if name in PARTS and name not in needed:
+            if name in PARTS and name not in needed and name not in entered:
+                entered.append(name)  # a step may name itself
                 visit(PARTS[name])
                 needed.append(name)
 
     visit(body)
     if not needed:
         return body.strip()
-    return "WITH " + ",\n".join(f"{name} AS ({PARTS[name].strip()})" for name in needed) + "\n" + body.strip()
+    return "WITH RECURSIVE " + ",\n".join(f"{name} AS ({PARTS[name].strip()})" for name in needed) + "\n" + body.strip()
+
+
+PARTS |= oracle_models.PARTS
+STATEMENTS |= oracle_models.STATEMENTS
 
 
 def oracle_sql() -> dict[str, str]:

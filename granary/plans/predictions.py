@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from granary.plans.marts import single_customers, with_version_in_force
 from granary.plans.questions import monthly_sales, with_every_month
+from granary.session import stored
 
 EPOCH_YEAR = 2000
 
@@ -36,26 +37,36 @@ def sales_forecast(sales: DataFrame, horizon: int = 3) -> DataFrame:
     return trend(monthly_sales(sales), "total_sales", [], horizon)
 
 
-def demand_forecast(sales: DataFrame, products: DataFrame, horizon: int = 3) -> DataFrame:
-    """Expected items sold per product line in the next months."""
+def line_items(sales: DataFrame, products: DataFrame) -> DataFrame:
+    """Items sold per product line in every month from its first to its last."""
     items = (
         with_version_in_force(sales, products)
         .where(F.col("product_line").isNotNull())
         .groupBy("product_line", F.trunc("order_date", "month").alias("month"))
         .agg(F.sum("quantity").alias("items"))
     )
-    return trend(with_every_month(items, "items", ["product_line"]), "items", ["product_line"], horizon)
+    return with_every_month(items, "items", ["product_line"])
 
 
-def customer_segments(sales: DataFrame, run_ts: dt.datetime) -> DataFrame:
-    """Customers split by recency, frequency and spend, each against the average customer."""
+def demand_forecast(sales: DataFrame, products: DataFrame, horizon: int = 3) -> DataFrame:
+    """Expected items sold per product line in the next months."""
+    return trend(line_items(sales, products), "items", ["product_line"], horizon)
+
+
+def customer_activity(sales: DataFrame, run_ts: dt.datetime) -> DataFrame:
+    """Recency, frequency and spend of every customer with dated sales."""
     dated = sales.where(F.col("customer_id").isNotNull() & F.col("order_date").isNotNull())
-    activity = dated.groupBy("customer_id").agg(
+    return dated.groupBy("customer_id").agg(
         F.datediff(F.lit(run_ts.date()), F.max("order_date")).alias("days_since_order"),
         F.count_distinct("order_number").alias("orders"),
         F.sum("sales_amount").alias("total_sales"),
     )
 
+
+def customer_segments(sales: DataFrame, run_ts: dt.datetime) -> DataFrame:
+    """Customers split by recency, frequency and spend, each against the average customer."""
+    activity = customer_activity(sales, run_ts)
+
     def average(name: str) -> Column:
         return activity.agg(F.avg(name)).scalar()
 
@@ -67,17 +78,25 @@ def customer_segments(sales: DataFrame, run_ts: dt.datetime) -> DataFrame:
     return activity.select("*", F.concat_ws("-", *parts).alias("segment"))
 
 
-def ranked_products(bought: DataFrame, located: DataFrame) -> DataFrame:
+def ranked_products(pairs: DataFrame, located: DataFrame) -> DataFrame:
     """Rank of each product in its region by items sold, then by key, without sorting a region in one task.
 
-    Ranks start after all products with more items, which takes one row per distinct number of items and region.
+    Regions are sorted over all tasks at once. A rank is what the tasks before hold of the region, and the place in the task.
     """
-    sold = bought.join(located, "customer_id").groupBy("region", "product_key").agg(F.sum("items").alias("items"))
-    levels = sold.groupBy("region", "items").agg(F.count(F.lit(1)).alias("products"))
-    higher = Window.partitionBy("region").orderBy(F.desc("items")).rowsBetween(Window.unboundedPreceding, -1)
-    before = levels.select("region", "items", F.coalesce(F.sum("products").over(higher), F.lit(0)).alias("before"))
-    among_equals = F.row_number().over(Window.partitionBy("region", "items").orderBy("product_key"))
-    return sold.join(before, ["region", "items"]).select("region", "product_key", (F.col("before") + among_equals).alias("rank"))
+    sold = pairs.join(located, "customer_id").groupBy("region", "product_key").agg(F.sum("items").alias("items"))
+    laid = stored(sold.repartitionByRange("region", F.desc("items"), "product_key").withColumn("part", F.spark_partition_id()), "ranked")
+    counts = laid.groupBy("region", "part").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("region").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("region", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("region", "part").orderBy(F.desc("items"), "product_key"))
+    placed = laid.select("region", "part", "product_key", place.alias("place"))
+    return placed.join(before, ["region", "part"]).select("region", "product_key", (F.col("before") + F.col("place")).alias("rank"))
+
+
+def bought(sales: DataFrame) -> DataFrame:
+    """Items of every product that a customer has bought."""
+    known = sales.where(F.col("customer_id").isNotNull() & F.col("product_key").isNotNull())
+    return known.groupBy("customer_id", "product_key").agg(F.sum("quantity").alias("items"))
 
 
 def recommendations(sales: DataFrame, customers: DataFrame) -> DataFrame:
@@ -85,12 +104,10 @@ def recommendations(sales: DataFrame, customers: DataFrame) -> DataFrame:
 
     That is the first gap in the ranks of what they own.
     """
-    bought = sales.where(F.col("customer_id").isNotNull() & F.col("product_key").isNotNull()).groupBy(
-        "customer_id", "product_key"
-    ).agg(F.sum("quantity").alias("items"))
+    pairs = stored(bought(sales), "bought")  # read twice
     located = single_customers(customers).select("customer_id", "region")
-    ranked = ranked_products(bought, located.where(F.col("region").isNotNull()))
-    owned = bought.join(located, "customer_id").join(ranked, ["region", "product_key"]).select("customer_id", "rank")
+    ranked = ranked_products(pairs, located.where(F.col("region").isNotNull()))
+    owned = pairs.join(located, "customer_id").join(ranked, ["region", "product_key"]).select("customer_id", "rank")
     place = F.row_number().over(Window.partitionBy("customer_id").orderBy("rank"))
     gaps = owned.withColumn("place", place).groupBy("customer_id").agg(
         F.coalesce(F.min(F.when(F.col("rank") != F.col("place"), F.col("place"))), F.count(F.lit(1)) + 1).alias("rank")

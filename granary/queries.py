@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from granary.operators import rules
 from granary.operators.versions import version_intervals
-from granary.plans import classic, marts, metrics, predictions, profile, questions, refined
+from granary.plans import classic, forecasts, marts, metrics, predictions, profile, questions, refined
 from granary.session import scratch_dir, tuned
 from granary.sinks.publish import publish
 from granary.sources.csv import read_feed, read_merged, with_lineage
@@ -63,6 +63,10 @@ class Tables:
     def effective_fact(self) -> DataFrame:
         return marts.fact_sales_effective(self.sales, self.dim_customer, self.dim_product, self.calendar, RUN_TS)
 
+    @cached_property
+    def features(self) -> DataFrame:
+        return marts.fact_sales_ml(self.effective_fact, RUN_TS)
+
     @cached_property
     def measures(self) -> DataFrame:
         repeats = [(self.dim_customer, "customer_id"), (self.dim_product, "product_key")]
@@ -197,8 +201,7 @@ def publish_roundtrip(t: Tables) -> DataFrame:
 
 
 def clustered_roundtrip(t: Tables) -> DataFrame:
-    features = marts.fact_sales_ml(t.effective_fact, RUN_TS)
-    return unstamped(published(features, "features", cluster_by=marts.CLUSTER_KEYS))
+    return unstamped(published(t.features, "features", cluster_by=marts.CLUSTER_KEYS))
 
 
 PLANS: dict[str, Callable[[Tables], DataFrame]] = {
@@ -247,6 +250,17 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "sales_forecast": lambda t: predictions.sales_forecast(t.sales),
     "demand_forecast": lambda t: predictions.demand_forecast(t.sales, t.dim_product),
     "customer_segments": lambda t: predictions.customer_segments(t.sales, RUN_TS),
+    "segments_kmeans": lambda t: forecasts.segments(t.sales, RUN_TS),
+    "sales_regression": lambda t: forecasts.sales_regression(t.features),
+    "sales_prediction": lambda t: forecasts.sales_prediction(t.features),
+    "regression_quality": lambda t: forecasts.regression_quality(t.features),
+    "seasonal_forecast": lambda t: forecasts.seasonal_forecast(t.sales, t.dim_product),
+    "sales_forecast_quality": lambda t: forecasts.forecast_quality(t.sales),
+    "demand_forecast_quality": lambda t: forecasts.demand_forecast_quality(t.sales, t.dim_product),
+    "spend_tree": lambda t: forecasts.spend_tree(t.sales, t.dim_customer),
+    "delivery_shifts": lambda t: forecasts.delivery_shifts(t.sales, t.dim_product),
+    "suggestions": lambda t: forecasts.suggestions(t.sales, t.dim_customer),
+    "factor_losses": lambda t: forecasts.factor_losses(t.sales),
     "recommendations": lambda t: predictions.recommendations(t.sales, t.dim_customer),
 }
 
