@@ -87,9 +87,9 @@ def dot(a: Column, b: Column) -> Column:
     return total
 
 
-def loss(pairs: DataFrame, user: str, item: str, users: DataFrame, items: DataFrame) -> float:
+def loss(pairs: DataFrame, users: DataFrame, items: DataFrame) -> float:
     """Over all pairs, those not bought included: these come from the two Gram matrices."""
-    met = pairs.join(users.withColumnRenamed("factors", "u"), user).join(items.withColumnRenamed("factors", "v"), item)
+    met = pairs.join(users.withColumnRenamed("factors", "u"), "user").join(items.withColumnRenamed("factors", "v"), "item")
     met = met.select((1 + TRUST * F.col("amount")).alias("c"), dot(F.col("u"), F.col("v")).alias("p"))
     bought = met.agg(F.sum(F.col("c") * (1 - F.col("p")) * (1 - F.col("p")) - F.col("p") * F.col("p"))).first()[0] or 0.0
     of_users, of_items = gram(users), gram(items)
@@ -100,11 +100,11 @@ def fitted(pairs: DataFrame, user: str, item: str, amount: str, rounds: int = RO
     """pairs: one row for each customer and product."""
     shipped(pairs.sparkSession)
     known = pairs.where(F.col(user).isNotNull() & F.col(item).isNotNull() & (F.col(amount) > 0))
-    pairs = stored(known.select(user, item, F.col(amount).cast("double").alias("amount")), "pairs")
-    items, losses = start(pairs.select(item).distinct(), item), []
+    pairs = stored(known.select(F.col(user).alias("user"), F.col(item).alias("item"), F.col(amount).cast("double").alias("amount")), "pairs")
+    items, losses = start(pairs.select("item").distinct(), "item"), []
     for _ in range(rounds):
-        users = solved(pairs, user, item, items)
-        items = solved(pairs, item, user, users)
+        users = solved(pairs, "user", "item", items)
+        items = solved(pairs, "item", "user", users)
         if with_losses:
-            losses.append(loss(pairs, user, item, users, items))
-    return Model(users, items, losses)
+            losses.append(loss(pairs, users, items))
+    return Model(users.withColumnRenamed("user", user), items.withColumnRenamed("item", item), losses)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WARM_UP, SLACK, LIMIT, CUT = 60, 0.5, 10.0, 3.0
+WARM_UP, SLACK, LIMIT, CUT = 60, 1.0, 8.0, 3.0
 SHIFTS = "array<struct<began:int,noticed:int,direction:string,level:double>>"
 
 

@@ -92,13 +92,12 @@ P = len(FEATURES)
 EACH, ALL = f"range(1, {P + 1})", f"range(1, {P + 2})"
 
 
-def elimination() -> str:
-    """A matrix with the right-hand side in its last column, brought to the unit matrix column by column."""
-    m = "a"
-    for k in range(1, P + 1):
-        m = f"""(SELECT g, n, mean, scale, list_transform({EACH}, lambda i: list_transform({ALL}, lambda j: CASE WHEN i = {k}
-            THEN a[{k}][j] / a[{k}][{k}] ELSE a[i][j] - a[i][{k}] * a[{k}][j] / a[{k}][{k}] END)) AS a FROM {m if k > 1 else 'normal'})"""
-    return m
+def elimination(size: int, keep: str, source: str) -> str:
+    """Matrices a with the right-hand side in their last column, brought to the unit matrix column by column."""
+    for k in range(1, size + 1):
+        source = f"""(SELECT {keep}, list_transform(range(1, {size + 1}), lambda i: list_transform(range(1, {size + 2}), lambda j: CASE WHEN i = {k}
+            THEN a[{k}][j] / a[{k}][{k}] ELSE a[i][j] - a[i][{k}] * a[{k}][j] / a[{k}][{k}] END)) AS a FROM {source})"""
+    return source
 
 
 def regression(rows: str) -> dict[str, str]:
@@ -117,7 +116,7 @@ def regression(rows: str) -> dict[str, str]:
                 ELSE (m[i][j] - mean[i] * mean[j]) / (scale[i] * scale[j]) + CASE WHEN i = j THEN {PENALTY} ELSE 0 END END)) AS a FROM spreads""",
         "slopes": f"""
             SELECT g, n, mean, list_transform({EACH}, lambda i: CASE WHEN scale[i] = 0 THEN 0 ELSE a[i][{P + 1}] / scale[i] END) AS slopes
-            FROM {elimination()}""",
+            FROM {elimination(P, 'g, n, mean, scale', 'normal')}""",
         "line": f"SELECT g, n, slopes, mean[{P + 1}] - list_sum(list_transform({EACH}, lambda i: slopes[i] * mean[i])) AS intercept FROM slopes",
     }
 
@@ -132,6 +131,45 @@ def with_steps(steps: dict[str, str], body: str) -> str:
     return f"SELECT * FROM (WITH RECURSIVE {named} SELECT * FROM ({body}))"
 
 
+# --- factors ---------------------------------------------------------------------------------------------------------
+
+RANK, FACTOR_ROUNDS, TRUST, FACTOR_PENALTY, OFFERS = 6, 4, 2.0, 1.0, 30
+FACTOR_DIMENSIONS = range(1, RANK + 1)
+
+
+def product_sum(a: str, b: str) -> str:
+    return " + ".join(f"{a}[{i}] * {b}[{i}]" for i in FACTOR_DIMENSIONS)
+
+
+def factors() -> dict[str, str]:
+    """Named steps: u_1 to u_ROUNDS of customers, v_0 to v_ROUNDS of products, as k and f; the Gram matrix g of each."""
+    start = ", ".join(f"CAST('0x' || substr(md5('{TODAY_SEED}:{k}:' || product_key), 1, 13) AS BIGINT)::DOUBLE / 4503599627370496" for k in range(RANK))
+    square = ", ".join("[" + ", ".join(f"sum(f[{i}] * f[{j}])" for j in FACTOR_DIMENSIONS) + "]" for i in FACTOR_DIMENSIONS)
+    steps = {
+        "amounts": "SELECT customer_id, product_key, items::DOUBLE AS amount FROM bought WHERE items > 0",
+        "v_0": f"SELECT product_key AS k, [{start}] AS f FROM (SELECT DISTINCT product_key FROM amounts)",
+        "g_v_0": f"SELECT [{square}] AS g FROM v_0",
+    }
+    for r in range(1, FACTOR_ROUNDS + 1):
+        for name, of, by, held in ((f"u_{r}", "customer_id", "product_key", f"v_{r - 1}"), (f"v_{r}", "product_key", "customer_id", f"u_{r}")):
+            rows = ", ".join(
+                "[" + ", ".join(f"sum({TRUST} * amount * f[{i}] * f[{j}])" for j in FACTOR_DIMENSIONS) + f", sum((1 + {TRUST} * amount) * f[{i}])]" for i in FACTOR_DIMENSIONS)
+            sums = f"(SELECT {of} AS k, [{rows}] AS own FROM amounts JOIN {held} ON {by} = k GROUP BY {of})"
+            normal = f"""(SELECT k, list_transform(range(1, {RANK + 1}), lambda i: list_transform(range(1, {RANK + 2}), lambda j: own[i][j]
+                + CASE WHEN j > {RANK} THEN 0 ELSE g[i][j] + CASE WHEN i = j THEN {FACTOR_PENALTY} ELSE 0 END END)) AS a FROM {sums}, g_{held})"""
+            steps[name] = f"SELECT k, list_transform(a, lambda row: row[{RANK + 1}]) AS f FROM {elimination(RANK, 'k', normal)}"
+            steps[f"g_{name}"] = f"SELECT [{square}] AS g FROM {name}"
+    return steps
+
+
+def factor_loss(r: int) -> str:
+    dot, c = product_sum("u.f", "v.f"), f"(1 + {TRUST} * amount)"
+    traces = f"""(SELECT list_sum(list_transform(range(1, {RANK + 1}), lambda i: list_sum(list_transform(range(1, {RANK + 1}), lambda j: a.g[i][j] * b.g[i][j]))
+        + {FACTOR_PENALTY} * (a.g[i][i] + b.g[i][i]))) FROM g_u_{r} a, g_v_{r} b)"""
+    return f"""SELECT {r} AS round, round((SELECT sum({c} * (1 - ({dot})) * (1 - ({dot})) - ({dot}) * ({dot}))
+        FROM amounts JOIN u_{r} u ON customer_id = u.k JOIN v_{r} v ON product_key = v.k) + {traces}, 4) AS loss"""
+
+
 # --- series ----------------------------------------------------------------------------------------------------------
 
 
@@ -187,6 +225,69 @@ def backtest(series: str, value: str, key: str) -> str:
         FROM ({rows}) GROUP BY model, step""")
 
 
+# --- tree ------------------------------------------------------------------------------------------------------------
+
+ATTRIBUTES, ORDERED = ["age_group", "region", "gender", "marital_status", "age"], "'age'"
+DEPTH, LEAST = 3, 20
+
+
+def grown() -> dict[str, str]:
+    """Named steps: rows_0 to rows_DEPTH with the node of every customer, and the splits of each level."""
+    attributes = ", ".join(f"{{'place': {i}, 'attribute': '{a}', 'value': coalesce(CAST({a} AS VARCHAR), '?')}}" for i, a in enumerate(ATTRIBUTES))
+    steps = {"rows_0": f"SELECT CAST(total_sales AS BIGINT) AS t, [{attributes}] AS attributes, 1 AS node FROM spender"}
+    for level in range(DEPTH):
+        steps[f"bins_{level}"] = f"""
+            SELECT node, a.place AS place, a.attribute AS attribute, a.value AS value, count(*) AS n, sum(t) AS total
+            FROM (SELECT node, t, unnest(attributes) AS a FROM rows_{level} WHERE node >= {1 << level}) GROUP BY ALL"""
+        steps[f"sums_{level}"] = f"""
+            SELECT node, place, attribute, list(value) OVER up AS chosen, sum(n) OVER up AS n, sum(n) OVER whole AS of_,
+                (sum(total) OVER up)::DOUBLE AS x, (sum(total) OVER whole)::DOUBLE AS y
+            FROM (SELECT *, CASE WHEN attribute = {ORDERED} THEN TRY_CAST(value AS DOUBLE) ELSE total / n END AS key FROM bins_{level})
+            WINDOW whole AS (PARTITION BY node, attribute), up AS (PARTITION BY node, attribute ORDER BY key NULLS FIRST, value ROWS UNBOUNDED PRECEDING)"""
+        steps[f"splits_{level}"] = f"""
+            SELECT node, attribute, chosen FROM (SELECT *, x * x / n + (y - x) * (y - x) / (of_ - n) - y * y / of_ AS gain
+                FROM sums_{level} WHERE n >= {LEAST} AND of_ - n >= {LEAST})
+            WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, place, len(chosen)) = 1"""
+        steps[f"rows_{level + 1}"] = f"""
+            SELECT t, attributes, CASE WHEN attribute IS NULL THEN node ELSE 2 * node
+                + CAST(NOT list_contains(chosen, list_filter(attributes, lambda a: a.attribute = s.attribute)[1].value) AS INTEGER) END AS node
+            FROM rows_{level} LEFT JOIN splits_{level} s USING (node)"""
+    steps["all_splits"] = " UNION ALL ".join(f"SELECT * FROM splits_{level}" for level in range(DEPTH))
+    return steps
+
+
+# --- control charts --------------------------------------------------------------------------------------------------
+
+WARM_UP, SLACK, LIMIT, CUT = 60, 1.0, 8.0, 3.0
+
+
+def charted() -> dict[str, str]:
+    """Named steps: the state of every chart after each day, and the shift noticed on it."""
+    deviation = "sqrt(squares / n)"
+    off = f"CASE WHEN {deviation} > 0 THEN (x - mean) / {deviation} ELSE sign(x - mean) * {CUT} END"
+    return {
+        "daily": """
+            SELECT product_category_name AS c, order_date AS day, avg(days_to_ship) AS days_to_ship, avg(is_late_shipment) AS late_share
+            FROM gold_features_effective GROUP BY ALL""",
+        "charts": " UNION ALL ".join(f"""
+            SELECT c, '{m}' AS m, list(day ORDER BY day) AS days, list({m}::DOUBLE ORDER BY day) AS vs
+            FROM daily WHERE {m} IS NOT NULL GROUP BY c""" for m in ("days_to_ship", "late_share")),
+        "fold": f"""
+            SELECT c, m, days, vs, -1 AS i, 0 AS n, 0::DOUBLE AS mean, 0::DOUBLE AS squares, 0::DOUBLE AS up, 0::DOUBLE AS down, -1 AS up_from, -1 AS down_from,
+                NULL::INTEGER AS began, NULL::VARCHAR AS direction, NULL::DOUBLE AS level FROM charts
+            UNION ALL
+            SELECT c, m, days, vs, i + 1, CASE WHEN out_ THEN 1 ELSE n + 1 END, CASE WHEN out_ THEN x ELSE next_ END,
+                CASE WHEN out_ THEN 0 ELSE squares + (x - mean) * (x - next_) END, CASE WHEN out_ THEN 0 ELSE u END, CASE WHEN out_ THEN 0 ELSE d END,
+                CASE WHEN out_ THEN i + 1 WHEN u > 0 THEN up_from ELSE i + 2 END, CASE WHEN out_ THEN i + 1 WHEN d > 0 THEN down_from ELSE i + 2 END,
+                CASE WHEN out_ THEN CASE WHEN u > {LIMIT} THEN up_from ELSE down_from END END,
+                CASE WHEN out_ THEN CASE WHEN u > {LIMIT} THEN 'up' ELSE 'down' END END, CASE WHEN out_ THEN mean END
+            FROM (SELECT *, u > {LIMIT} OR d > {LIMIT} AS out_, mean + (x - mean) / (n + 1) AS next_ FROM (
+                SELECT *, greatest(0, up + z - {SLACK}) AS u, greatest(0, down - z - {SLACK}) AS d FROM (
+                SELECT *, CASE WHEN n < {WARM_UP} THEN 0 ELSE greatest(-{CUT}, least({CUT}, {off})) END AS z FROM (
+                SELECT *, vs[i + 2] AS x FROM fold WHERE i + 1 < len(vs)))))""",
+    }
+
+
 STATEMENTS = {
     "segments_kmeans": f"""
         SELECT customer_id, days_since_order, orders, total_sales, list_position(ds, list_min(ds)) - 1 AS segment,
@@ -211,4 +312,20 @@ STATEMENTS = {
     "seasonal_forecast": seasonal("line_items", "items", "product_line"),
     "sales_forecast_quality": backtest("(SELECT 0 AS one, * FROM monthly)", "total_sales", "one"),
     "demand_forecast_quality": backtest("line_items", "items", "product_line"),
+    "spend_tree": with_steps(grown(), f"""
+        SELECT node, rows, CAST(round(CAST(CAST(total / rows AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS average, attribute AS split_by,
+            array_to_string(list_sort(chosen), ' | ') AS left_values
+        FROM (SELECT node, count(*) AS rows, sum(t) AS total FROM (SELECT t, unnest(list_transform(range({DEPTH + 1}), lambda u: node >> u)) AS node FROM rows_{DEPTH})
+              WHERE node > 0 GROUP BY node) LEFT JOIN all_splits USING (node)"""),
+    "delivery_shifts": with_steps(charted(), """
+        SELECT c AS product_category_name, m AS measure, days[began + 1] AS began, days[i + 1] AS noticed, direction, round(level, 6) AS level
+        FROM fold WHERE direction IS NOT NULL"""),
+    "factor_losses": with_steps(factors(), " UNION ALL ".join(factor_loss(r) for r in range(1, FACTOR_ROUNDS + 1))),
+    "suggestions": with_steps(factors(), f"""
+        SELECT c.customer_id, product_key, rank, round(suits, 6) AS suits FROM single_customer c LEFT JOIN (
+            SELECT o.customer_id, r.product_key, r.rank, coalesce({product_sum('u.f', 'v.f')}, 0) AS suits
+            FROM single_customer o JOIN region_ranks r USING (region) LEFT JOIN u_{FACTOR_ROUNDS} u ON u.k = o.customer_id
+            LEFT JOIN v_{FACTOR_ROUNDS} v ON v.k = r.product_key
+            WHERE r.rank <= {OFFERS} AND NOT EXISTS (SELECT 1 FROM bought b WHERE b.customer_id = o.customer_id AND b.product_key = r.product_key)
+            QUALIFY row_number() OVER (PARTITION BY o.customer_id ORDER BY suits DESC, r.rank) = 1) USING (customer_id)"""),
 }
