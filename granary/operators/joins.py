@@ -5,16 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from granary.session import unused
 
-def left_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str, keys: DataFrame | None = None) -> DataFrame:
-    """Left outer equi-join, planned as an inner join.
+PARTS = 64  # of a key that the right side repeats
 
-    Spark splits hot partitions of both sides of an inner join, but only of the left side of an outer one. So the right side
-    is first given an empty row for each key that it lacks; that takes the keys of the left side alone, or of ``keys``, any
-    rows that hold them all and are cheaper to read. In rows without partner, right_key holds the left key.
+
+def left_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """Left outer equi-join that reads the left side once. right_key is NULL in rows without partner.
+
+    Spark splits hot partitions of the left side of an outer join, but not of the right one. So right rows are counted if
+    equal and dealt to the parts of their key; a left row first learns which parts there are (one row for each key), then
+    meets each of them. No part holds more than its share of a hot key, and both joins may split the left side.
     """
-    known = right.where(F.col(right_key).isNotNull())
-    wanted = (left if keys is None else keys).select(F.col(left_key).alias("_wanted")).distinct()
-    lacking = wanted.join(known.select(F.col(right_key).alias("_known")).distinct(), F.col("_wanted") == F.col("_known"), "left_anti")
-    empty = [F.col("_wanted").alias(c) if c == right_key else F.lit(None).cast(known.schema[c].dataType).alias(c) for c in known.columns]
-    return left.join(known.union(lacking.select(*empty)), F.col(left_key).eqNullSafe(F.col(right_key)))
+    taken = [*left.columns, *right.columns]
+    part, parts, copies = (unused(name, taken) for name in ("part", "parts", "copies"))
+    others = [F.col(f"`{c}`") for c in right.columns if c != right_key]
+    rows = right.where(F.col(right_key).isNotNull()).groupBy(*right.columns).agg(F.count(F.lit(1)).alias(copies))
+    rows = rows.withColumn(part, F.pmod(F.xxhash64(*others), F.lit(PARTS)).cast("int"))
+    keys = rows.groupBy(F.col(right_key).alias(unused("key", taken))).agg(F.collect_set(part).alias(parts))
+    told = left.join(keys, F.col(left_key) == keys[keys.columns[0]], "left")
+    asked = told.select(*left.columns, F.explode_outer(parts).alias(f"{part}_"))
+    met = asked.join(rows, (F.col(left_key) == F.col(right_key)) & (F.col(f"{part}_") == F.col(part)), "left")
+    every = F.sequence(F.lit(1), F.coalesce(F.col(copies), F.lit(1)))
+    return met.select(*left.columns, *right.columns, F.explode(every).alias(copies)).drop(copies)
+
+
+def unique_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """Left outer equi-join with a right side that has each key once by construction, so that only the left one can be hot."""
+    return left.join(right, F.col(left_key) == F.col(right_key), "left")

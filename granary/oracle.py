@@ -307,9 +307,9 @@ PARTS |= {
         WHERE customer_id IS NOT NULL AND product_key IS NOT NULL GROUP BY ALL""",
     "single_customer": """
         SELECT * FROM gold_customer WHERE customer_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY
-            customer_key NULLS FIRST, first_name NULLS FIRST, last_name NULLS FIRST, marital_status NULLS FIRST,
-            gender NULLS FIRST, birth_date NULLS FIRST, age NULLS FIRST, age_group NULLS FIRST, country NULLS FIRST,
-            region NULLS FIRST) = 1""",
+            customer_key NULLS LAST, first_name NULLS LAST, last_name NULLS LAST, marital_status NULLS LAST,
+            gender NULLS LAST, birth_date NULLS LAST, age NULLS LAST, age_group NULLS LAST, country NULLS LAST,
+            region NULLS LAST) = 1""",
     "region_ranks": """
         SELECT region, product_key, row_number() OVER (PARTITION BY region ORDER BY sum(items) DESC, product_key) AS rank
         FROM bought JOIN single_customer USING (customer_id) WHERE region IS NOT NULL GROUP BY region, product_key""",

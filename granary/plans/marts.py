@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from granary.functions import dates, numbers
-from granary.operators.joins import left_lookup
+from granary.operators.joins import left_lookup, unique_lookup
 
 
 def dim_customer(customers: DataFrame, people: DataFrame, locations: DataFrame, run_ts: dt.datetime) -> DataFrame:
@@ -133,19 +133,27 @@ def renamed(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
 
 
 def single_customers(customers: DataFrame) -> DataFrame:
-    """One row per customer id. The dimension repeats a customer whose ERP id repeats; the first row by all columns counts."""
+    """One row per customer id. The dimension repeats a customer whose ERP id repeats; the first row by all columns counts,
+    where a known value comes before an unknown one."""
     known = customers.where(F.col("customer_id").isNotNull())
-    first = known.groupBy("customer_id").agg(F.min(F.struct(*CUSTOMER)).alias("_first"))
-    return first.select("customer_id", "_first.*")
+    ranked = F.struct(*[F.struct(F.col(c).isNull().alias("absent"), F.col(c).alias("value")).alias(c) for c in CUSTOMER])
+    first = known.groupBy("customer_id").agg(F.min(ranked).alias("_first"))
+    return first.select("customer_id", *[F.col(f"_first.{c}.value").alias(c) for c in CUSTOMER])
 
 
 def with_customer(sales: DataFrame, customers: DataFrame) -> DataFrame:
+    """Sales with the attributes of each row of their customer."""
     return left_lookup(sales, renamed(customers, "customer_id", CUSTOMER), "customer_id", "_key").drop("_key")
 
 
-def with_every_version(sales: DataFrame, products: DataFrame, keys: DataFrame | None = None) -> DataFrame:
-    """Sales with the attributes of each version of their product; keys: rows that hold all product keys of the sales."""
-    return left_lookup(sales, renamed(products, "product_key", PRODUCT), "product_key", "_key", keys).drop("_key")
+def with_single_customer(sales: DataFrame, customers: DataFrame) -> DataFrame:
+    """Sales with the attributes of their customer, who counts once."""
+    return unique_lookup(sales, renamed(single_customers(customers), "customer_id", CUSTOMER), "customer_id", "_key").drop("_key")
+
+
+def with_every_version(sales: DataFrame, products: DataFrame) -> DataFrame:
+    """Sales with the attributes of each version of their product."""
+    return left_lookup(sales, renamed(products, "product_key", PRODUCT), "product_key", "_key").drop("_key")
 
 
 def with_version_in_force(sales: DataFrame, products: DataFrame) -> DataFrame:
@@ -183,13 +191,13 @@ def fact_sales(sales: DataFrame, customers: DataFrame, products: DataFrame, cale
                run_ts: dt.datetime) -> DataFrame:
     """Sales with all dimension attributes. Each sale meets every version of its product, whatever the order date."""
     by_customer = with_customer(sales.select(*SALES), customers)
-    return fact_columns(with_calendar(with_every_version(by_customer, products, sales), calendar), run_ts)
+    return fact_columns(with_calendar(with_every_version(by_customer, products), calendar), run_ts)
 
 
 def fact_sales_effective(sales: DataFrame, customers: DataFrame, products: DataFrame, calendar: DataFrame,
                          run_ts: dt.datetime) -> DataFrame:
     """Sales with the product version in force on the order date and one row per customer: one row per sale."""
-    by_customer = with_customer(sales.select(*SALES), single_customers(customers))
+    by_customer = with_single_customer(sales.select(*SALES), customers)
     return fact_columns(with_calendar(with_version_in_force(by_customer, products), calendar), run_ts)
 
 

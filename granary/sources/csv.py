@@ -39,11 +39,19 @@ def read_feed(spark: SparkSession, path: str | Sequence[str], schema: str | T.St
 
 
 def headers(spark: SparkSession, deliveries: Sequence[str]) -> dict[str, list[str]]:
-    """The files of all deliveries by their header line, found in one job. Files without a line have no header."""
+    """The files of all deliveries by their header line, found in one job. Files without a line have no header.
+
+    Lines keep their order within a task, so the one with the smallest number is the first of its file; every task keeps one
+    line of a file before anything is sent on. The reader of a header needs its file names, which are what reaches the driver.
+    """
     lines = spark.read.text(list(deliveries)).where(F.col("_metadata.file_block_start") == 0)
-    first = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.first("value").alias("header"))
-    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header")
-    return {row["header"]: [unquote(file) for file in row["files"]] for row in groups.collect()}
+    numbered = lines.select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("number"))
+    # an aggregate of objects: keeps its strings in a hash table, where min_by alone would sort all lines by file
+    first = numbered.groupBy("file").agg(F.min_by("value", "number").alias("header"), F.collect_set(F.lit(0)).alias("kept"))
+    found: dict[str, list[str]] = {}
+    for row in first.select("header", "file").orderBy("header", "file").toLocalIterator():
+        found.setdefault(row["header"], []).append(unquote(row["file"]))
+    return found
 
 
 def read_merged(spark: SparkSession, deliveries: Sequence[str], schema: str, run_ts: dt.datetime) -> DataFrame:

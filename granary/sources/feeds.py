@@ -81,9 +81,8 @@ def crm_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     ordered, shipped = F.col("o_orderdate"), F.col("l_shipdate")
     amount, quantity = F.col("l_extendedprice"), F.col("l_quantity")
     columns = ["l_orderkey", "l_partkey", "l_extendedprice", "l_quantity", "l_shipdate"]
-    # both sides grow with the data, so they meet in a shuffle, which also deals out a single large file
     lines = table(spark, sf_dir, "lineitem").select(*columns).join(
-        table(spark, sf_dir, "orders").hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")
+        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey")
     )
     return lines.select(
         F.when(o % 997 != 0, F.concat(F.lit("SO"), o)).alias("sls_ord_num"),

@@ -64,13 +64,24 @@ def test_repeated_numbers_copies_across_chunks(spark):
 
 
 def test_lookup_with_hot_keys_equals_plain_join(spark):
-    left = spark.createDataFrame([(k, i) for i, k in enumerate([1, 1, 2, 3, None])], "k int, i int")
-    right = spark.createDataFrame([(1, n) for n in range(50)] + [(2, 0), (None, 9)], "rk int, n int")
-    plain = left.join(right, F.col("k") == F.col("rk"), "left")
-    for keys in (None, left.union(left)):
-        assert rows_of(left_lookup(left, right, "k", "rk", keys).select("k", "i", "n")) == rows_of(plain.select("k", "i", "n"))
-    assert left_lookup(left.where("false"), right, "k", "rk").count() == 0
-    assert rows_of(left_lookup(left, right.where("false"), "k", "rk").select("k", "i", "n")) == rows_of(left.select("k", "i", F.lit(None)))
+    left = spark.createDataFrame([(k, i) for i, k in enumerate([1, 1, 2, 3, None])], "k int, part int")
+    right = spark.createDataFrame([(1, n) for n in range(200)] + [(1, 7)] * 30 + [(2, 0), (2, None), (2, None), (None, 9)], "key int, n int")
+    plain = left.join(right, F.col("k") == F.col("key"), "left")
+    assert rows_of(left_lookup(left, right, "k", "key")) == rows_of(plain)
+    assert left_lookup(left.where("false"), right, "k", "key").count() == 0
+    assert rows_of(left_lookup(left, right.where("false"), "k", "key")) == rows_of(left.select("*", F.lit(None), F.lit(None)))
+
+
+def test_lookup_splits_hot_keys_of_both_sides_and_reads_the_left_one_once(spark, tmp_path, capsys):
+    left = spark.range(30_000).select((F.col("id") % 3 * F.col("id")).alias("k"), F.col("id").alias("i"))
+    left.write.parquet(str(tmp_path / "left"))
+    right = spark.range(40_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("key"), F.col("id").alias("n"))
+    found = left_lookup(spark.read.parquet(str(tmp_path / "left")), right, "k", "key")
+    found.explain()
+    assert capsys.readouterr().out.count("/left]") == 1
+    assert found.count() == left.join(right, F.col("k") == F.col("key"), "left").count()
+    parts = left_lookup(spark.createDataFrame([(-1,)], "k long"), right, "k", "key").groupBy(F.pmod(F.xxhash64("n"), F.lit(64))).count()
+    assert parts.agg(F.max("count") < 500).first()[0]  # a third of the rows has one key
 
 
 def test_rules_count_before_dropping_and_null_is_a_violation(spark):
