@@ -234,6 +234,12 @@ FEATURE_GROUPS = {
 CLUSTER_KEYS = ["customer_id", "order_year", "order_month"]
 
 
+def cluster_keys(sales: DataFrame) -> DataFrame:
+    """The keys by which features of these sales are clustered, without any dimension."""
+    day = F.col("order_date")
+    return usable_sales(sales).select("customer_id", F.year(day).alias("order_year"), F.month(day).alias("order_month"))
+
+
 def usable_sales(sales: DataFrame) -> DataFrame:
     """Sales with a known order date and positive price, amount and quantity."""
     positive = (F.col("price") > 0) & (F.col("sales_amount") > 0) & (F.col("quantity") > 0)

@@ -201,7 +201,7 @@ def publish_roundtrip(t: Tables) -> DataFrame:
 
 
 def clustered_roundtrip(t: Tables) -> DataFrame:
-    return unstamped(published(t.features, "features", cluster_by=marts.CLUSTER_KEYS))
+    return unstamped(published(t.features, "features", cluster_by=marts.CLUSTER_KEYS, keys_from=marts.cluster_keys(t.sales)))
 
 
 PLANS: dict[str, Callable[[Tables], DataFrame]] = {

@@ -8,21 +8,22 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from granary.operators.rules import Rule, enforce
+from granary.sinks.layout import clustered
 
 ROWS = "published_rows"
 
 
 def publish(df: DataFrame, name: str, rules: Sequence[Rule] = (), comment: str = "",
             properties: Mapping[str, str] | None = None, cluster_by: Sequence[str] = (),
-            path: str | None = None) -> dict[str, int]:
+            path: str | None = None, keys_from: DataFrame | None = None) -> dict[str, int]:
     """Recompute a table in full and return its row count and the violations of each rule.
 
     Counts are observed while the rows are written, so the plan runs once. They are taken after the last shuffle: what is
-    counted before one counts again when range bounds are sampled or lost shuffle files are made anew. With a path the
-    table is external.
+    counted before one counts again when bounds are sought or lost shuffle files are made anew. With a path the table is
+    external. keys_from: rows that hold the keys of the clustering (or about those), if they are cheaper to read than df.
     """
     before, after = Observation(), Observation()
-    arranged = clustered(df, cluster_by)
+    arranged = clustered(df, cluster_by, keys_from)
     checked = arranged.observe(before, *[rule.violations for rule in rules]) if rules else arranged
     kept = enforce(checked, rules).observe(after, F.count(F.lit(1)).alias(ROWS))
     writer = kept.write.mode("overwrite").format("parquet")
@@ -43,15 +44,3 @@ def describe(spark, name: str, comment: str, properties: Mapping[str, str]) -> N
 
 def quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def clustered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Lay rows out by key ranges so that file statistics let readers skip files.
-
-    The last range column is the task a row comes from: it splits the rows of a hot key over several files, and is the
-    same again when a lost task is repeated.
-    """
-    if not keys:
-        return df
-    tagged = df.withColumn("_task", F.spark_partition_id())
-    return tagged.repartitionByRange(*keys, "_task").sortWithinPartitions(*keys).drop("_task")

@@ -92,4 +92,4 @@ class Lakehouse:
         fact = mart("fact_sales", marts.fact_sales(*star))
         mart("fact_sales_effective", marts.fact_sales_effective(*star))
         mart("fact_sales_ml", marts.fact_sales_ml(fact, self.run_ts),
-             cluster_by=marts.CLUSTER_KEYS, properties=FEATURE_PROPERTIES)
+             cluster_by=marts.CLUSTER_KEYS, keys_from=marts.cluster_keys(silver["crm_sales"]), properties=FEATURE_PROPERTIES)

@@ -9,7 +9,8 @@ from granary.operators import rules
 from granary.plans import refined
 from granary.queries import Tables, write_csv
 from granary.session import CHECKPOINT_DIR, scratch_dir
-from granary.sinks.publish import clustered, publish
+from granary.sinks.layout import clustered
+from granary.sinks.publish import publish
 from granary.sinks.refresh import Lakehouse
 from granary.sources.csv import read_feed, read_merged, with_lineage
 from granary.sources.schemas import FEEDS
@@ -66,6 +67,39 @@ def test_clustered_files_have_narrow_ranges_and_split_hot_keys(spark, tmp_path):
     assert max(f["n"] for f in files) < 2667  # the hot key's rows are in several files
 
 
+def files_touched(spark, path):
+    """How many files a filter on one value of a, and of b, reads by the bounds of their columns, on average over values."""
+    bounds = spark.read.parquet(path).groupBy(F.col("_metadata.file_name")).agg(F.min("a"), F.max("a"), F.min("b"), F.max("b")).collect()
+    values = range(25, 1000, 50)
+    return [sum(row[k] <= v <= row[k + 1] for row in bounds for v in values) / len(values) for k in (1, 3)]
+
+
+def test_curve_prunes_files_by_either_key(spark, tmp_path):
+    rows = spark.range(0, 20_000, 1, 6).select((F.col("id") * 7919 % 1000).alias("a"), (F.col("id") * 104729 % 997).alias("b"), "id")
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    clustered(rows, ["a", "b"], rows.select("a", "b")).write.parquet(str(tmp_path / "curve"))
+    rows.repartitionByRange("a", "b").write.parquet(str(tmp_path / "range"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "curve")).collect()) == list(range(20_000))
+    curve, by_range = (files_touched(spark, str(tmp_path / kind)) for kind in ("curve", "range"))
+    assert by_range[1] > 15 and max(curve) < 8 and sum(curve) < sum(by_range)
+
+
+def test_clustering_reads_the_rows_once_and_plans_without_them(spark, tmp_path, capsys):
+    spark.range(100).select("id", F.col("id").cast("string").alias("name")).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows")).withColumn("checked", F.assert_true(F.col("id") < 0))  # fails when it is run
+    laid = clustered(rows, ["id", "name"], spark.range(100).select("id", F.col("id").cast("string").alias("name")))
+    laid.explain()
+    assert capsys.readouterr().out.count("/rows]") == 1
+    empty = clustered(spark.createDataFrame([], "cell int, day date, flag boolean"), ["cell", "day", "flag"])
+    assert empty.columns == ["cell", "day", "flag"] and empty.count() == 0
+    odd = spark.createDataFrame([(None, None, None), (1, dt.date(2020, 1, 1), True), (1, dt.date(2020, 1, 1), True)], "cell int, day date, flag boolean")
+    assert sorted(clustered(odd, ["cell", "day", "flag"]).collect(), key=str) == sorted(odd.collect(), key=str)
+
+
 def test_scratch_is_new_and_in_the_shared_folder(spark):
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first != second
