@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def union(parts: list[DataFrame]) -> DataFrame:
@@ -25,31 +26,29 @@ def table_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     return union([profile(name, df) for name, df in tables.items()])
 
 
+def as_text(field: T.StructField) -> Column:
+    """A text for each different value; zeros of either sign are one value."""
+    value = F.col(f"`{field.name}`")
+    return (value + F.lit(0) if isinstance(field.dataType, (T.FloatType, T.DoubleType)) else value).cast("string")
+
+
 def profile(table_name: str, df: DataFrame) -> DataFrame:
-    figures = [
-        figure
-        for i, column in enumerate(df.columns)
-        for figure in (
-            F.count_if(F.col(column).isNull()).alias(f"nulls_{i}"),
-            F.count_distinct(column).alias(f"distinct_{i}"),
-            F.min(column).cast("string").alias(f"min_{i}"),
-            F.max(column).cast("string").alias(f"max_{i}"),
-        )
-    ]
-    lines = [
-        F.struct(
-            F.lit(table_name).alias("table_name"),
-            F.lit(field.name).alias("column_name"),
-            F.lit(field.dataType.simpleString()).alias("data_type"),
-            F.col("records"),
-            F.col(f"nulls_{i}").alias("nulls"),
-            F.col(f"distinct_{i}").alias("distinct_values"),
-            F.col(f"min_{i}").alias("min_value"),
-            F.col(f"max_{i}").alias("max_value"),
-        )
-        for i, field in enumerate(df.schema.fields)
-    ]
-    return df.agg(F.count(F.lit(1)).alias("records"), *figures).select(F.inline(F.array(*lines)))
+    """One scan: rows become (column, value) pairs, which are counted before they are sent on; all figures follow from the counts."""
+    fields = df.schema.fields
+    pairs = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("place"), as_text(f).alias("value")) for i, f in enumerate(fields)])))
+    counts = pairs.groupBy("place", "value").agg(F.count(F.lit(1)).alias("n"))
+
+    def extreme(of, name: str) -> Column:
+        typed = [of(F.when(F.col("place") == i, F.col("value").cast(f.dataType))).cast("string") for i, f in enumerate(fields)]
+        return F.coalesce(*typed).alias(name)
+
+    figures = counts.groupBy("place").agg(
+        F.sum("n").alias("records"), F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("nulls"),
+        F.count("value").alias("distinct_values"), extreme(F.min, "min_value"), extreme(F.max, "max_value"))
+    rows = [(i, table_name, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)]
+    columns = df.sparkSession.createDataFrame(rows, "place int, table_name string, column_name string, data_type string")
+    numbers = [F.coalesce(c, F.lit(0)).alias(c) for c in ("records", "nulls", "distinct_values")]
+    return columns.join(figures, "place", "left").select("table_name", "column_name", "data_type", *numbers, "min_value", "max_value")
 
 
 def relationship_check(links: Mapping[str, tuple[DataFrame, str, DataFrame, str]]) -> DataFrame:

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from granary.operators import rules
 from granary.operators.versions import version_intervals
 from granary.plans import classic, forecasts, marts, metrics, predictions, profile, questions, refined
-from granary.session import scratch_dir, tuned
+from granary.session import scratch_dir, stored, tuned
 from granary.sinks.publish import publish
 from granary.sources.csv import read_feed, read_merged, with_lineage
-from granary.sources.feeds import feed
+from granary.sources.feeds import dealt_sales, feed
 from granary.sources.schemas import FEEDS
 
 RUN_TS = dt.datetime(2025, 1, 1)
@@ -42,6 +42,15 @@ class Tables:
     def sales(self) -> DataFrame:
         return self.silver("crm_sales")
 
+    @cached_property
+    def dated_sales(self) -> DataFrame:
+        """The cleaned sales as a written table, as marts and questions find them in the lakehouse.
+
+        Plans that filter or group by the cleaned dates, or read sales twice, start here: on the lazy plan Spark would repeat
+        the date rules in every filter. Lines are dealt out before, as a single large file would be cleaned in one task.
+        """
+        return stored(refined.refined("crm_sales", dealt_sales(self.spark, self.sf_dir), RUN_TS), "sales")
+
     @cached_property
     def dim_customer(self) -> DataFrame:
         people, locations = self.silver("erp_customer"), self.silver("erp_location")
@@ -65,7 +74,12 @@ class Tables:
 
     @cached_property
     def features(self) -> DataFrame:
-        return marts.fact_sales_ml(self.effective_fact, RUN_TS)
+        fact = marts.fact_sales_effective(self.dated_sales, self.dim_customer, self.dim_product, self.calendar, RUN_TS)
+        return marts.fact_sales_ml(fact, RUN_TS)
+
+    @cached_property
+    def dated_fact(self) -> DataFrame:
+        return marts.fact_sales(self.dated_sales, self.dim_customer, self.dim_product, self.calendar, RUN_TS)
 
     @cached_property
     def measures(self) -> DataFrame:
@@ -201,7 +215,7 @@ def publish_roundtrip(t: Tables) -> DataFrame:
 
 
 def clustered_roundtrip(t: Tables) -> DataFrame:
-    return unstamped(published(t.features, "features", cluster_by=marts.CLUSTER_KEYS, keys_from=marts.cluster_keys(t.sales)))
+    return unstamped(published(t.features, "features", cluster_by=marts.CLUSTER_KEYS, keys_from=marts.cluster_keys(t.dated_sales)))
 
 
 PLANS: dict[str, Callable[[Tables], DataFrame]] = {
@@ -219,7 +233,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "dim_calendar": lambda t: unstamped(calendar_of_sales(t)),
     "fact_sales": lambda t: unstamped(t.fact),
     "fact_sales_effective": lambda t: unstamped(t.effective_fact),
-    "fact_sales_ml": lambda t: unstamped(marts.fact_sales_ml(t.fact, RUN_TS)),
+    "fact_sales_ml": lambda t: unstamped(marts.fact_sales_ml(t.dated_fact, RUN_TS)),
     "kpi_total_sales": lambda t: metrics.total_sales(t.measures),
     "kpi_total_items": lambda t: metrics.total_items(t.measures),
     "kpi_avg_price": lambda t: metrics.avg_price(t.measures),
@@ -238,27 +252,27 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "relationship_check": relationships,
     "publish_roundtrip": publish_roundtrip,
     "clustered_roundtrip": clustered_roundtrip,
-    "top_products": lambda t: questions.top_products(t.sales, t.dim_product),
+    "top_products": lambda t: questions.top_products(t.dated_sales, t.dim_product),
     "top_customers": lambda t: questions.top_customers(t.sales, t.dim_customer),
-    "monthly_growth": lambda t: questions.monthly_growth(t.sales),
+    "monthly_growth": lambda t: questions.monthly_growth(t.dated_sales),
     "weak_regions": lambda t: questions.weak_regions(t.sales, t.dim_customer),
     "spend_drivers": lambda t: questions.spend_drivers(t.sales, t.dim_customer),
     "spend_correlation": lambda t: questions.spend_correlation(t.sales, t.dim_customer),
-    "category_margin": lambda t: questions.category_margin(t.sales, t.dim_product),
-    "ship_delay": lambda t: questions.ship_delay(t.sales, t.dim_product),
-    "sales_trend": lambda t: questions.sales_trend(t.sales),
-    "sales_forecast": lambda t: predictions.sales_forecast(t.sales),
-    "demand_forecast": lambda t: predictions.demand_forecast(t.sales, t.dim_product),
-    "customer_segments": lambda t: predictions.customer_segments(t.sales, RUN_TS),
-    "segments_kmeans": lambda t: forecasts.segments(t.sales, RUN_TS),
+    "category_margin": lambda t: questions.category_margin(t.dated_sales, t.dim_product),
+    "ship_delay": lambda t: questions.ship_delay(t.dated_sales, t.dim_product),
+    "sales_trend": lambda t: questions.sales_trend(t.dated_sales),
+    "sales_forecast": lambda t: predictions.sales_forecast(t.dated_sales),
+    "demand_forecast": lambda t: predictions.demand_forecast(t.dated_sales, t.dim_product),
+    "customer_segments": lambda t: predictions.customer_segments(t.dated_sales, RUN_TS),
+    "segments_kmeans": lambda t: forecasts.segments(t.dated_sales, RUN_TS),
     "sales_regression": lambda t: forecasts.sales_regression(t.features),
     "sales_prediction": lambda t: forecasts.sales_prediction(t.features),
     "regression_quality": lambda t: forecasts.regression_quality(t.features),
-    "seasonal_forecast": lambda t: forecasts.seasonal_forecast(t.sales, t.dim_product),
-    "sales_forecast_quality": lambda t: forecasts.forecast_quality(t.sales),
-    "demand_forecast_quality": lambda t: forecasts.demand_forecast_quality(t.sales, t.dim_product),
+    "seasonal_forecast": lambda t: forecasts.seasonal_forecast(t.dated_sales, t.dim_product),
+    "sales_forecast_quality": lambda t: forecasts.forecast_quality(t.dated_sales),
+    "demand_forecast_quality": lambda t: forecasts.demand_forecast_quality(t.dated_sales, t.dim_product),
     "spend_tree": lambda t: forecasts.spend_tree(t.sales, t.dim_customer),
-    "delivery_shifts": lambda t: forecasts.delivery_shifts(t.sales, t.dim_product),
+    "delivery_shifts": lambda t: forecasts.delivery_shifts(t.dated_sales, t.dim_product),
     "suggestions": lambda t: forecasts.suggestions(t.sales, t.dim_customer),
     "factor_losses": lambda t: forecasts.factor_losses(t.sales),
     "recommendations": lambda t: predictions.recommendations(t.sales, t.dim_customer),

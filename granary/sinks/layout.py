@@ -67,13 +67,17 @@ def quantiles(narrow: DataFrame, keys: Sequence[str]) -> list[list[float]]:
     return [sorted({*(values or []), *after}) for values, after in zip(found, heavy)]
 
 
-def cell_of(df: DataFrame, keys: Sequence[str], bounds: list[list[float]]) -> Column:
-    return interleaved([rank(o, b) for o, b in zip(ordinals(df, keys), bounds)])
+def with_cell(df: DataFrame, keys: Sequence[str], bounds: list[list[float]], name: str) -> DataFrame:
+    """df with the cell of each row. Ranks are columns of a step of their own, so that each is found once."""
+    ranks = [f"{name}_{key}" for key in keys]
+    ranked = df.select("*", *[rank(o, b).alias(r) for o, b, r in zip(ordinals(df, keys), bounds, ranks)])
+    return ranked.select(*[F.col(f"`{c}`") for c in df.columns], interleaved([F.col(f"`{r}`") for r in ranks]).alias(name))
 
 
 def dealt_cells(narrow: DataFrame, keys: Sequence[str], bounds: list[list[float]], files: int) -> DataFrame:
     """cell, its first file, and the number of files that share it. The window holds one row for each cell."""
-    counts = narrow.groupBy(cell_of(narrow, keys, bounds).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    cells = with_cell(narrow, keys, bounds, unused("cell", narrow.columns))
+    counts = cells.groupBy(F.col(cells.columns[-1]).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
     up_to = F.sum("n").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0))
     total = F.sum("n").over(Window.partitionBy())
     file = lambda row: F.floor(row * files / total).cast("int")
@@ -93,7 +97,7 @@ def clustered(df: DataFrame, keys: Sequence[str], narrow: DataFrame | None = Non
     cells = dealt_cells(narrow, keys, bounds, files)
     cell, first, share, file = (unused(name, df.columns) for name in ("cell", "first", "share", "file"))
     known = F.broadcast(cells.select(F.col("cell").alias(f"{cell}_"), F.col("first").alias(first), F.col("share").alias(share)))
-    met = df.withColumn(cell, cell_of(df, keys, bounds)).join(known, F.col(cell) == F.col(f"{cell}_"), "left")
+    met = with_cell(df, keys, bounds, cell).join(known, F.col(cell) == F.col(f"{cell}_"), "left")
     # the same again when a lost task is repeated
     spread = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in df.columns])
     placed = F.coalesce(F.col(first) + F.pmod(spread, F.col(share)), F.pmod(spread, F.lit(files))).cast("int")

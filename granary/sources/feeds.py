@@ -77,12 +77,22 @@ def crm_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def crm_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sales_of(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"))
+
+
+def dealt_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales feed with its lines dealt out to all tasks first."""
+    columns = ["l_orderkey", "l_partkey", "l_extendedprice", "l_quantity", "l_shipdate"]
+    return sales_of(table(spark, sf_dir, "lineitem").select(*columns).repartition("l_orderkey"), table(spark, sf_dir, "orders"))
+
+
+def sales_of(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     o, part = F.col("l_orderkey"), F.col("l_partkey")
     ordered, shipped = F.col("o_orderdate"), F.col("l_shipdate")
     amount, quantity = F.col("l_extendedprice"), F.col("l_quantity")
     columns = ["l_orderkey", "l_partkey", "l_extendedprice", "l_quantity", "l_shipdate"]
-    lines = table(spark, sf_dir, "lineitem").select(*columns).join(
-        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey")
+    lines = lineitem.select(*columns).join(
+        orders.select("o_orderkey", "o_custkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey")
     )
     return lines.select(
         F.when(o % 997 != 0, F.concat(F.lit("SO"), o)).alias("sls_ord_num"),
