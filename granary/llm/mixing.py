@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from granary.session import stored
+from granary.session import stored, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -134,21 +134,28 @@ def planned(df: DataFrame, text: str, source: str, key: str) -> DataFrame:
         "_row", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), F.when(F.col("size") > 0, filled).otherwise(F.array().cast("array<int>")).alias("shards"))
 
 
-def numbered(df: DataFrame) -> DataFrame:
-    """Rows with a stored number that tells equal ones apart."""
-    return stored(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+OWN_NAMES = ("_row", "_copy", "_shard")
+
+
+def numbered(df: DataFrame, outputs: set[str]) -> tuple[DataFrame, list[Column]]:
+    """Rows with a stored number that tells equal ones apart, and the columns to return; names used here are set aside."""
+    aside = {c: unused(f"own{c}", df.columns) for c in df.columns if c.lower() in OWN_NAMES}
+    rows = stored(df.withColumnsRenamed(aside).withColumn("_row", F.monotonically_increasing_id()), "rows")
+    return rows, [F.col(f"`{aside.get(c, c)}`").alias(c) for c in df.columns if c.lower() not in outputs]
 
 
 def allotted(df: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
     """df with size, source_size, target, taken and shards."""
-    rows, outputs = numbered(df), {"size", "source_size", "target", "taken", "shards"}
-    others = [c for c in df.columns if c.lower() not in outputs]
-    return rows.select("_row", *others).join(planned(rows, text, source, key), "_row").drop("_row")
+    outputs = ["size", "source_size", "target", "taken", "shards"]
+    rows, others = numbered(df, set(outputs))
+    plan = planned(rows, text, source, key)
+    found = rows.drop(*outputs).join(plan, "_row")
+    return found.select(*others, *outputs)
 
 
 def mixed(df: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
     """The mix itself: df's columns with shard and order, a row for each copy; sort by order within a shard to shuffle it."""
-    rows, others = numbered(df), [c for c in df.columns if c.lower() not in ("shard", "order")]
+    rows, others = numbered(df, {"shard", "order"})
     copies = planned(rows, text, source, key).select("_row", F.posexplode("shards").alias("_copy", "_shard"))
     order = random_key(F.col(key), F.col("_copy"), F.lit("order")).alias("order")
     return rows.join(copies, "_row").select(*others, F.col("_shard").alias("shard"), order)

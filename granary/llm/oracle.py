@@ -43,12 +43,13 @@ def quality_sql() -> str:
         (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
         length(regexp_replace(t, '\\P{{Lu}}', '', 'g'))::BIGINT AS n_capitals FROM w LEFT JOIN covered USING (rid)),
     counted AS (SELECT *, n_words < {quality.FEWEST_WORDS} OR 100 * n_repeat_words > {quality.MOST_REPEATED} * n_words AS base_failed FROM plain),
-    bins AS (SELECT lang, source, measure, CASE WHEN v > 0 THEN ceil(ln(v) / {quality.LOG_GAMMA!r})::INTEGER ELSE {quality.ZERO_BIN} END AS bin,
+    sketches AS (SELECT lang, source, measure, CASE WHEN v > 0 THEN ceil(ln(v) / {quality.LOG_GAMMA!r})::INTEGER ELSE {quality.ZERO_BIN} END AS bin,
         count(*) AS n FROM ({unpivoted}) GROUP BY ALL),
-    {fences('own', 'lang, source')}, {fences('whole', 'lang')},
-    fence AS (SELECT o.lang, o.source, o.measure, CASE WHEN o.total >= {quality.LEAST_ROWS} THEN o.low ELSE w.low END AS low,
-        CASE WHEN o.total >= {quality.LEAST_ROWS} THEN o.high ELSE w.high END AS high
-        FROM own o JOIN whole w ON o.measure = w.measure AND o.lang IS NOT DISTINCT FROM w.lang)
+    language AS (SELECT lang, measure, bin, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY lang, measure) AS total FROM sketches GROUP BY lang, measure, bin),
+    bins AS (SELECT g.lang, g.source, g.measure, w.bin, coalesce(o.n, 0)::HUGEINT * w.total + {quality.PRIOR} * w.n AS n
+        FROM (SELECT DISTINCT lang, source, measure FROM sketches) g JOIN language w ON g.lang IS NOT DISTINCT FROM w.lang AND g.measure = w.measure
+        LEFT JOIN sketches o ON g.lang IS NOT DISTINCT FROM o.lang AND g.source IS NOT DISTINCT FROM o.source AND g.measure = o.measure AND w.bin = o.bin),
+    {fences('fence', 'lang, source')}
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
         NOT base_failed AND {' AND '.join(checks)} AS kept
     FROM counted c"""

@@ -3,7 +3,8 @@
 Two fixed rules reject outright (too few words, too many repeated windows). All other measures are judged against
 fences drawn from quantiles of their own language and source. The quantiles are read off a log-binned sketch (relative
 error ALPHA): a count per bin, so sketches are added up in any order, partially before every shuffle, and the sketch of a
-language is the sum of those of its sources. Only DataFrame operations are used.
+language is the sum of those of its sources. To the sketch of every source that of its language is added with the weight of
+PRIOR rows: one rule at every size, which a large source hardly feels. Only DataFrame operations are used.
 
 Defined results: a null or empty text, or one of white space, has no words and fails; rows are judged one by one, so
 repeated rows are all kept or all rejected; null language or source is a group like any other; an empty table gives an
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from granary.session import stored
+from granary.session import stored, unused
 
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN, WORD_CHAR = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]"
@@ -29,7 +30,7 @@ WINDOW, FEWEST_WORDS, MOST_REPEATED = 8, 20, 30  # words in a window, words in a
 ALPHA = 0.01
 LOG_GAMMA = math.log((1 + ALPHA) / (1 - ALPHA))
 ZERO_BIN = -(1 << 30)
-LEAST_ROWS = 100  # a group with fewer rows is judged by its whole language
+PRIOR = 100  # rows that the language adds to each of its sources, so that fences of few rows are near those of the language
 
 
 @dataclass(frozen=True)
@@ -127,7 +128,7 @@ def merged(sketch: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key: n rows seen, and for each measure the lowest and highest value that passes."""
+    """One row per key: for each measure the lowest and highest value that passes."""
     group = Window.partitionBy(*keys, "measure")
     up_to = F.sum("n").over(group.orderBy("bin"))
     ranked = sketch.withColumns({"up_to": up_to, "total": F.sum("n").over(group)})
@@ -139,16 +140,27 @@ def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
         least = F.col("low") - reach if m.below else F.lit(-1.0)
         return F.max(F.when(F.col("measure") == name, F.struct(least.alias("least"), (F.col("high") + reach).alias("most")))).alias(name)
 
-    return quartiles.groupBy(*keys).agg(F.max("total").alias("n"), F.struct(*(fence(k, m) for k, m in MEASURES.items())).alias("fence"))
+    return quartiles.groupBy(*keys).agg(F.struct(*(fence(k, m) for k, m in MEASURES.items())).alias("fence"))
+
+
+def blended(by_source: DataFrame) -> DataFrame:
+    """The sketch of every language and source with that of the language added; counts are scaled to stay whole numbers."""
+    exact = lambda c: F.col(c).cast("decimal(38,0)")
+    of_language = Window.partitionBy("lang", "measure")
+    whole = merged(by_source, ["lang"]).withColumn("total", F.sum("n").over(of_language)).alias("whole")
+    groups = by_source.select("lang", "source", "measure").distinct().alias("group")
+    same_language = F.col("group.lang").eqNullSafe(F.col("whole.lang")) & (F.col("group.measure") == F.col("whole.measure"))
+    bins = groups.join(whole, same_language).select("group.*", "whole.bin", F.col("whole.n").alias("lang_n"), "whole.total").alias("bins")
+    same = (F.col("bins.lang").eqNullSafe(F.col("own.lang")) & F.col("bins.source").eqNullSafe(F.col("own.source"))
+            & (F.col("bins.measure") == F.col("own.measure")) & (F.col("bins.bin") == F.col("own.bin")))
+    n = F.coalesce(exact("own.n"), F.lit(0)) * F.col("bins.total") + PRIOR * exact("bins.lang_n")
+    return bins.join(by_source.alias("own"), same, "left").select("bins.lang", "bins.source", "bins.measure", "bins.bin", n.cast("decimal(38,0)").alias("n"))
 
 
 def group_fences(rates: DataFrame) -> DataFrame:
-    """Fences of every language and source; those of the language where a source has few rows."""
-    by_source = sketches(rates, ["lang", "source"])
-    own, whole = fences(by_source, ["lang", "source"]), fences(merged(by_source, ["lang"]), ["lang"])
-    pair = own.alias("own").join(whole.alias("whole"), F.col("own.lang").eqNullSafe(F.col("whole.lang")))
-    chosen = F.when(F.col("own.n") >= LEAST_ROWS, F.col("own.fence")).otherwise(F.col("whole.fence"))
-    return pair.select(F.col("own.lang").alias("fence_lang"), F.col("own.source").alias("fence_source"), chosen.alias("fence"))
+    """Fences of every language and source."""
+    own = fences(blended(stored(sketches(rates, ["lang", "source"]), "sketches")), ["lang", "source"])
+    return own.select(F.col("lang").alias("fence_lang"), F.col("source").alias("fence_source"), "fence")
 
 
 def judged(rows: DataFrame, counts: str = "quality") -> DataFrame:
@@ -178,5 +190,5 @@ def verdicts(df: DataFrame) -> DataFrame:
 
 def filtered(df: DataFrame) -> DataFrame:
     """The documents that pass, with their own columns."""
-    rows = stored(measured(df, out="_quality"), "quality")
-    return judged(rows, "_quality").where("_quality.kept").drop("_quality")
+    counts = unused("quality", df.columns)
+    return judged(stored(measured(df, out=counts), "quality"), counts).where(F.col(f"{counts}.kept")).drop(counts)

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
-EXTRA = ["ids", "size", "row", "quality", "spans", "class", "keys", "n_words", "lang_pred", "template", "length"]
+EXTRA = ["ids", "size", "row", "quality", "spans", "class", "keys", "n_words", "lang_pred", "template", "length", "_row", "_quality", "_copy"]
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in EXTRA)
 PLAIN = " ".join(f"word{i} of plain prose" for i in range(30))
 ROWS = [

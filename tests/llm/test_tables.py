@@ -267,3 +267,18 @@ def test_templates_generalise_merge_and_reject(spark):
     assert found["/shop/item-3x"].template == "/shop/*" and found["/shop/item-3x"].rejected
     assert found["/news/3.html"].template == found["/blog/7.html"].template == "/*/*.html" and not found["/news/3.html"].rejected
     assert found["/misc/5.html"].template == "/misc/*.html" and not found["/misc/5.html"].rejected
+
+
+def test_fences_move_smoothly_with_the_size_of_a_source(spark):
+    """No size at which a source is suddenly judged by other rows; a small source is near its language, a large one itself."""
+    rates = {m: 0.0 for m in quality.MEASURES}
+
+    def most(n_small):
+        rows = [("en", "large", i % 10 / 100) for i in range(2000)] + [("en", "small", 0.5 + i % 10 / 100) for i in range(n_small)]
+        df = spark.createDataFrame([(lang, source, *({**rates, "symbols": v}).values()) for lang, source, v in rows], ["lang", "source", *rates])
+        return {r.fence_source: r.fence.symbols.most for r in quality.group_fences(df).collect()}
+
+    found = {n: most(n) for n in (1, 99, 100, 101, 3000)}
+    assert abs(found[99]["small"] - found[100]["small"]) < 0.05 * found[100]["small"] and abs(found[100]["small"] - found[101]["small"]) < 0.05 * found[101]["small"]
+    assert found[1]["small"] < 0.3 < 0.6 < found[3000]["small"]
+    assert abs(found[1]["large"] - found[100]["large"]) < 0.02
