@@ -618,6 +618,23 @@ def statement(body: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(f"{name} AS ({PARTS[name].strip()})" for name in needed) + "\n" + body.strip()
 
 
+LOADED = "'2025-01-01 00:00:00'"
+STAMPED = {
+    **{f"silver.{feed}": ("ingest_timestamp", f"silver_{feed}") for feed in FEED_COLUMNS},
+    "gold.dim_customer": ("gold_processed_timestamp", "gold_customer"),
+    "gold.dim_product": ("gold_processed_timestamp", "gold_product"),
+    "gold.dim_calendar": ("silver_processed_timestamp", "(SELECT unnest(range(DATE '1995-01-01', DATE '2001-01-01', INTERVAL 1 DAY)))"),
+    "gold.fact_sales_effective": ("gold_processed_timestamp", "gold_fact_effective"),
+    "gold.fact_sales_ml": ("ml_processed_timestamp", "gold_features_effective"),
+}
+STATEMENTS |= {
+    "load_stamps": " UNION ALL ".join(
+        [f"SELECT '{name}' AS table_name, '{stamp}' AS stamp, {LOADED} AS loaded_at, count(*) AS records FROM {rows}" for name, (stamp, rows) in STAMPED.items()]
+        + [f"SELECT 'classic.{name[8:]}', '{stamp}', {LOADED}, count(*) FROM ({sql})"
+           for name, sql in STATEMENTS.items() if name.startswith("classic_") for stamp in ("silver_load_timestamp", "bronze_load_timestamp")]),
+    "file_lineage": " UNION ALL ".join(
+        f"SELECT '{feed}' AS table_name, '{feed}' AS folder, {LOADED} AS ingested_at, count(*) AS records FROM raw_{feed}" for feed in FEED_COLUMNS),
+}
 PARTS |= oracle_models.PARTS
 STATEMENTS |= oracle_models.STATEMENTS
 

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import cached_property, partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.operators import rules
@@ -218,6 +218,40 @@ def clustered_roundtrip(t: Tables) -> DataFrame:
     return unstamped(published(t.features, "features", cluster_by=marts.CLUSTER_KEYS, keys_from=marts.cluster_keys(t.dated_sales)))
 
 
+# --- load times, lineage and descriptions ----------------------------------------------------------------------------
+
+
+def as_of(column: str) -> Column:
+    return F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+
+
+def load_stamps(t: Tables) -> DataFrame:
+    """When the rows of every dataset were loaded, by the stamp that it carries."""
+    datasets = {f"silver.{name}": t.silver(name) for name in FEEDS}
+    datasets |= {"gold.dim_customer": t.dim_customer, "gold.dim_product": t.dim_product, "gold.dim_calendar": t.calendar,
+                 "gold.fact_sales_effective": t.effective_fact, "gold.fact_sales_ml": t.features}
+    datasets |= {f"classic.{name}": plan(t.with_lineage(source), RUN_TS) for name, (source, plan) in classic.TABLES.items()}
+
+    def stamps(name: str, df: DataFrame) -> DataFrame:
+        own = [c for c in [*STAMPS, "bronze_load_timestamp"] if c in df.columns]
+        counts = df.groupBy(*own).agg(F.count(F.lit(1)).alias("records"))
+        each = F.array(*[F.struct(F.lit(c).alias("stamp"), as_of(c).alias("loaded_at")) for c in own])
+        return counts.select(F.lit(name).alias("table_name"), F.inline(each), "records")
+
+    return profile.union([stamps(*dataset) for dataset in datasets.items()])
+
+
+def file_lineage(t: Tables) -> DataFrame:
+    """The folder that the rows of each ingested feed came from, and when."""
+    def lineage(name: str) -> DataFrame:
+        rows = with_lineage(read_feed(t.spark, t.as_csv(name), FEEDS[name]), RUN_TS)
+        folder = F.regexp_extract("file_name", r"([^/]+)/[^/]+\.csv$", 1)
+        return rows.groupBy(folder.alias("folder"), as_of("ingest_datetime").alias("ingested_at")).agg(
+            F.count(F.lit(1)).alias("records")).select(F.lit(name).alias("table_name"), "folder", "ingested_at", "records")
+
+    return profile.union([lineage(name) for name in FEEDS])
+
+
 PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     **{f"ingest_csv_{name}": partial(ingest_csv, name) for name in FEEDS},
     "ingest_corrupt_rows": ingest_corrupt_rows,
@@ -252,6 +286,8 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "relationship_check": relationships,
     "publish_roundtrip": publish_roundtrip,
     "clustered_roundtrip": clustered_roundtrip,
+    "load_stamps": load_stamps,
+    "file_lineage": file_lineage,
     "top_products": lambda t: questions.top_products(t.dated_sales, t.dim_product),
     "top_customers": lambda t: questions.top_customers(t.sales, t.dim_customer),
     "monthly_growth": lambda t: questions.monthly_growth(t.dated_sales),
