@@ -128,7 +128,7 @@ def merged(sketch: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key: for each measure the lowest and highest value that passes."""
+    """One row per key: n counted, and for each measure the lowest and highest value that passes."""
     group = Window.partitionBy(*keys, "measure")
     up_to = F.sum("n").over(group.orderBy("bin"))
     ranked = sketch.withColumns({"up_to": up_to, "total": F.sum("n").over(group)})
@@ -140,7 +140,7 @@ def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
         least = F.col("low") - reach if m.below else F.lit(-1.0)
         return F.max(F.when(F.col("measure") == name, F.struct(least.alias("least"), (F.col("high") + reach).alias("most")))).alias(name)
 
-    return quartiles.groupBy(*keys).agg(F.struct(*(fence(k, m) for k, m in MEASURES.items())).alias("fence"))
+    return quartiles.groupBy(*keys).agg(F.max("total").alias("n"), F.struct(*(fence(k, m) for k, m in MEASURES.items())).alias("fence"))
 
 
 def blended(by_source: DataFrame) -> DataFrame:
