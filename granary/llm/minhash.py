@@ -11,6 +11,10 @@ a sample with probability equal to their weighted Jaccard similarity. Classes th
 are linked to the centres of their bucket: the class with most neighbours, and the smallest. Every such edge is verified
 by the exact similarity of the whole texts; edges are spread by centre in portions, so a bucket may have any size.
 
+Members that are no centres and are still in several components are then compared with each other, exactly: similar texts
+share a shingle among the rarest of both, so each member gives its rarest shingles, as many as that takes, and pairs meet in
+one. Members of the largest component of a bucket meet those of the others only. So no pair of a bucket is left out.
+
 Defined results: null texts, empty ones and those without words are never linked; repeated rows belong to one class; a
 similarity equal to LEAST links; ties between samples go to the smaller hash; an empty table gives an empty result; null
 doc_ids are grouped but never name a component, unless there is no other id in it.
@@ -36,6 +40,8 @@ MOST_COMMON = 1 << 14
 COUNTERS = 4 * MOST_COMMON  # kept by a task that looks for common shingles
 PORTION = 4 << 20  # characters of text compared with one copy of a centre
 QUANTILES = 1 << 16
+SLOTS = 1 << 16  # of the counts by which shingles are ordered
+SLACK = 1 - 1e-9  # for rounding in sums of weights
 
 
 def bags(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -199,8 +205,8 @@ def signed(docs: DataFrame, own: Weights) -> DataFrame:
 # --- candidates and links --------------------------------------------------------------------------------------------
 
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """Distinct edges leaf, centre between classes (columns class, keys) that share a bucket."""
+def buckets(classes: DataFrame) -> DataFrame:
+    """class, band, key, and the two centres of the bucket, for classes (columns class, keys) that share a bucket."""
     coarse = F.transform("keys", lambda key, i: F.struct(i.alias("band"), key.alias("key")))
     fine = F.transform(F.slice("keys", 1, BANDS - 1), lambda key, i: F.struct(
         (i + BANDS).alias("band"), F.xxhash64(key, F.get("keys", i + 1)).alias("key")))
@@ -210,11 +216,96 @@ def candidates(classes: DataFrame) -> DataFrame:
     degrees = members.groupBy("class").agg(F.sum("members").alias("degree"))
     best = members.join(degrees, "class").groupBy("band", "key").agg(
         F.max(F.struct("degree", "class"))["class"].alias("widest"), F.min("class").alias("smallest"))
-    centred = members.select("class", "band", "key").join(best, ["band", "key"])
+    return members.select("class", "band", "key").join(best, ["band", "key"])
+
+
+def candidates(centred: DataFrame) -> DataFrame:
+    """Distinct edges leaf, centre from the members of buckets to their centres."""
     edges = centred.select("class", F.explode(F.array("widest", "smallest")).alias("centre")).where("class <> centre")
     return edges.select(F.col("class").alias("leaf"), "centre").distinct()
 
 
+def unsettled(centred: DataFrame, parts: DataFrame) -> DataFrame:
+    """class, component, active: members of buckets that hold several components besides the centres.
+
+    Two of them that share a bucket but no component are not both inactive. Finer buckets are parts of the coarse ones.
+    """
+    others = centred.where((F.col("band") < BANDS) & ~F.col("class").isin(F.col("widest"), F.col("smallest")))
+    known = others.join(parts, others["class"] == parts["node"], "left").select(
+        "class", "band", "key", F.coalesce("component", "class").alias("component"))
+    sizes = known.groupBy("band", "key", "component").agg(F.count("*").alias("n"))
+    mixed_ones = sizes.groupBy("band", "key").agg(F.max(F.struct("n", "component"))["component"].alias("largest"), F.count("*").alias("held")).where("held > 1")
+    met = known.join(mixed_ones, ["band", "key"])
+    return met.groupBy("class", "component").agg(F.max(F.col("component") != F.col("largest")).alias("active"))
+
+
+def rarest(members: DataFrame, own: Weights, least: float) -> DataFrame:
+    """class, component, active, shingle, weight (of the whole text), short: the rarest shingles of each member.
+
+    Shingles are ordered by counts that are the same for all members. Whoever is similar to a text has at least the share
+    least of its weight in common with it, and one that weighs no less even 2 * least / (1 + least): what is beyond
+    cannot hold all of that, so a shingle of the first part is common to both; it is among the short ones of the lighter text.
+    """
+    def of_class(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        at = 0
+        for texts in spans(batch["text"]):
+            w = words(texts)
+            h, row, count = bags(w)
+            first, names = np.searchsorted(row, np.arange(len(texts) + 1)), fingerprints(w)
+            for i in range(len(texts)):
+                if names[i] == batch["class"][at + i].as_py():  # else another text under the same doc_id
+                    yield at + i, h[first[i] : first[i + 1]], count[first[i] : first[i + 1]]
+            at += len(texts)
+
+    def slot(h: np.ndarray) -> np.ndarray:
+        return (h & np.uint64(SLOTS - 1)).astype(np.int64)
+
+    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for _, h, _ in of_class(batch):
+                np.add.at(n, slot(h), 1)
+        seen = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(n[seen])], ["slot", "n"])
+
+    counted = members.mapInArrow(occurrences, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    times = np.zeros(SLOTS, np.int64)
+    times[counted["slot"].to_numpy()] = counted["n"].to_numpy()
+
+    def first_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, given = [], [np.zeros(0, np.int64)] * 4
+            for i, h, count in of_class(batch):
+                order = np.lexsort((h, times[slot(h)]))
+                weight = (count * own.of(h))[order]
+                beyond = np.cumsum(weight[::-1])[::-1]  # the weight of a shingle and those after it
+                total, keep = beyond[0], beyond >= SLACK * least * beyond[0]
+                short = beyond[keep] >= SLACK * 2 * least / (1 + least) * total
+                found.append((np.full(len(short), i), h[order][keep].view(np.int64), np.full(len(short), total), short))
+            if found:
+                given = [np.concatenate(part) for part in zip(*found)]
+            rows = batch.select(["class", "component", "active"]).take(pa.array(given[0], pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns, pa.array(given[1], pa.int64()), pa.array(given[2], pa.float64()), pa.array(given[3], pa.bool_())],
+                ["class", "component", "active", "shingle", "weight", "short"])
+
+    return members.mapInArrow(first_ones, "class long, component long, active boolean, shingle long, weight double, short boolean")
+
+
+def remaining(centred: DataFrame, parts: DataFrame, docs: DataFrame, classes: DataFrame, own: Weights, least: float) -> DataFrame:
+    """Distinct edges leaf, centre between members of buckets that are in different components and may be similar."""
+    named = unsettled(centred, parts).join(classes.select("class", F.col("doc_id").alias("named")), "class")
+    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
+    members = named.join(texts, F.col("named").eqNullSafe(F.col("doc_id"))).select("class", "component", "active", "text")
+    given = rarest(stored(members, "unsettled"), own, least).distinct()  # rows may repeat
+    other = given.select("shingle", *[F.col(c).alias(f"other_{c}") for c in ("class", "component", "weight", "short")])
+    lighter = F.struct("weight", "class") < F.struct("other_weight", "other_class")
+    near = F.least("weight", "other_weight") >= SLACK * least * F.greatest("weight", "other_weight")
+    met = given.where("active").join(other, "shingle").where(
+        (F.col("component") != F.col("other_component")) & near & F.when(lighter, F.col("short")).otherwise(F.col("other_short")))
+    return met.select(F.greatest("class", "other_class").alias("leaf"), F.least("class", "other_class").alias("centre")).distinct()
+
+
 def similarity(h: np.ndarray, x: np.ndarray, g: np.ndarray, y: np.ndarray) -> float:
     """Weighted Jaccard similarity of two bags: hashes in order and their weights."""
     if not len(h) or not len(g):
@@ -268,9 +359,14 @@ def grouped(docs: DataFrame, least: float = LEAST) -> DataFrame:
     rows = stored(signed(docs, own), "signatures")
     classes = stored(rows.where("class is not null").groupBy("class").agg(
         F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"), F.max("length").alias("length")), "classes")
-    edges = stored(candidates(classes), "candidates")
+    centred = stored(buckets(classes), "buckets")
+    edges = stored(candidates(centred), "candidates")
     links = stored(verified(edges, docs, classes, own, least), "links")
-    parts = components(links)
+    parts = stored(components(links), "parts")
+    rest = stored(remaining(centred, parts, docs, classes, own, least), "candidates")
+    more = stored(verified(rest, docs, classes, own, least), "links")
+    if not more.isEmpty():
+        parts = components(links.union(more))
     known = classes.select("class", "doc_id").join(parts, classes["class"] == parts["node"], "left").select("class", "doc_id", F.coalesce("component", "class").alias("component"))
     ids = known.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = known.join(ids, "component").select("class", "component", "component_id")

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from granary.llm import minhash, mixing, quality, queries, urls, vectors
 from granary.llm.components import components
@@ -136,6 +137,35 @@ def test_large_group_of_near_copies(spark):
     assert {c for i, c in found.items() if i < 500} == {0} and found[500] == 500
 
 
+def test_twins_are_linked_though_no_centre_is_like_them(spark):
+    rng = np.random.default_rng(5)
+    passage, rows = [f"p{k}" for k in range(200)], []
+    for twin in range(400):
+        own = [f"t{twin}x{k}" for k in range(100)]
+        rows.append((2 * twin, " ".join(passage + own)))
+        at = int(rng.integers(5, 70))
+        rows.append((2 * twin + 1, " ".join(passage + own[:at] + [f"o{twin}y{k}" for k in range(19)] + own[at + 19 :])))
+    found = {r.doc_id: r.component_id for r in minhash.duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert sum(found[2 * t + 1] != 2 * t for t in range(400)) == 0
+    assert all(found[2 * t] == 2 * t for t in range(400))
+
+
+def test_pairs_of_members_beside_the_centres_are_compared(spark):
+    a, b = (" ".join(f"{name}{i}" for i in range(100)) for name in "ab")
+    rows = [(1, a), (2, a + " more"), (3, b), (4, b + " more"), (5, "quite another text of its own words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    own = minhash.Weights(np.zeros(0, np.uint64), np.zeros(0), 0, 0)
+    classes = minhash.signed(docs, own)
+    name = {r.doc_id: r["class"] for r in classes.collect()}
+    centred = classes.select("class", F.lit(0).alias("band"), F.lit(0).alias("key"), F.lit(name[5]).alias("widest"), F.lit(name[5]).alias("smallest"))
+    alone = spark.createDataFrame([], "node long, component long")
+    found = {frozenset(r) for r in minhash.remaining(centred, alone, docs, classes, own, minhash.LEAST).collect()}
+    assert found == {frozenset((name[1], name[2])), frozenset((name[3], name[4]))}
+    linked = spark.createDataFrame([(name[i], name[3]) for i in (3, 4)], "node long, component long")
+    found = {frozenset(r) for r in minhash.remaining(centred, linked, docs, classes, own, minhash.LEAST).collect()}
+    assert found == {frozenset((name[1], name[2]))}
+
+
 def test_common_shingles_weigh_less(spark):
     texts = [(f"this very line is everywhere unique{i} a{i} b{i} c{i} d{i}",) for i in range(300)]
     own = minhash.weights(spark.createDataFrame(texts, "text string").repartition(3))
