@@ -292,12 +292,9 @@ def rarest(members: DataFrame, own: Weights, least: float) -> DataFrame:
     return members.mapInArrow(first_ones, "class long, component long, active boolean, shingle long, weight double, short boolean")
 
 
-def remaining(centred: DataFrame, parts: DataFrame, docs: DataFrame, classes: DataFrame, own: Weights, least: float) -> DataFrame:
-    """Distinct edges leaf, centre between members of buckets that are in different components and may be similar."""
-    named = unsettled(centred, parts).join(classes.select("class", F.col("doc_id").alias("named")), "class")
-    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
-    members = named.join(texts, F.col("named").eqNullSafe(F.col("doc_id"))).select("class", "component", "active", "text")
-    given = rarest(stored(members, "unsettled"), own, least).distinct()  # rows may repeat
+def remaining(members: DataFrame, own: Weights, least: float) -> DataFrame:
+    """Distinct edges leaf, centre between unsettled members (with text) of different components that may be similar."""
+    given = rarest(members, own, least).distinct()  # rows may repeat
     other = given.select("shingle", *[F.col(c).alias(f"other_{c}") for c in ("class", "component", "weight", "short")])
     lighter = F.struct("weight", "class") < F.struct("other_weight", "other_class")
     near = F.least("weight", "other_weight") >= SLACK * least * F.greatest("weight", "other_weight")
@@ -306,6 +303,14 @@ def remaining(centred: DataFrame, parts: DataFrame, docs: DataFrame, classes: Da
     return met.select(F.greatest("class", "other_class").alias("leaf"), F.least("class", "other_class").alias("centre")).distinct()
 
 
+def with_text(named: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """named (column class) with doc_id and text of the document that stands for each class."""
+    # written, so that Spark knows whether these rows are few: then the texts need no shuffle
+    named = stored(named.join(classes.select("class", F.col("doc_id").alias("named")), "class"), "unsettled")
+    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
+    return stored(named.join(texts, F.col("named").eqNullSafe(F.col("doc_id"))).drop("named"), "unsettled")
+
+
 def similarity(h: np.ndarray, x: np.ndarray, g: np.ndarray, y: np.ndarray) -> float:
     """Weighted Jaccard similarity of two bags: hashes in order and their weights."""
     if not len(h) or not len(g):
@@ -363,8 +368,9 @@ def grouped(docs: DataFrame, least: float = LEAST) -> DataFrame:
     edges = stored(candidates(centred), "candidates")
     links = stored(verified(edges, docs, classes, own, least), "links")
     parts = stored(components(links), "parts")
-    rest = stored(remaining(centred, parts, docs, classes, own, least), "candidates")
-    more = stored(verified(rest, docs, classes, own, least), "links")
+    members = with_text(unsettled(centred, parts), docs, classes)
+    rest = stored(remaining(members, own, least), "candidates")
+    more = stored(verified(rest, members.select("doc_id", "text").distinct(), classes, own, least), "links")
     if not more.isEmpty():
         parts = components(links.union(more))
     known = classes.select("class", "doc_id").join(parts, classes["class"] == parts["node"], "left").select("class", "doc_id", F.coalesce("component", "class").alias("component"))

@@ -159,10 +159,10 @@ def test_pairs_of_members_beside_the_centres_are_compared(spark):
     name = {r.doc_id: r["class"] for r in classes.collect()}
     centred = classes.select("class", F.lit(0).alias("band"), F.lit(0).alias("key"), F.lit(name[5]).alias("widest"), F.lit(name[5]).alias("smallest"))
     alone = spark.createDataFrame([], "node long, component long")
-    found = {frozenset(r) for r in minhash.remaining(centred, alone, docs, classes, own, minhash.LEAST).collect()}
+    found = {frozenset(r) for r in minhash.remaining(minhash.with_text(minhash.unsettled(centred, alone), docs, classes), own, minhash.LEAST).collect()}
     assert found == {frozenset((name[1], name[2])), frozenset((name[3], name[4]))}
     linked = spark.createDataFrame([(name[i], name[3]) for i in (3, 4)], "node long, component long")
-    found = {frozenset(r) for r in minhash.remaining(centred, linked, docs, classes, own, minhash.LEAST).collect()}
+    found = {frozenset(r) for r in minhash.remaining(minhash.with_text(minhash.unsettled(centred, linked), docs, classes), own, minhash.LEAST).collect()}
     assert found == {frozenset((name[1], name[2]))}
 
 
