@@ -56,27 +56,36 @@ def gram(factors: DataFrame) -> np.ndarray:
     return out
 
 
-def solved(pairs: DataFrame, of: str, by: str, held: DataFrame) -> DataFrame:
-    """The factors of one side, given those held of the other."""
+def solved(pairs: DataFrame, of: str, by: str, held: DataFrame, with_loss: bool = False) -> DataFrame:
+    """The factors of one side, given those held of the other; with_loss adds bought, the loss over the pairs of a row.
+
+    That is a sum of c (1 - p) ** 2 - p ** 2 with p the product of factors and c the confidence. It follows from the sums that
+    the system is made of, so the pairs need not meet the factors of both sides once more.
+    """
     shared, f = gram(held) + PENALTY * np.eye(RANK), F.col("factors")
     trust = TRUST * F.col("amount")
     sums = pairs.join(held, by).groupBy(of).agg(
-        *[F.sum(trust * f[i] * f[j]).alias(f"a{i}_{j}") for i, j in PAIRS], *[F.sum((1 + trust) * f[i]).alias(f"b{i}") for i in range(RANK)])
+        *[F.sum(trust * f[i] * f[j]).alias(f"a{i}_{j}") for i, j in PAIRS], *[F.sum((1 + trust) * f[i]).alias(f"b{i}") for i in range(RANK)],
+        *([F.sum(1 + trust).alias("c")] if with_loss else []))
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            inner = np.repeat(shared[None], batch.num_rows, 0)
+            own = np.zeros((batch.num_rows, RANK, RANK))
             for i, j in PAIRS:
-                own = batch[f"a{i}_{j}"].to_numpy()
-                inner[:, i, j] += own
-                if i != j:
-                    inner[:, j, i] += own
+                own[:, i, j] = own[:, j, i] = batch[f"a{i}_{j}"].to_numpy()
+            inner = shared + own
             outer = np.stack([batch[f"b{i}"].to_numpy() for i in range(RANK)], axis=1)
             factors = np.linalg.solve(inner, outer[:, :, None])[:, :, 0]
             rows = pa.ListArray.from_arrays(pa.array(np.arange(0, batch.num_rows * RANK + 1, RANK), pa.int32()), pa.array(factors.ravel()))
-            yield pa.RecordBatch.from_arrays([batch[of], rows], [of, "factors"])
+            columns = [batch[of], rows]
+            if with_loss:
+                squares = np.einsum("ni,nij,nj->n", factors, own, factors)
+                columns.append(pa.array(batch["c"].to_numpy() - 2 * (factors * outer).sum(axis=1) + squares))
+            yield pa.RecordBatch.from_arrays(columns, kind.names)
 
     kind = T.StructType([T.StructField(of, pairs.schema[of].dataType), *T.StructType.fromDDL("factors array<double>")])
+    if with_loss:
+        kind = kind.add("bought", T.DoubleType())
     return stored(sums.mapInArrow(solve, kind), "factors")
 
 
@@ -87,11 +96,9 @@ def dot(a: Column, b: Column) -> Column:
     return total
 
 
-def loss(pairs: DataFrame, users: DataFrame, items: DataFrame) -> float:
-    """Over all pairs, those not bought included: these come from the two Gram matrices."""
-    met = pairs.join(users.withColumnRenamed("factors", "u"), "user").join(items.withColumnRenamed("factors", "v"), "item")
-    met = met.select((1 + TRUST * F.col("amount")).alias("c"), dot(F.col("u"), F.col("v")).alias("p"))
-    bought = met.agg(F.sum(F.col("c") * (1 - F.col("p")) * (1 - F.col("p")) - F.col("p") * F.col("p"))).first()[0] or 0.0
+def loss(users: DataFrame, items: DataFrame) -> float:
+    """Over all pairs: those bought are summed by item (column bought), the others come from the two Gram matrices."""
+    bought = items.agg(F.sum("bought")).first()[0] or 0.0
     of_users, of_items = gram(users), gram(items)
     return float(bought + (of_users * of_items).sum() + PENALTY * (np.trace(of_users) + np.trace(of_items)))
 
@@ -104,7 +111,8 @@ def fitted(pairs: DataFrame, user: str, item: str, amount: str, rounds: int = RO
     items, losses = start(pairs.select("item").distinct(), "item"), []
     for _ in range(rounds):
         users = solved(pairs, "user", "item", items)
-        items = solved(pairs, "item", "user", users)
+        items = solved(pairs, "item", "user", users, with_losses)
         if with_losses:
-            losses.append(loss(pairs, users, items))
+            losses.append(loss(users, items))
+            items = items.drop("bought")
     return Model(users.withColumnRenamed("user", user), items.withColumnRenamed("item", item), losses)

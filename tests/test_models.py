@@ -124,6 +124,25 @@ def test_factors_match_dense_numpy_and_the_loss_falls(spark):
     assert {r.u for r in model.users.collect()} == set(range(30))
 
 
+def test_losses_need_no_more_joins_than_the_factors(spark, monkeypatch):
+    df = spark.createDataFrame([(u, i, 1 + (u * i) % 3) for u in range(6) for i in range(5) if (u + i) % 3], "u long, i long, n long")
+    joins, join = [], type(df).join
+    monkeypatch.setattr(type(df), "join", lambda self, *args, **kwargs: joins.append(1) or join(self, *args, **kwargs))
+    als.fitted(df, "u", "i", "n", rounds=1, with_losses=True)
+    assert len(joins) == 2  # one for each side
+
+
+def test_moments_of_years_add_up(spark):
+    df = spark.createDataFrame([(k % 3, float(k), float(k * k % 7)) for k in range(40)], "year int, x double, y double")
+    parts = ridge.moments_by(df, F.col("year"), {"x": F.col("x")}, F.col("y"))
+    assert sorted(parts) == [0, 1, 2]
+    both = ridge.line(ridge.added([parts[0], parts[1]], 1), {"x": F.col("x")})
+    plain = ridge.fitted(df.where("year < 2"), {"x": F.col("x")}, F.col("y"))
+    assert both.rows == plain.rows and both.intercept == pytest.approx(plain.intercept)
+    assert both.coefficients["x"] == pytest.approx(plain.coefficients["x"])
+    assert ridge.line(ridge.added([], 1), {"x": F.col("x")}).coefficients == {"x": 0.0}
+
+
 def test_factors_of_no_pairs(spark):
     model = als.fitted(spark.createDataFrame([], "u long, i long, n long"), "u", "i", "n", rounds=1, with_losses=True)
     assert model.users.count() == model.items.count() == 0 and model.losses == [0.0]
