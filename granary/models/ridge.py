@@ -37,22 +37,42 @@ def known(feature: Column) -> Column:
     return F.coalesce(feature.cast("double"), F.lit(0.0))
 
 
-def moments(df: DataFrame, features: dict[str, Column], target: Column) -> tuple[int, np.ndarray, np.ndarray]:
-    """(rows, means, mean cross products) of the features and, last, the target."""
+Moments = tuple[int, np.ndarray, np.ndarray]
+
+
+def moments(df: DataFrame, features: dict[str, Column], target: Column) -> Moments:
+    """(rows, sums, sums of cross products) of the features and, last, the target."""
+    return added([*moments_by(df, F.lit(0), features, target).values()], len(features))
+
+
+def moments_by(df: DataFrame, key: Column, features: dict[str, Column], target: Column) -> dict[object, Moments]:
+    """The moments of each value of a key of few values, from one pass over the rows."""
     names = [f"x{i}" for i in range(len(features) + 1)]
-    values = df.where(target.isNotNull()).select(*[known(c).alias(n) for c, n in zip([*features.values(), target], names)])
+    values = df.where(target.isNotNull()).select(key.alias("key"), *[known(c).alias(n) for c, n in zip([*features.values(), target], names)])
     pairs = [(i, j) for i in range(len(names)) for j in range(i + 1)]
-    sums = values.agg(F.count(F.lit(1)), *[F.sum(n) for n in names], *[F.sum(F.col(names[i]) * F.col(names[j])) for i, j in pairs]).first()
-    n, products = sums[0], np.zeros((len(names), len(names)))
-    if not n:
-        return 0, np.zeros(len(names)), products
-    for (i, j), total in zip(pairs, sums[1 + len(names) :]):
-        products[i, j] = products[j, i] = total / n
-    return n, np.array(sums[1 : 1 + len(names)]) / n, products
+    sums = values.groupBy("key").agg(F.count(F.lit(1)), *[F.sum(n) for n in names], *[F.sum(F.col(names[i]) * F.col(names[j])) for i, j in pairs])
+    out = {}
+    for of, n, *totals in sums.collect():
+        products = np.zeros((len(names), len(names)))
+        for (i, j), total in zip(pairs, totals[len(names) :]):
+            products[i, j] = products[j, i] = total
+        out[of] = n, np.array(totals[: len(names)]), products
+    return out
+
+
+def added(parts: list[Moments], features: int) -> Moments:
+    """The moments of all parts together."""
+    size = features + 1
+    return tuple(sum(part) for part in zip((0, np.zeros(size), np.zeros((size, size))), *parts))
 
 
 def fitted(df: DataFrame, features: dict[str, Column], target: Column, penalty: float = PENALTY) -> Line:
-    n, mean, product = moments(df, features, target)
+    return line(moments(df, features, target), features, penalty)
+
+
+def line(sums: Moments, features: dict[str, Column], penalty: float = PENALTY) -> Line:
+    n = sums[0]
+    mean, product = sums[1] / max(n, 1), sums[2] / max(n, 1)
     covariance = product - np.outer(mean, mean)
     variance = np.diag(covariance)[:-1]
     # what is left of a constant after rounding is no variance

@@ -66,10 +66,13 @@ def regression_quality(features: DataFrame) -> DataFrame:
     The first year has nothing before it. The number of years is that of the calendar.
     """
     rows = stored(features.select("order_number", "product_key", "sales_amount", *NEEDED), "features")
-    years = sorted(r[0] for r in rows.where("order_year is not null").select("order_year").distinct().collect())
+    dated = rows.where("order_year is not null")
+    years = sorted(r[0] for r in dated.select("order_year").distinct().collect())
     expected, predictors = F.lit(None).cast("double"), sales_features()
+    moments = ridge.moments_by(dated, F.col("order_year"), predictors, F.col("sales_amount"))  # all years in one pass
     for year in years[1:]:
-        line = ridge.fitted(rows.where(F.col("order_year") < year), predictors, F.col("sales_amount"))
+        before = ridge.added([sums for earlier, sums in moments.items() if earlier < year], len(predictors))
+        line = ridge.line(before, predictors)
         expected = F.when(F.col("order_year") == year, line.predicted(predictors)).otherwise(expected)
     scored = rows.select("order_year", "sales_amount", expected.alias("expected")).where(F.col("expected").isNotNull())
     off = F.col("expected") - F.col("sales_amount")
