@@ -11,9 +11,10 @@ a sample with probability equal to their weighted Jaccard similarity. Classes th
 are linked to the centres of their bucket: the class with most neighbours, and the smallest. Every such edge is verified
 by the exact similarity of the whole texts; edges are spread by centre in portions, so a bucket may have any size.
 
-Members that are no centres and are still in several components are then compared with each other, exactly: similar texts
-share a shingle among the rarest of both, so each member gives its rarest shingles, as many as that takes, and pairs meet in
-one. Members of the largest component of a bucket meet those of the others only. So no pair of a bucket is left out.
+Members that are no centres and are still in several components are then compared with each other, exactly: those outside the
+largest component of their bucket meet all members in squares of bounded size, where one is compared with all at once, and
+only edges that join components leave a task. So no pair of a bucket is left out. Rows grow with the members times the blocks
+of PORTION characters of their bucket; the comparisons, in memory, with the square of a group of texts that are not alike.
 
 Defined results: null texts, empty ones and those without words are never linked; repeated rows belong to one class; a
 similarity equal to LEAST links; ties between samples go to the smaller hash; an empty table gives an empty result; null
@@ -40,8 +41,9 @@ MOST_COMMON = 1 << 14
 COUNTERS = 4 * MOST_COMMON  # kept by a task that looks for common shingles
 PORTION = 4 << 20  # characters of text compared with one copy of a centre
 QUANTILES = 1 << 16
-SLOTS = 1 << 16  # of the counts by which shingles are ordered
 SLACK = 1 - 1e-9  # for rounding in sums of weights
+SQUARE = ["band", "key", "block", "portion"]
+SQUARES = "array<struct<block: int, portion: int, leads: boolean>>"
 
 
 def bags(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -226,89 +228,140 @@ def candidates(centred: DataFrame) -> DataFrame:
 
 
 def unsettled(centred: DataFrame, parts: DataFrame) -> DataFrame:
-    """class, component, active: members of buckets that hold several components besides the centres.
+    """class, component, places: for members of buckets that hold several components besides the centres, those buckets.
 
-    Two of them that share a bucket but no component are not both inactive. Finer buckets are parts of the coarse ones.
+    A place is band, key, active: whether the member is outside the largest component of that bucket. Two that share a bucket
+    but no component are not both inactive. Finer buckets are parts of the coarse ones.
     """
     others = centred.where((F.col("band") < BANDS) & ~F.col("class").isin(F.col("widest"), F.col("smallest")))
-    known = others.join(parts, others["class"] == parts["node"], "left").select(
-        "class", "band", "key", F.coalesce("component", "class").alias("component"))
+    at = others.groupBy("class").agg(F.collect_list(F.struct("band", "key")).alias("places"))  # at most one a band
+    known = at.join(parts, at["class"] == parts["node"], "left").select(
+        "class", F.coalesce("component", "class").alias("component"), F.explode("places").alias("at")).select("class", "component", "at.band", "at.key")
     sizes = known.groupBy("band", "key", "component").agg(F.count("*").alias("n"))
     mixed_ones = sizes.groupBy("band", "key").agg(F.max(F.struct("n", "component"))["component"].alias("largest"), F.count("*").alias("held")).where("held > 1")
-    met = known.join(mixed_ones, ["band", "key"])
-    return met.groupBy("class", "component").agg(F.max(F.col("component") != F.col("largest")).alias("active"))
+    place = F.struct("band", "key", (F.col("component") != F.col("largest")).alias("active"))
+    return known.join(mixed_ones, ["band", "key"]).groupBy("class", "component").agg(F.collect_list(place).alias("places"))
 
 
-def rarest(members: DataFrame, own: Weights, least: float) -> DataFrame:
-    """class, component, active, shingle, weight (of the whole text), short: the rarest shingles of each member.
+def with_text(named: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """named (column class) with doc_id and text of the document that stands for each class."""
+    # written, so that Spark knows whether these rows are few: then the texts need no shuffle
+    named = stored(named.join(classes.select("class", F.col("doc_id").alias("named")), "class"), "unsettled")
+    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
+    return stored(named.join(texts, F.col("named").eqNullSafe(F.col("doc_id"))).drop("named"), "unsettled")
+
+
+def met(members: DataFrame) -> DataFrame:
+    """The rows of unsettled members (with text), dealt to the squares of their buckets: band, key, block, portion, leads.
 
-    Shingles are ordered by counts that are the same for all members. Whoever is similar to a text has at least the share
-    least of its weight in common with it, and one that weighs no less even 2 * least / (1 + least): what is beyond
-    cannot hold all of that, so a shingle of the first part is common to both; it is among the short ones of the lighter text.
+    The active members of a bucket lead in one block each, all are in one portion each, and a square holds a block and a
+    portion, so every active member meets every other one once. Blocks and portions are about PORTION characters.
     """
-    def of_class(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        at = 0
-        for texts in spans(batch["text"]):
-            w = words(texts)
-            h, row, count = bags(w)
-            first, names = np.searchsorted(row, np.arange(len(texts) + 1)), fingerprints(w)
-            for i in range(len(texts)):
-                if names[i] == batch["class"][at + i].as_py():  # else another text under the same doc_id
-                    yield at + i, h[first[i] : first[i + 1]], count[first[i] : first[i + 1]]
-            at += len(texts)
-
-    def slot(h: np.ndarray) -> np.ndarray:
-        return (h & np.uint64(SLOTS - 1)).astype(np.int64)
-
-    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(SLOTS, np.int64)
-        for batch in batches:
-            for _, h, _ in of_class(batch):
-                np.add.at(n, slot(h), 1)
-        seen = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(n[seen])], ["slot", "n"])
+    places = members.select("class", F.length("text").alias("length"), F.explode("places").alias("at")).select("length", "at.*")
+    part = lambda size: F.ceil((F.coalesce(F.sum(size), F.lit(0)) + 1) / PORTION).cast("int")
+    squares = stored(places.groupBy("band", "key").agg(
+        part(F.when(F.col("active"), F.col("length"))).alias("blocks"), part(F.col("length")).alias("portions")), "squares")
+    each = members.select("class", "component", "text", F.explode("places").alias("at")).select("class", "component", "text", "at.*")
+    own = lambda parts: F.pmod(F.xxhash64("class"), F.col(parts)).cast("int")
+    upto = lambda parts: F.sequence(F.lit(0), F.col(parts) - 1)
+    square = lambda block, portion, leads: F.struct(block.alias("block"), portion.alias("portion"), F.lit(leads).alias("leads"))
+    led = F.when(F.col("active"), F.transform(upto("portions"), lambda i: square(own("blocks"), i, True)))
+    held = F.transform(upto("blocks"), lambda i: square(i, own("portions"), False))
+    dealt = each.join(squares, ["band", "key"]).select(
+        "class", "component", "text", "band", "key", F.explode(F.concat(F.coalesce(led, F.array().cast(SQUARES)), held)).alias("square"))
+    return dealt.select("band", "key", "square.*", "class", "component", "text")
+
+
+def squares_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of one square after the other, from rows in order of their squares."""
+    held, last = [], None
+    for batch in batches:
+        names = np.stack([batch[c].to_numpy() for c in SQUARE], axis=1)
+        cuts = [0, *(np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1), len(names)]
+        for start, end in zip(cuts, cuts[1:]):
+            if end == start:
+                continue
+            if held and tuple(names[start]) != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+            last = tuple(names[start])
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+class Bags:
+    """The weighted shingles of the rows of a table (columns class, component, text) that hold the text of their class."""
+
+    def __init__(self, rows: pa.Table, own: Weights):
+        parts, at = [], 0
+        self.name, self.component = (rows[c].to_numpy() for c in ("class", "component"))
+        right = np.zeros(len(rows), bool)  # else another text under the same doc_id
+        for chunk in rows["text"].chunks:
+            for texts in spans(chunk):
+                w = words(texts)
+                h, row, count = bags(w)
+                right[at : at + len(texts)] = fingerprints(w) == self.name[at : at + len(texts)]
+                parts.append((h, row + at, count * own.of(h)))
+                at += len(texts)
+        h, row, weight = (np.concatenate(part) for part in zip(*parts))
+        good = right[row]
+        self.h, self.row, self.weight = h[good], row[good], weight[good]
+        self.first = np.searchsorted(self.row, np.arange(len(rows) + 1))
 
-    counted = members.mapInArrow(occurrences, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    times = np.zeros(SLOTS, np.int64)
-    times[counted["slot"].to_numpy()] = counted["n"].to_numpy()
+    def of(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        return self.h[self.first[i] : self.first[i + 1]], self.weight[self.first[i] : self.first[i + 1]]
 
-    def first_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found, given = [], [np.zeros(0, np.int64)] * 4
-            for i, h, count in of_class(batch):
-                order = np.lexsort((h, times[slot(h)]))
-                weight = (count * own.of(h))[order]
-                beyond = np.cumsum(weight[::-1])[::-1]  # the weight of a shingle and those after it
-                total, keep = beyond[0], beyond >= SLACK * least * beyond[0]
-                short = beyond[keep] >= SLACK * 2 * least / (1 + least) * total
-                found.append((np.full(len(short), i), h[order][keep].view(np.int64), np.full(len(short), total), short))
-            if found:
-                given = [np.concatenate(part) for part in zip(*found)]
-            rows = batch.select(["class", "component", "active"]).take(pa.array(given[0], pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [*rows.columns, pa.array(given[1], pa.int64()), pa.array(given[2], pa.float64()), pa.array(given[3], pa.bool_())],
-                ["class", "component", "active", "shingle", "weight", "short"])
-
-    return members.mapInArrow(first_ones, "class long, component long, active boolean, shingle long, weight double, short boolean")
+
+def joined(leads: Bags, others: Bags, least: float) -> Iterator[tuple[int, int]]:
+    """Classes of leads and others that are similar: as many as it takes to join the components that have such a pair.
+
+    One lead is compared with all others at once: what they have in common is summed from a table of its weights.
+    """
+    there = np.flatnonzero(np.diff(others.first))
+    if not len(there):
+        return
+    known, at = np.unique(others.h, return_inverse=True)
+    starts = others.first[there]
+    total = np.add.reduceat(others.weight, starts)
+    names, root = np.unique(np.concatenate([others.component[there], leads.component]), return_inverse=True)
+    root, root_of_lead = root[: len(there)], root[len(there) :]
+    own = np.zeros(len(known))
+    for i in np.flatnonzero(np.diff(leads.first)):
+        if not (root != root_of_lead[i]).any():
+            continue
+        h, weight = leads.of(i)
+        place = np.minimum(np.searchsorted(known, h), len(known) - 1)
+        place, here = place[known[place] == h], weight[known[place] == h]
+        own[place] = here
+        common = np.add.reduceat(np.minimum(own[at], others.weight), starts)
+        own[place] = 0
+        near = (root != root_of_lead[i]) & (common >= SLACK * least * (total + weight.sum() - common))
+        for j in np.flatnonzero(near):
+            if root[j] != root_of_lead[i] and similarity(h, weight, *others.of(there[j])) >= least:
+                yield int(leads.name[i]), int(others.name[there[j]])
+                gone, kept = root[j], root_of_lead[i]
+                root[root == gone] = kept
+                root_of_lead[root_of_lead == gone] = kept
 
 
 def remaining(members: DataFrame, own: Weights, least: float) -> DataFrame:
-    """Distinct edges leaf, centre between unsettled members (with text) of different components that may be similar."""
-    given = rarest(members, own, least).distinct()  # rows may repeat
-    other = given.select("shingle", *[F.col(c).alias(f"other_{c}") for c in ("class", "component", "weight", "short")])
-    lighter = F.struct("weight", "class") < F.struct("other_weight", "other_class")
-    near = F.least("weight", "other_weight") >= SLACK * least * F.greatest("weight", "other_weight")
-    met = given.where("active").join(other, "shingle").where(
-        (F.col("component") != F.col("other_component")) & near & F.when(lighter, F.col("short")).otherwise(F.col("other_short")))
-    return met.select(F.greatest("class", "other_class").alias("leaf"), F.least("class", "other_class").alias("centre")).distinct()
+    """Edges a, b between unsettled members (with text) of different components whose whole texts are at least so similar.
 
+    Of the edges between the same components in a square one is enough, and the others are left out.
+    """
+    shipped(members.sparkSession)
+    placed = met(members).repartition(*SQUARE).sortWithinPartitions(*SQUARE)
 
-def with_text(named: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """named (column class) with doc_id and text of the document that stands for each class."""
-    # written, so that Spark knows whether these rows are few: then the texts need no shuffle
-    named = stored(named.join(classes.select("class", F.col("doc_id").alias("named")), "class"), "unsettled")
-    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
-    return stored(named.join(texts, F.col("named").eqNullSafe(F.col("doc_id"))).drop("named"), "unsettled")
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in squares_of(batches):
+            leads = rows["leads"].to_numpy()
+            if not leads.any() or leads.all():
+                continue
+            links = list(joined(Bags(rows.filter(pa.array(leads)), own), Bags(rows.filter(pa.array(~leads)), own), least))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return placed.mapInArrow(compare, "a long, b long").distinct()
 
 
 def similarity(h: np.ndarray, x: np.ndarray, g: np.ndarray, y: np.ndarray) -> float:
@@ -369,8 +422,7 @@ def grouped(docs: DataFrame, least: float = LEAST) -> DataFrame:
     links = stored(verified(edges, docs, classes, own, least), "links")
     parts = stored(components(links), "parts")
     members = with_text(unsettled(centred, parts), docs, classes)
-    rest = stored(remaining(members, own, least), "candidates")
-    more = stored(verified(rest, members.select("doc_id", "text").distinct(), classes, own, least), "links")
+    more = stored(remaining(members, own, least), "links")
     if not more.isEmpty():
         parts = components(links.union(more))
     known = classes.select("class", "doc_id").join(parts, classes["class"] == parts["node"], "left").select("class", "doc_id", F.coalesce("component", "class").alias("component"))

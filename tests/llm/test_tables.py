@@ -166,6 +166,26 @@ def test_pairs_of_members_beside_the_centres_are_compared(spark):
     assert found == {frozenset((name[1], name[2]))}
 
 
+def test_members_that_are_not_alike_make_no_pairs(spark):
+    passage = [f"p{k}" for k in range(260)]
+    family = [(i, " ".join(passage + [f"t{i}x{k}" for k in range(40)])) for i in range(40)]  # similar to 0.74
+    copies = [(100 + i, " ".join([f"c{k}" for k in range(100)] + [f"own{i}"])) for i in range(20)]
+    docs = spark.createDataFrame([*family, *copies, (200, "the centre")], "doc_id long, text string")
+    own = minhash.Weights(np.zeros(0, np.uint64), np.zeros(0), 0, 0)
+    classes = minhash.signed(docs, own)
+    name = {r["class"]: r.doc_id for r in classes.collect()}
+    centre = next(c for c, i in name.items() if i == 200)
+    centred = classes.select("class", F.lit(0).alias("band"), F.lit(0).alias("key"), F.lit(centre).alias("widest"), F.lit(centre).alias("smallest"))
+    alone = spark.createDataFrame([], "node long, component long")
+    members = minhash.with_text(minhash.unsettled(centred, alone), docs, classes)
+    edges = minhash.remaining(members, own, minhash.LEAST).collect()
+    assert len(edges) == 19  # as many as join the copies
+    groups = Union()
+    for a, b in edges:
+        groups.join(name[a], name[b])
+    assert len({groups.root(i) for i, _ in copies}) == 1
+
+
 def test_common_shingles_weigh_less(spark):
     texts = [(f"this very line is everywhere unique{i} a{i} b{i} c{i} d{i}",) for i in range(300)]
     own = minhash.weights(spark.createDataFrame(texts, "text string").repartition(3))
