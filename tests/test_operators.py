@@ -6,7 +6,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from granary.operators import rules
+from granary.operators import joins, rules
 from granary.operators.dedup import best_record
 from granary.operators.joins import left_lookup
 from granary.operators.versions import repeated, version_intervals
@@ -84,6 +84,22 @@ def test_lookup_splits_hot_keys_of_both_sides_and_reads_the_left_one_once(spark,
     assert parts.agg(F.max("count") < 500).first()[0]  # a third of the rows has one key
 
 
+def test_lookup_moves_the_left_side_once(spark, monkeypatch, capsys):
+    left = spark.range(50).select((F.col("id") % 5).alias("k"), F.col("id").alias("i"))
+    data = [(0, 7)] * 300 + [(1, n) for n in range(200)] + [(2, n) for n in range(9)] + [(3, 1)]
+    right = spark.createDataFrame(data, "key long, n long")
+    monkeypatch.setattr(joins, "ROWS", 20)  # keys 0 and 1 have several parts, of which 0 fills one
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = left_lookup(left, right, "k", "key")
+        found.explain()
+        plan = capsys.readouterr().out
+        assert rows_of(found) == rows_of(left.join(right, F.col("k") == F.col("key"), "left"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("SortMergeJoin") == 1 and plan.count("Exchange hashpartitioning(k#") == 1
+
+
 def test_rules_count_before_dropping_and_null_is_a_violation(spark):
     df = spark.createDataFrame([(1, "a"), (None, "b"), (3, None)], "id int, name string")
     checks = [rules.Rule("has_id", "id IS NOT NULL", rules.DROP), rules.Rule("is_a", "name = 'a'")]
