@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from granary.operators import rules
 from granary.plans import refined
-from granary.queries import Tables, write_csv
+from granary.queries import PLANS, Tables, write_csv
 from granary.session import CHECKPOINT_DIR, scratch_dir
 from granary.sinks.layout import clustered
 from granary.sinks.publish import publish
@@ -100,6 +100,14 @@ def test_clustering_reads_the_rows_once_and_plans_without_them(spark, tmp_path,
     assert sorted(clustered(odd, ["cell", "day", "flag"]).collect(), key=str) == sorted(odd.collect(), key=str)
 
 
+def test_file_names_are_parsed_after_the_rows_of_a_file_are_counted(spark, sf_dir):
+    found = PLANS["file_lineage"](Tables(spark, sf_dir))
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    counting = [i for i, line in enumerate(plan) if "count(1)" in line]
+    assert len(counting) == len(FEEDS) and all("Aggregate [file_name" in plan[i] for i in counting)
+    assert not any("regexp_extract" in line for i in counting for line in plan[i + 1 : i + 3])  # down to the rows of the file
+
+
 def test_scratch_is_new_and_in_the_shared_folder(spark):
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first != second
