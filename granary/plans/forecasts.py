@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from granary.models import als, control, evaluation, kmeans, ridge, season, tree
 from granary.plans.marts import days_to_ship, is_late_shipment, single_customers, usable_sales, with_version_in_force
-from granary.plans.predictions import bought, customer_activity, line_items, ranked_products
+from granary.plans.predictions import bought, customer_activity, line_items, ranked_products, with_region
 from granary.plans.questions import DRIVERS, customer_spend, monthly_sales
 from granary.session import stored
 
@@ -110,7 +110,7 @@ def suggestions(sales: DataFrame, customers: DataFrame) -> DataFrame:
     pairs = stored(bought(sales), "bought")
     model = als.fitted(pairs, "customer_id", "product_key", "items")
     located = stored(single_customers(customers).select("customer_id", "region"), "located")
-    ranked = ranked_products(pairs, located.where(F.col("region").isNotNull())).where(F.col("rank") <= OFFERS)
+    ranked = ranked_products(with_region(pairs, located)).where(F.col("rank") <= OFFERS)
     offers = stored(ranked.join(model.items.withColumnRenamed("factors", "v"), "product_key", "left"), "offers")
     owned = pairs.select("customer_id", "product_key").join(F.broadcast(offers.select("product_key").distinct()), "product_key")
     open_ = located.join(F.broadcast(offers), "region").join(owned, ["customer_id", "product_key"], "left_anti")

@@ -78,12 +78,17 @@ def customer_segments(sales: DataFrame, run_ts: dt.datetime) -> DataFrame:
     return activity.select("*", F.concat_ws("-", *parts).alias("segment"))
 
 
-def ranked_products(pairs: DataFrame, located: DataFrame) -> DataFrame:
+def with_region(pairs: DataFrame, located: DataFrame) -> DataFrame:
+    """pairs of customers whose region is known, with the region."""
+    return pairs.join(located.where(F.col("region").isNotNull()), "customer_id")
+
+
+def ranked_products(pairs: DataFrame) -> DataFrame:
     """Rank of each product in its region by items sold, then by key, without sorting a region in one task.
 
     Regions are sorted over all tasks at once. A rank is what the tasks before hold of the region, and the place in the task.
     """
-    sold = pairs.join(located, "customer_id").groupBy("region", "product_key").agg(F.sum("items").alias("items"))
+    sold = pairs.groupBy("region", "product_key").agg(F.sum("items").alias("items"))
     laid = stored(sold.repartitionByRange("region", F.desc("items"), "product_key").withColumn("part", F.spark_partition_id()), "ranked")
     counts = laid.groupBy("region", "part").agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("region").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -104,10 +109,10 @@ def recommendations(sales: DataFrame, customers: DataFrame) -> DataFrame:
 
     That is the first gap in the ranks of what they own.
     """
-    pairs = stored(bought(sales), "bought")  # read twice
-    located = single_customers(customers).select("customer_id", "region")
-    ranked = ranked_products(pairs, located.where(F.col("region").isNotNull()))
-    owned = pairs.join(located, "customer_id").join(ranked, ["region", "product_key"]).select("customer_id", "rank")
+    located = stored(single_customers(customers).select("customer_id", "region"), "located")
+    pairs = stored(with_region(bought(sales), located), "bought")  # read twice, so the regions are looked up before
+    ranked = ranked_products(pairs)
+    owned = pairs.join(ranked, ["region", "product_key"]).select("customer_id", "rank")
     place = F.row_number().over(Window.partitionBy("customer_id").orderBy("rank"))
     gaps = owned.withColumn("place", place).groupBy("customer_id").agg(
         F.coalesce(F.min(F.when(F.col("rank") != F.col("place"), F.col("place"))), F.count(F.lit(1)) + 1).alias("rank")

@@ -146,6 +146,16 @@ def test_months_without_sales_count_as_zero(spark):
     assert [r.moving_average for r in questions.sales_trend(sales).orderBy("month").collect()] == [10.0, 5.0, 3.33, 6.67]
 
 
+def test_recommendations_look_up_the_regions_once(spark, tmp_path):
+    people = [(1, "Europe"), (2, "Europe"), (3, None), (4, "Asia")]
+    customer = {c: F.lit(None).cast("string") for c in marts.CUSTOMER if c != "region"}
+    spark.createDataFrame(people, "customer_id long, region string").withColumns(customer).write.parquet(str(tmp_path / "customers"))
+    sales = spark.createDataFrame([(1, "a", 5), (1, "b", 1), (2, "c", 3), (3, "a", 9), (7, "a", 9)], "customer_id long, product_key string, quantity int")
+    found = predictions.recommendations(sales, spark.read.parquet(str(tmp_path / "customers")))
+    assert not any(str(tmp_path / "customers") in file for file in found.inputFiles())
+    assert sorted(map(tuple, found.collect())) == [(1, "c", 2), (2, "a", 1), (3, None, None), (4, None, None)]
+
+
 def test_suggestions_reach_every_customer(spark):
     products = [f"P{i:02}" for i in range(13)]
     rows = [(c, p, DAY(2020, 1, 1), 1) for c, left_out in ((1, "P12"), (2, "P11")) for p in products if p != left_out]
