@@ -222,9 +222,10 @@ def buckets(classes: DataFrame) -> DataFrame:
 
 
 def candidates(centred: DataFrame) -> DataFrame:
-    """Distinct edges leaf, centre from the members of buckets to their centres."""
-    edges = centred.select("class", F.explode(F.array("widest", "smallest")).alias("centre")).where("class <> centre")
-    return edges.select(F.col("class").alias("leaf"), "centre").distinct()
+    """Distinct edges leaf, centre from the members of buckets to their centres, numbered from 0 for each leaf."""
+    edges = centred.select("class", F.explode(F.array("widest", "smallest")).alias("centre")).where("class <> centre").distinct()
+    of_leaf = edges.groupBy(F.col("class").alias("leaf")).agg(F.collect_list("centre").alias("centres"))  # at most two a bucket
+    return of_leaf.select("leaf", F.posexplode("centres").alias("number", "centre"))
 
 
 def unsettled(centred: DataFrame, parts: DataFrame) -> DataFrame:
@@ -243,9 +244,11 @@ def unsettled(centred: DataFrame, parts: DataFrame) -> DataFrame:
     return known.join(mixed_ones, ["band", "key"]).groupBy("class", "component").agg(F.collect_list(place).alias("places"))
 
 
-def with_text(named: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """named (column class) with doc_id and text of the document that stands for each class."""
+def with_text(named: DataFrame, docs: DataFrame, classes: DataFrame | None = None) -> DataFrame:
+    """named (column class) with doc_id and text of the document that stands for each class, or with the rows of docs by class."""
     # written, so that Spark knows whether these rows are few: then the texts need no shuffle
+    if classes is None:
+        return stored(stored(named, "unsettled").join(docs, "class"), "unsettled")
     named = stored(named.join(classes.select("class", F.col("doc_id").alias("named")), "class"), "unsettled")
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
     return stored(named.join(texts, F.col("named").eqNullSafe(F.col("doc_id"))).drop("named"), "unsettled")
@@ -374,17 +377,27 @@ def similarity(h: np.ndarray, x: np.ndarray, g: np.ndarray, y: np.ndarray) -> fl
     return common / (float(x.sum()) + float(y.sum()) - common)
 
 
-def verified(edges: DataFrame, docs: DataFrame, classes: DataFrame, own: Weights, least: float = LEAST) -> DataFrame:
-    """The edges a, b whose whole texts are at least so similar. classes names a document for each class."""
+def dealt(edges: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows to compare, written: centre, portion, class, text, for the leaves of each centre and in each portion the centre.
+
+    classes names a document for each class. A class that is a leaf is once at one of its centres, so later steps find its text
+    here, and the texts of all documents are shuffled for this step only.
+    """
     sizes = edges.join(classes.select(F.col("class").alias("leaf"), "length"), "leaf")
     portions = sizes.groupBy("centre").agg(F.ceil((F.sum("length") + 1) / PORTION).cast("int").alias("portions"))
-    leaves = edges.join(portions, "centre").select(F.col("leaf").alias("class"), "centre", F.pmod(F.xxhash64("leaf"), "portions").cast("int").alias("portion"))
-    centres = portions.select(F.col("centre").alias("class"), "centre", F.explode(F.sequence(F.lit(0), F.col("portions") - 1)).alias("portion"))
+    portion = F.pmod(F.xxhash64("leaf"), "portions").cast("int").alias("portion")
+    leaves = edges.join(portions, "centre").select(F.col("leaf").alias("class"), "centre", portion, (F.col("number") == 0).alias("once"))
+    each = F.explode(F.sequence(F.lit(0), F.col("portions") - 1)).alias("portion")
+    centres = portions.select(F.col("centre").alias("class"), "centre", each, F.lit(False).alias("once"))
     parts = leaves.union(centres).join(classes.select("class", F.col("doc_id").alias("named")), "class")
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
-    given = parts.join(texts, F.col("named").eqNullSafe(F.col("doc_id"))).select("centre", "portion", "class", "text")
+    return stored(parts.join(texts, F.col("named").eqNullSafe(F.col("doc_id"))).select("centre", "portion", "class", "once", "text"), "texts")
+
+
+def verified(given: DataFrame, own: Weights, least: float = LEAST) -> DataFrame:
+    """The edges a, b of the rows that were dealt whose whole texts are at least so similar."""
     leading = (F.col("class") != F.col("centre")).alias("is_leaf")
-    placed = given.repartition("centre", "portion").sortWithinPartitions("centre", "portion", leading)
+    placed = given.drop("once").repartition("centre", "portion").sortWithinPartitions("centre", "portion", leading)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple = (None, None, None)  # the centre now compared with, its shingles and weights
@@ -419,12 +432,13 @@ def grouped(docs: DataFrame, least: float = LEAST) -> DataFrame:
         F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"), F.max("length").alias("length")), "classes")
     centred = stored(buckets(classes), "buckets")
     edges = stored(candidates(centred), "candidates")
-    links = stored(verified(edges, docs, classes, own, least), "links")
+    given = dealt(edges, docs, classes)
+    links = stored(verified(given, own, least), "links")
     parts = stored(components(links), "parts")
-    members = with_text(unsettled(centred, parts), docs, classes)
+    members = with_text(unsettled(centred, parts), given.where("once").select("class", "text"))
     more = stored(remaining(members, own, least), "links")
     if not more.isEmpty():
-        parts = components(links.union(more))
+        parts = components(parts.toDF("a", "b").union(more))  # a star for each component says what its links said
     known = classes.select("class", "doc_id").join(parts, classes["class"] == parts["node"], "left").select("class", "doc_id", F.coalesce("component", "class").alias("component"))
     ids = known.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = known.join(ids, "component").select("class", "component", "component_id")

@@ -150,6 +150,24 @@ def test_twins_are_linked_though_no_centre_is_like_them(spark):
     assert all(found[2 * t] == 2 * t for t in range(400))
 
 
+def test_members_are_given_the_texts_their_centres_met(spark, tmp_path, monkeypatch):
+    passage = [f"p{k}" for k in range(200)]
+    rows = [(i, " ".join(passage + [f"t{i}x{k}" for k in range(100)])) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    given, members, real = [], [], minhash.with_text
+
+    def watched(named, docs, *classes):
+        given.extend(docs.inputFiles())
+        found = real(named, docs, *classes)
+        members.extend(found.select("class", "text").collect())
+        return found
+
+    monkeypatch.setattr(minhash, "with_text", watched)
+    assert minhash.duplicates(spark.read.parquet(str(tmp_path / "docs"))).count() == 60
+    assert given and not any(str(tmp_path / "docs") in file for file in given)  # the documents are not read again
+    assert 10 < len(members) == len({r["class"] for r in members}) and {r.text for r in members} <= {text for _, text in rows}
+
+
 def test_pairs_of_members_beside_the_centres_are_compared(spark):
     a, b = (" ".join(f"{name}{i}" for i in range(100)) for name in "ab")
     rows = [(1, a), (2, a + " more"), (3, b), (4, b + " more"), (5, "quite another text of its own words")]
