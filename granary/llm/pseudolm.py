@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm.words import added, hashes, spans, words
@@ -40,6 +40,8 @@ BATCH, RATE, SEED, ROUNDS = 2048, 0.005, 7, 4
 RANGE = 1 << 19  # words to a range
 HEADS = 1 << 10  # groups in which what needs no answer is passed on
 MERGED = 1 << 20  # new words that a task gathers before it adds them up
+BLOCK = 1 << 12  # counts beside neighbours that are sent in one row
+SAFE = 50  # scores up to here are exponentiated as they are
 
 
 def counted(texts: DataFrame) -> DataFrame:
@@ -101,6 +103,16 @@ class Vocabulary:
     def is_rare(self, word: np.ndarray) -> np.ndarray:
         return ~self._find(self.own, word)[1] & ~self.in_frequent(word)[1]
 
+    def found(self, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(class, place among the frequent words, whether the word is one, whether it is rare), each looked up once."""
+        at, own = self._find(self.own, word)
+        cls = np.where(own, 1 + at, 1 + OWN + self._shared(word))
+        others = np.flatnonzero(~own)
+        at[others], among = self.in_frequent(word[others])
+        frequent, rare = np.zeros(len(word), bool), np.zeros(len(word), bool)
+        frequent[others], rare[others] = among, ~among
+        return cls, at, frequent, rare
+
     def log_in_class(self, word: np.ndarray) -> np.ndarray:
         """Of a word's share of its class; minus infinity for rare words, whose counts are in no table."""
         at, frequent = self.in_frequent(word)
@@ -119,6 +131,10 @@ def contexts(cls: np.ndarray, row: np.ndarray) -> np.ndarray:
     return out
 
 
+PLACES = np.arange(CLASSES * WIDTH).reshape(CLASSES, WIDTH)  # of the embedding of each class
+ONES = np.ones(CLASSES, np.float32)
+
+
 class Network:
     """Embeddings of the neighbours, a hidden layer, and a softmax over classes; trained with Adam."""
 
@@ -138,32 +154,42 @@ class Network:
     def flat(self) -> np.ndarray:
         return np.concatenate([p.ravel() for p in self.parts]).astype(np.float64)
 
-    def forward(self, near: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        embedded, inner, inner_bias, outer, outer_bias = self.parts
-        x = embedded[near].reshape(len(near), -1)
-        hidden = np.tanh(x @ inner + inner_bias)
-        score = hidden @ outer + outer_bias
-        score -= score.max(axis=1, keepdims=True)
-        return x, hidden, score
+    def hidden(self, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(embeddings of the neighbours, the hidden layer and a column of ones for the bias behind it)."""
+        embedded, inner, inner_bias = self.parts[:3]
+        x = np.take(embedded, near, axis=0).reshape(len(near), -1)
+        hidden = np.ones((len(near), HIDDEN + 1), np.float32)
+        np.tanh(x @ inner + inner_bias, out=hidden[:, :HIDDEN])
+        return x, hidden
+
+    def scores(self, hidden: np.ndarray) -> np.ndarray:
+        """Of every class, up to a number for each row; their exponentials and sums of these are finite and not 0."""
+        outer = np.vstack(self.parts[3:])
+        score = hidden @ outer
+        if not np.abs(outer).sum(axis=0).max() <= SAFE:  # no score is above this sum, as the hidden layer is within 1
+            score -= score.max(axis=1, keepdims=True)
+        return score
 
     def log_probability(self, near: np.ndarray, cls: np.ndarray) -> np.ndarray:
         out = np.empty(len(cls))
         for at in range(0, len(cls), BATCH):
-            score = self.forward(near[at : at + BATCH])[2]
+            score = self.scores(self.hidden(near[at : at + BATCH])[1])
             chosen = score[np.arange(len(score)), cls[at : at + BATCH]]
-            out[at : at + BATCH] = chosen - np.log(np.exp(score).sum(axis=1))
+            out[at : at + BATCH] = chosen - np.log(np.exp(score, out=score) @ ONES)
         return out
 
     def learn(self, near: np.ndarray, cls: np.ndarray) -> None:
         """One step on a batch."""
-        x, hidden, score = self.forward(near)
-        p = np.exp(score, out=score)
-        p *= 1 / (len(p) * p.sum(axis=1, keepdims=True))
-        p[np.arange(len(p)), cls] -= np.float32(1 / len(p))
-        back = (p @ self.parts[3].T) * (1 - hidden * hidden)
-        places = (near[:, :, None] * WIDTH + np.arange(WIDTH)).ravel()
+        x, hidden = self.hidden(near)
+        p = self.scores(hidden)
+        total = np.exp(p, out=p) @ ONES
+        p[np.arange(len(p)), cls] -= total
+        share = (1 / (len(p) * total))[:, None]  # rows of p are divided where they are narrow
+        back = (p @ self.parts[3].T) * (share * (1 - hidden[:, :HIDDEN] ** 2))
+        places = np.take(PLACES, near, axis=0).ravel()
         embedded = np.bincount(places, (back @ self.parts[1].T).ravel(), CLASSES * WIDTH).reshape(CLASSES, WIDTH)
-        slopes = [embedded.astype(np.float32), x.T @ back, back.sum(axis=0), hidden.T @ p, p.sum(axis=0)]
+        behind = p.T @ (share * hidden)
+        slopes = [embedded.astype(np.float32), x.T @ back, back.sum(axis=0), behind[:, :HIDDEN].T, behind[:, HIDDEN]]
         self.steps += 1
         pace = RATE * np.sqrt(1 - 0.999**self.steps) / (1 - 0.9**self.steps)
         for part, first, second, slope in zip(self.parts, self.first, self.second, slopes):
@@ -172,9 +198,17 @@ class Network:
             part -= pace * first / (np.sqrt(second) + 1e-8)
 
 
+def round_of(text: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(ROUNDS))
+
+
 def trained(texts: DataFrame, vocabulary: Vocabulary) -> Network:
-    """The network after ROUNDS rounds, each the average of what the tasks train on the documents of that round."""
+    """The network after ROUNDS rounds, each the average of what the tasks train on the documents of that round.
+
+    texts: text, and its round where that is known already.
+    """
     network = Network()
+    texts = texts if "round" in texts.columns else texts.withColumn("round", round_of("text"))
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, seen = Network(network.flat()), 0
@@ -219,17 +253,17 @@ class Neighbours:
         """Occurrences of the class next to either neighbour, other than this one."""
         return self.classes[0, left, cls] + self.classes[1, right, cls] - 2
 
-    def log_known(self, vocabulary: Vocabulary, word: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Of own and frequent words; 0 for rare ones, which are answered elsewhere."""
-        at, frequent = vocabulary.in_frequent(word)
-        at, left, right, cls = at[frequent], left[frequent], right[frequent], vocabulary.classes(word[frequent])
+    def log_known(self, vocabulary: Vocabulary, cls: np.ndarray, at: np.ndarray, frequent: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Of own and frequent words, as found in the vocabulary; 0 for rare ones, which are answered elsewhere."""
+        out = np.zeros(len(cls))
+        at, left, right, cls = at[frequent], left[frequent], right[frequent], cls[frequent]
         beside = self.frequent[at, 0, left].astype(np.float64) + self.frequent[at, 1, right] - 2
-        out = np.zeros(len(word))
         out[frequent] = log_beside(vocabulary.n_frequent[at], vocabulary.size[cls], beside, self.around(left, right, cls))
         return out
 
 
-def neighbours(texts: DataFrame, vocabulary: Vocabulary) -> Neighbours:
+def neighbour_counts(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """block, at, n: the counts of each task that are not 0, as a row for BLOCK places."""
     places, cells = 2 * CLASSES * CLASSES, 2 * CLASSES * len(vocabulary.frequent)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,20 +271,35 @@ def neighbours(texts: DataFrame, vocabulary: Vocabulary) -> Neighbours:
         for batch in batches:
             for piece in spans(batch["text"]):
                 w = words(piece)
-                h = hashes(w)
-                cls = vocabulary.classes(h)
+                cls, at, frequent, _ = vocabulary.found(hashes(w))
                 near = contexts(cls, w.row)
-                at, frequent = vocabulary.in_frequent(h)
+                at = at[frequent]
                 for side, reach in enumerate((1, 2)):
-                    found = [(side * CLASSES + near[:, reach]) * CLASSES + cls, places + (2 * at[frequent] + side) * CLASSES + near[frequent, reach]]
-                    place, n = np.unique(np.concatenate(found), return_counts=True)
-                    sums[place] += n
+                    np.add.at(sums, (side * CLASSES + near[:, reach]) * CLASSES + cls, 1)
+                    np.add.at(sums, places + (2 * at + side) * CLASSES + near[frequent, reach], 1)
         seen = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(sums[seen])], ["at", "n"])
+        blocks, starts = np.unique(seen // BLOCK, return_index=True)
+        for block, at in zip(blocks.tolist(), np.split(seen, starts[1:])):
+            sent = [[block], [(at % BLOCK).astype(np.uint16).tobytes()], [sums[at].tobytes()]]
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(sent, (pa.int64(), pa.binary(), pa.binary()))], ["block", "at", "n"])
+
+    return texts.mapInArrow(count, "block long, at binary, n binary")
 
-    table = texts.mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
-    sums = np.zeros(places + cells)
-    sums[table["at"].to_numpy()] = table["n"].to_numpy()
+
+def neighbours(texts: DataFrame, vocabulary: Vocabulary) -> Neighbours:
+    places, cells = 2 * CLASSES * CLASSES, 2 * CLASSES * len(vocabulary.frequent)
+
+    def add(table: pa.Table) -> pa.Table:
+        sums = np.zeros(BLOCK, np.int64)
+        for at, n in zip(table["at"].to_pylist(), table["n"].to_pylist()):
+            sums[np.frombuffer(at, np.uint16)] += np.frombuffer(n, np.int64)
+        return pa.table({"block": table["block"][:1], "n": pa.array([sums.tobytes()], pa.binary())})
+
+    table = neighbour_counts(texts, vocabulary).groupBy("block").applyInArrow(add, "block long, n binary").toArrow()
+    sums = np.zeros((-(-(places + cells) // BLOCK), BLOCK))
+    for block, n in zip(table["block"].to_pylist(), table["n"]):
+        sums[block] = np.frombuffer(n.as_buffer(), np.int64)
+    sums = sums.ravel()[: places + cells]
     return Neighbours(sums[:places].reshape(2, CLASSES, CLASSES), sums[places:].reshape(-1, 2, CLASSES).astype(np.uint32))
 
 
@@ -270,7 +319,7 @@ def scored(df: DataFrame, text: str = "text") -> DataFrame:
     row = unused("row", df.columns)
     part = unused("round", df.columns)
     # a folder for each round of training, so that a round reads its own documents alone
-    numbered = df.withColumn(row, F.monotonically_increasing_id()).withColumn(part, F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(ROUNDS)))
+    numbered = df.withColumn(row, F.monotonically_increasing_id()).withColumn(part, round_of(text))
     rows = stored(numbered, "rows", by=part)
     texts = rows.select(F.col(f"`{text}`").alias("text"), F.col(part).alias("round"))
     vocabulary = Vocabulary(stored(counted(texts.select("text")), "words"))
@@ -287,13 +336,13 @@ def scored(df: DataFrame, text: str = "text") -> DataFrame:
                 at += len(piece)
                 w = words(piece)
                 h = hashes(w)
-                cls = vocabulary.classes(h)
+                cls, at_frequent, frequent, is_rare = vocabulary.found(h)
                 near = contexts(cls, w.row)
-                each = network.log_probability(near, cls) + beside.log_known(vocabulary, h, near[:, 1], near[:, 2])
+                each = network.log_probability(near, cls) + beside.log_known(vocabulary, cls, at_frequent, frequent, near[:, 1], near[:, 2])
                 total = np.bincount(w.row, each, len(piece)).astype(np.float64)
                 name = int(own[0])
                 out = [(name, -1 - name % HEADS, own.astype(np.int64).tobytes(), np.diff(w.first).astype(np.int64).tobytes(), total.tobytes())]
-                rare = np.flatnonzero(vocabulary.is_rare(h))
+                rare = np.flatnonzero(is_rare)
                 to = (h[rare] % np.uint64(ranges)).astype(np.int64)
                 order = np.argsort(to, kind="stable")
                 rare, ends = rare[order], np.cumsum(np.bincount(to, minlength=ranges))

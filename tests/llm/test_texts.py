@@ -205,6 +205,45 @@ def test_scores_of_odd_texts(odd_docs, no_docs):
     assert pseudolm.scored(no_docs).count() == 0
 
 
+def test_counts_beside_neighbours_leave_a_task_in_blocks(documents):
+    texts = documents.select("text")
+    vocabulary = pseudolm.Vocabulary(pseudolm.counted(texts))
+    sent = pseudolm.neighbour_counts(texts, vocabulary).collect()
+    cells = sum(len(r.at) // 2 for r in sent)
+    assert cells > 5000 and len(sent) * 20 < cells  # a row for each count would be as many rows as counts
+    w = pseudolm.words(pa.array([r.text for r in texts.collect()]))
+    h = pseudolm.hashes(w)
+    cls, at, frequent, rare = vocabulary.found(h)
+    assert (cls == vocabulary.classes(h)).all() and (rare == vocabulary.is_rare(h)).all() and (frequent == vocabulary.in_frequent(h)[1]).all()
+    near, beside = pseudolm.contexts(cls, w.row), pseudolm.neighbours(texts, vocabulary)
+    for side in (0, 1):
+        places, n = pseudolm.np.unique(pseudolm.np.stack([near[:, 1 + side], cls]), axis=1, return_counts=True)
+        assert (beside.classes[side, places[0], places[1]] == n).all() and beside.classes[side].sum() == n.sum()
+        places, n = pseudolm.np.unique(pseudolm.np.stack([at[frequent], near[frequent, 1 + side]]), axis=1, return_counts=True)
+        assert (beside.frequent[places[0], side, places[1]] == n).all() and beside.frequent[:, side].sum() == n.sum()
+
+
+def test_large_scores_stay_finite_and_slopes_are_those_of_the_loss():
+    random = pseudolm.np.random.default_rng(1)
+    near, cls = random.integers(0, pseudolm.CLASSES, (300, 4)), random.integers(0, pseudolm.CLASSES, 300)
+    for size in (1, 1000):  # 1000: exponentials of the scores themselves overflow
+        network = pseudolm.Network(pseudolm.Network().flat() * size)
+        embedded, inner, inner_bias, outer, outer_bias = [p.astype(float) for p in network.parts]
+        x = embedded[near].reshape(300, -1)
+        hidden = pseudolm.np.tanh(x @ inner + inner_bias)
+        score = hidden @ outer + outer_bias
+        score -= score.max(axis=1, keepdims=True)
+        expected = score - pseudolm.np.log(pseudolm.np.exp(score).sum(axis=1, keepdims=True))
+        rows = pseudolm.np.arange(300)
+        assert network.log_probability(near, cls) == pytest.approx(expected[rows, cls], rel=1e-3, abs=1e-3)
+        p = pseudolm.np.exp(expected)
+        p[rows, cls] -= 1
+        network.learn(near, cls)  # the first means are a tenth of the slopes
+        assert network.first[3] == pytest.approx(hidden.T @ p / 3000, rel=1e-3, abs=1e-5)
+        assert network.first[4] == pytest.approx(p.sum(axis=0) / 3000, rel=1e-3, abs=1e-5)
+        assert network.first[1] == pytest.approx(x.T @ ((p @ outer.T) * (1 - hidden**2)) / 3000, rel=1e-2, abs=1e-5 * size)
+
+
 def test_words_outside_the_table_have_their_own_probability(spark, monkeypatch):
     monkeypatch.setattr(pseudolm, "FREQUENT", 8)  # no word but those of own classes is frequent
     monkeypatch.setattr(pseudolm, "RANGE", 500)
