@@ -1,6 +1,7 @@
 """CSV ingestion and published tables."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from granary.operators import rules
 from granary.plans import refined
 from granary.queries import PLANS, Tables, write_csv
 from granary.session import CHECKPOINT_DIR, scratch_dir
-from granary.sinks.layout import clustered
+from granary.sinks.layout import clustered, rank
 from granary.sinks.publish import publish
 from granary.sinks.refresh import Lakehouse
 from granary.sources.csv import read_feed, read_merged, with_lineage
@@ -88,6 +89,26 @@ def test_curve_prunes_files_by_either_key(spark, tmp_path):
     assert by_range[1] > 15 and max(curve) < 8 and sum(curve) < sum(by_range)
 
 
+def test_ranks_count_the_bounds_that_are_not_above(spark):
+    values = [None, float("-inf"), -1.0, 0.0, 0.5, 1.0, 2.0, 2.5, 40.0, 63.0, 99.0, float("inf"), float("nan")]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    for bounds in ([], [1.0], [0.0, 2.0], [0.0, 0.5, 1.0, 2.0], [float(i) for i in range(63)]):
+        found = rows.select("v", rank(F.col("v"), bounds).alias("r")).collect()
+        assert [r.r for r in found] == [0 if v is None else sum(v != v or v >= b for b in bounds) for v in values]
+
+
+def test_stage_that_places_wide_rows_is_short_enough_to_be_compiled(spark, capsys):
+    keys = [(F.col("id") * p % 1000).alias(k) for k, p in (("a", 7919), ("b", 104729), ("c", 611953))]
+    rows = spark.range(0, 5000, 1, 4).select("id", *keys, *[(F.col("id") + i).cast("string").alias(f"text{i}") for i in range(40)])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # so that the plan explained is the one that runs
+    laid = clustered(rows, ["a", "b", "c"], rows.select("a", "b", "c"))
+    laid.explain("codegen")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert len(sizes) > 1 and max(sizes) <= 8000  # the longest method that the JVM compiles
+    assert laid.count() == 5000
+
+
 def test_clustering_reads_the_rows_once_and_plans_without_them(spark, tmp_path, capsys):
     spark.range(100).select("id", F.col("id").cast("string").alias("name")).write.parquet(str(tmp_path / "rows"))
     rows = spark.read.parquet(str(tmp_path / "rows")).withColumn("checked", F.assert_true(F.col("id") < 0))  # fails when it is run
