@@ -115,14 +115,19 @@ def dealt(blocks: DataFrame, sources: DataFrame, levels: int = LEVELS) -> DataFr
     return units.groupBy("source", "block").agg(in_order.alias("unit_shards"))
 
 
-def planned(df: DataFrame, text: str, source: str, key: str) -> DataFrame:
-    """For each numbered row: size, source_size, target, taken, and shards with an entry for each copy."""
+def parts(df: DataFrame, text: str, source: str, key: str, levels: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """What is taken of numbered rows: narrow rows, sources, the rows picked one by one, and the shards of every block."""
     rows = stored(sized(df, text, source, key), "sizes")
     sources = stored(passes(targets(rows)), "targets")
     blocks, with_cuts = cuts(rows, sources)
     sources = stored(with_cuts, "cuts")
     picked = picks(rows, sources).withColumn("picked", F.lit(True))
-    shards = dealt(blocks, sources).withColumnsRenamed({"source": "unit_source", "block": "unit_block"})
+    shards = dealt(blocks, sources, levels).withColumnsRenamed({"source": "unit_source", "block": "unit_block"})
+    return rows, sources, picked, shards
+
+
+def placed(rows: DataFrame, sources: DataFrame, picked: DataFrame, shards: DataFrame) -> DataFrame:
+    """rows (columns _row, source, size, random and others) with copies and shards, an entry for each copy."""
     known = _of_source(rows, sources).join(picked, "_row", "left")
     same = F.col("source").eqNullSafe(F.col("unit_source")) & (F.col("block") == F.col("unit_block"))
     partial = (F.col("block") < F.col("cut_block")) | F.coalesce(F.col("picked"), F.lit(False))
@@ -130,8 +135,14 @@ def planned(df: DataFrame, text: str, source: str, key: str) -> DataFrame:
     own = F.coalesce(F.slice("unit_shards", 1, F.least(copies, F.size("unit_shards"))), F.array().cast("array<int>"))
     # a row picked from behind the cut goes where its block's last pass went, or else to the first shard
     filled = F.when(F.size(own) < copies, F.concat(own, F.array(F.coalesce(F.try_element_at(own, F.lit(-1)), F.lit(0))))).otherwise(own)
-    return known.join(shards, same, "left").select(
-        "_row", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), F.when(F.col("size") > 0, filled).otherwise(F.array().cast("array<int>")).alias("shards"))
+    found = F.when(F.col("size") > 0, filled).otherwise(F.array().cast("array<int>"))
+    return known.join(shards, same, "left").select(*rows.columns, "source_size", "target", copies.alias("copies"), found.alias("shards"))
+
+
+def planned(df: DataFrame, text: str, source: str, key: str, levels: int = LEVELS) -> DataFrame:
+    """For each numbered row: size, source_size, target, taken, and shards with an entry for each copy."""
+    found = placed(*parts(df, text, source, key, levels))
+    return found.select("_row", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "shards")
 
 
 OWN_NAMES = ("_row", "_copy", "_shard")
@@ -144,21 +155,31 @@ def numbered(df: DataFrame, outputs: set[str]) -> tuple[DataFrame, list[Column]]
     return rows, [F.col(f"`{aside.get(c, c)}`").alias(c) for c in df.columns if c.lower() not in outputs]
 
 
-def allotted(df: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
-    """df with size, source_size, target, taken and shards."""
+def allotted(df: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", levels: int = LEVELS) -> DataFrame:
+    """df with size, source_size, target, taken and shards (of 2 ** levels)."""
     outputs = ["size", "source_size", "target", "taken", "shards"]
     rows, others = numbered(df, set(outputs))
-    plan = planned(rows, text, source, key)
+    plan = planned(rows, text, source, key, levels)
     found = rows.drop(*outputs).join(plan, "_row")
     return found.select(*others, *outputs)
 
 
-def mixed(df: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
-    """The mix itself: df's columns with shard and order, a row for each copy; sort by order within a shard to shuffle it."""
+def mixed(df: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", levels: int = LEVELS) -> DataFrame:
+    """The mix itself: df's columns with shard and order, a row for each copy, laid out by shard and in order within a shard.
+
+    Partitions hold consecutive pieces of that order, so every file written from them is in order. Whole rows move once, for
+    this: what is known of their blocks is written before, so that Spark knows whether it is few rows, which need no shuffle.
+    """
     rows, others = numbered(df, {"shard", "order"})
-    copies = planned(rows, text, source, key).select("_row", F.posexplode("shards").alias("_copy", "_shard"))
-    order = random_key(F.col(key), F.col("_copy"), F.lit("order")).alias("order")
-    return rows.join(copies, "_row").select(*others, F.col("_shard").alias("shard"), order)
+    _, sources, picked, shards = parts(rows, text, source, key, levels)
+    has_words = F.coalesce(F.col(text).rlike(WORD), F.lit(False)).cast("int")
+    whole = rows.select("_row", F.col(source).alias("source"), has_words.alias("size"), random_key(F.col(key)).alias("random"),
+                        F.col(key).alias("key"), F.struct(*others).alias("whole"))
+    given = placed(whole, sources, stored(picked, "picked"), stored(shards, "shards"))
+    copies = given.select("_row", "key", "whole", F.posexplode("shards").alias("copy", "shard"))
+    place = ["shard", "order", "_row"]  # the number of the row keeps apart the rows of one key
+    ordered = copies.withColumn("order", random_key(F.col("key"), F.col("copy"), F.lit("order")))
+    return ordered.repartitionByRange(*place).sortWithinPartitions(*place).select("whole.*", "shard", "order")
 
 
 def allotments(df: DataFrame) -> DataFrame:
