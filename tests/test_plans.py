@@ -192,6 +192,12 @@ def test_only_needed_columns_are_read_from_the_source(tables, capsys):
     assert not any("o_custkey" in line for line in plan.splitlines() if line.startswith("ReadSchema"))
 
 
+def test_facts_read_dimensions_that_are_written_once(tables):
+    for fact in (tables.fact, tables.dated_fact):
+        sources = [file.rsplit("/", 1)[-1] for file in fact.inputFiles()]
+        assert sources and not {"customer.parquet", "part.parquet", "nation.parquet"} & set(sources)
+
+
 def test_no_cartesian_products(tables, capsys):
     for df in (tables.fact, tables.effective_fact, tables.measures, unstamped(tables.dim_customer)):
         df.explain()
