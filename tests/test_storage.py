@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from granary.operators import rules
 from granary.plans import refined
-from granary.queries import PLANS, Tables, write_csv
+from granary.queries import PLANS, Tables, unstamped, write_csv
 from granary.session import CHECKPOINT_DIR, scratch_dir
+from granary.sinks import publish as publishing
 from granary.sinks.layout import clustered, rank
 from granary.sinks.publish import publish
 from granary.sinks.refresh import Lakehouse
@@ -121,6 +122,16 @@ def test_clustering_reads_the_rows_once_and_plans_without_them(spark, tmp_path,
     assert sorted(clustered(odd, ["cell", "day", "flag"]).collect(), key=str) == sorted(odd.collect(), key=str)
 
 
+def test_features_are_derived_where_their_rows_lie(spark, sf_dir, monkeypatch):
+    moved = []
+    monkeypatch.setattr(publishing, "clustered", lambda df, *given: moved.append(df.columns) or clustered(df, *given))
+    found = PLANS["clustered_roundtrip"](Tables(spark, sf_dir))
+    assert "customer_region" in moved[0] and not {"estimated_profit", "order_month_name", "days_to_ship"} & set(moved[0])
+    features = unstamped(Tables(spark, sf_dir).features)
+    assert found.columns == features.columns and found.count() == features.count()
+    assert found.exceptAll(features).isEmpty() and found.where("order_year is null").count() == features.where("order_year is null").count()
+
+
 def test_file_names_are_parsed_after_the_rows_of_a_file_are_counted(spark, sf_dir):
     found = PLANS["file_lineage"](Tables(spark, sf_dir))
     plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
